@@ -1,0 +1,26 @@
+"""Written intermediate tables in the folder that the whole cluster shares."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+_SETTING = "spark.checkpoint.dir"
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """Folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
+    named = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING, None)
+    if not named:
+        named = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+        spark.conf.set(_SETTING, named)
+    return named.rstrip("/")
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once and read it back: lineage ends here and a lost executor costs no recomputation."""
+    path = f"{shared_dir(df.sparkSession)}/tidemark/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
