@@ -1,0 +1,370 @@
+"""Each operator on a small table with every odd case, against a brute-force version in plain Python."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidemark.llm import decontaminate, jaccard, langid, licenses, linededup, mixing, quality, sharding, suffixdedup, toxicity
+
+WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars int, size string, shard string, k long, words string"
+
+
+def words_of(text):
+    return WORDS.findall((text or "").translate(LOWER))
+
+
+def corpus(seed=3, n=60):
+    """Null, empty, very long, tied and repeated texts; near copies; columns with clashing names."""
+    rng = random.Random(seed)
+    vocab = [f"{a}{b}" for a in ("ka", "lo", "mi", "ré", "su", "ßt") for b in ("na", "to", "x1", "ve", "Q")]
+    text = lambda k: " ".join(rng.choice(vocab) for _ in range(k))
+    base, passage = text(80), text(30)
+    rows = [(0, None), (1, ""), (2, " \n\t"), (3, base), (4, base), (5, base.replace("kana", "KANA", 1)), (6, base + " tail"), (7, text(30_000)), (8, "one two"), (9, "one two"), (10, "!!! ???")]
+    for i in range(11, n):
+        body = text(rng.randrange(1, 120))
+        rows.append((i, f"{body}\nSame line here\n{passage} {text(3)}" if i % 3 == 0 else body))
+    rows += [rows[12], rows[12]]
+    langs = ["en", "fr", None]
+    return [(i, t, langs[i % 3], None if i % 5 == 4 else f"s{i % 4}", len(t or ""), "x", "y", 1, "w") for i, t in rows]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(corpus(), SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_sharding(spark, docs, empty):
+    rows = sharding.shard_documents(docs, 7).collect()
+    assert len(rows) == len(corpus())
+    texts = {r[0]: r[1] for r in corpus()}
+    slots = defaultdict(list)
+    for r in rows:
+        data = (texts[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32) == (len(data) + 16, zlib.crc32(data))
+        assert r.grown_shard in (r.shard, 7)
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    grown = {r.doc_id: r.shard for r in sharding.shard_documents(docs, 8).collect()}
+    assert all(grown[r.doc_id] == r.grown_shard for r in rows)
+    assert sharding.shard_documents(empty, 7).count() == 0
+
+
+def test_sharding_follows_weights(spark):
+    many = spark.range(20_000).selectExpr("id AS doc_id")
+    from pyspark.sql import functions as F
+
+    got = Counter(r.shard for r in sharding.assign_shards(many, F.col("doc_id"), [1.0, 3.0, 0.0, 4.0]).collect())
+    assert got[2] == 0 and abs(got[1] / 20_000 - 3 / 8) < 0.02 and abs(got[0] / 20_000 - 1 / 8) < 0.02
+    null = spark.createDataFrame([(None,), (None,)], "doc_id long")
+    assert len({r.shard for r in sharding.assign_shards(null, F.col("doc_id"), [1.0] * 5).collect()}) == 1
+
+
+def water_level(sizes, weights=(3, 1, 2), share=1.5, most=2):
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    target, left, open_ = {s: 0.0 for s in names}, share * sum(sizes.values()), set(names)
+    while open_:
+        unit = left / sum(w[s] for s in open_)
+        full = {s for s in open_ if unit * w[s] >= most * sizes[s]}
+        if not full:
+            for s in open_:
+                target[s] = unit * w[s]
+            break
+        for s in full:
+            target[s] = float(most * sizes[s])
+            left -= target[s]
+        open_ -= full
+    return target
+
+
+def test_mixing(spark, docs, empty):
+    rows = mixing.plan_mix(docs, keep=["k"]).collect()
+    assert len(rows) == len(corpus())
+    texts = {r[0]: r[1] for r in corpus()}
+    sizes, taken = Counter(), Counter()
+    for r in rows:
+        assert r["size"] == len(re.findall(r"[^\x20\x09-\x0D]+", texts[r.doc_id] or ""))
+        assert 0 <= r.taken <= 2 * r["size"]
+        sizes[r.source] += r["size"]
+        taken[r.source] += r.taken
+    target = water_level(sizes)
+    for r in rows:
+        assert r.source_size == sizes[r.source] and abs(r.target - target[r.source]) < 1e-6
+    assert all(abs(taken[s] - target[s]) < 1 for s in sizes)
+    again = mixing.plan_mix(docs.repartition(5)).collect()
+    key = lambda r: (r.doc_id, r["size"], r.taken)
+    assert sorted(map(key, again)) == sorted(map(key, rows))
+    assert mixing.plan_mix(empty).count() == 0
+
+
+def test_licenses(spark, empty):
+    texts = [
+        None, "", "Released under the MIT License. MIT\nlicense!", "GNU General Public License, and Apache License", "mit licensed", "submit license",
+        "SPDX-License-Identifier: (MIT OR GPL-2.0-only WITH Classpath-exception-2.0) AND BSD-3-Clause\nmore", "spdx-license-identifier: MIT AND (", "mit license " * 5000,
+        "Licensed under CC BY-NC 4.0.", "naïve mit license",
+    ]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, labels string")
+    rows = {r.doc_id: r for r in licenses.scan_licenses(docs).collect()}
+    base = {("mit", "license"): "mit", ("apache", "license"): "apache", ("general", "public", "license"): "gpl"}
+    for i, t in enumerate(texts):
+        w = words_of(t)
+        at = sorted((k, label) for p, label in base.items() for k in range(len(w)) if tuple(w[k : k + len(p)]) == p)
+        r = rows[i]
+        assert (r.n_words, r.n_base) == (len(w), len(at))
+        assert (r.first_word, r.last_word) == ((at[0][0], at[-1][0]) if at else (None, None))
+        assert r.base_labels == ",".join(sorted({x for _, x in at}))
+        assert set(r.base_labels.split(",")) - {""} <= set(r.labels.split(",")) and 0 <= r.score <= 1
+    assert rows[6].labels == "bsd,gpl,mit" and rows[6].open_choice
+    assert rows[7].labels == "mit" and not rows[7].open_choice
+    assert rows[9].labels == "cc-by,cc-by-nc"
+    assert licenses.scan_licenses(empty).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text, order",
+    [
+        ("MIT", ["MIT"]), ("A OR B AND C", ["A", "B", "C", "and", "or"]), ("(A OR B) AND C", ["A", "B", "or", "C", "and"]),
+        ("A WITH E OR B", ["A", "E", "with", "B", "or"]), ("A OR", None), ("(A", None), ("A B", None), (")", None), ("", None),
+    ],
+)
+def test_shunting_yard(text, order):
+    assert licenses.postfix(text) == order
+
+
+def jaccard_brute(rows):
+    sets = []
+    for r in rows:
+        w = words_of(r[1])
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    links = Counter()
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                links[i] += 1
+                links[j] += 1
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    group = defaultdict(list)
+    for i in range(len(rows)):
+        group[find(i)].append(rows[i][0])
+    return sorted((rows[i][0], min(group[find(i)]), links[i]) for i in range(len(rows)))
+
+
+def test_jaccard(spark, docs, empty):
+    got = sorted((r.doc_id, r.class_id, r.n_links) for r in jaccard.near_duplicates(docs).collect())
+    assert got == jaccard_brute(corpus())
+    assert jaccard.near_duplicates(empty).count() == 0
+    null = spark.createDataFrame([(None, "a b c d e f"), (1, "a b c d e f")], "doc_id long, text string")
+    assert sorted((str(r.doc_id), r.n_links) for r in jaccard.near_duplicates(null).collect()) == [("1", 0), ("None", 0)]
+
+
+def test_jaccard_large_group_is_cut_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SMALL", 8)
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    rng = random.Random(1)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(90):
+        w = list(base)
+        w[rng.randrange(150)] = f"z{i}"
+        rows.append((i, " ".join(w)))
+    rows += [(100 + i, " ".join(f"q{rng.randrange(5000)}" for _ in range(40))) for i in range(30)]
+    got = sorted((r.doc_id, r.class_id, r.n_links) for r in jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    want = jaccard_brute(rows)
+    assert [x[:2] for x in got] == [x[:2] for x in want]
+    assert sum(x[2] for x in got) >= 0.97 * sum(x[2] for x in want) and all(a[2] <= b[2] for a, b in zip(got, want))
+
+
+def quality_brute(text):
+    text = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    grams = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+    n = Counter(grams)
+    covered = {i + d for i, g in enumerate(grams) if n[g] > 1 for d in range(3)}
+    failed = len(w) < 50 or 100 * len(covered) > 50 * len(w)
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered), failed
+
+
+def test_quality(spark, docs, empty):
+    texts = {r[0]: r[1] for r in corpus()}
+    rows = quality.judge(docs).collect()
+    assert len(rows) == len(corpus())
+    for r in rows:
+        assert tuple(r)[1:7] == quality_brute(texts[r.doc_id])
+        assert not (r.base_failed and r.kept)
+    odd = ["a b c a b c", "a a a a", "x\nx\n\n \nx", "a|b #* $", "é é é é é"]
+    extra = spark.createDataFrame([(i, t, "h") for i, t in enumerate(odd)], "doc_id long, text string, source string")
+    for r in quality.judge(extra).collect():
+        assert tuple(r)[1:7] == quality_brute(odd[r.doc_id])
+    assert quality.judge(empty).count() == 0
+
+
+def test_quality_rejects_bad_hosts_only(spark):
+    good = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, good, "fine") for i in range(30)] + [(100 + i, good if i < 5 else "short", "bad") for i in range(30)] + [(200, good, "tiny"), (201, "short", "tiny")]
+    kept = {r.doc_id: r.kept for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(kept[i] for i in range(30)) and not any(kept[100 + i] for i in range(30)) and kept[200] and not kept[201]
+
+
+def test_line_dedup(spark, docs, empty):
+    rows = linededup.drop_boilerplate(docs, max_ratio=0.2, min_pages=3).collect()
+    by_host, seen = Counter(), Counter()
+    strip = lambda x: re.sub(r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "", x)
+    for r in corpus():
+        by_host[r[3]] += 1
+        for x in {strip(x) for x in (r[1] or "").split("\n")} - {""}:
+            seen[r[3], x] += 1
+    want = []
+    for r in corpus():
+        lines = r[1].split("\n") if r[1] else []
+        kept = [x for x in lines if not (seen[r[3], strip(x)] >= 3 and seen[r[3], strip(x)] > 0.2 * by_host[r[3]])]
+        want.append((r[0], len(lines), len(lines) - len(kept), None if r[1] is None else "\n".join(kept)))
+    assert sorted(map(str, want)) == sorted(str((r.doc_id, r.n_lines, r.n_dropped, r.kept_text)) for r in rows)
+    assert any(r.n_dropped for r in rows) and linededup.drop_boilerplate(empty).count() == 0
+
+
+def suffix_brute(rows, length=50):
+    first = {}
+    for i, t in sorted((r[0], (r[1] or "").encode()) for r in rows):
+        for s in range(len(t) - length + 1):
+            first.setdefault(t[s : s + length], i)
+    out = []
+    for r in rows:
+        t = (r[1] or "").encode()
+        gone = bytearray(len(t))
+        for s in range(len(t) - length + 1):
+            if first[t[s : s + length]] < r[0]:
+                gone[s : s + length] = b"\1" * length
+        spans = sum(1 for i, g in enumerate(gone) if g and (not i or not gone[i - 1]))
+        out.append((r[0], len(t), sum(gone), spans, hashlib.sha256(bytes(b for b, g in zip(t, gone) if not g)).hexdigest()))
+    return sorted(out)
+
+
+def test_suffix_dedup(spark, docs, empty):
+    assert sorted(tuple(r) for r in suffixdedup.remove_repeats(docs).collect()) == suffix_brute(corpus())
+    rng = random.Random(5)
+    shared = "".join(rng.choice("ab ") for _ in range(300))
+    rows = [(i, shared[rng.randrange(100) : 120 + rng.randrange(180)] + "".join(rng.choice("ab") for _ in range(rng.randrange(90)))) for i in range(80)] + [(90, "a" * 500), (91, "a" * 49), (92, "a" * 50)]
+    got = suffixdedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(tuple(r) for r in got) == suffix_brute(rows)
+    assert suffixdedup.remove_repeats(empty).count() == 0
+    null = spark.createDataFrame([(None, "x" * 80), (1, "x" * 80), (2, "x" * 80)], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in suffixdedup.remove_repeats(null).collect()} == {None: 0, 1: 0, 2: 80}
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.binary(max_size=200).map(lambda b: bytes(x % 3 for x in b)))
+def test_two_stage_sorting(text):
+    order = suffixdedup.suffix_array(np.frombuffer(text, np.uint8), 256)
+    # A suffix that ends compares as if zeros followed; ties may stand in any order.
+    key = lambda i: (text[i:] + bytes(300))[:256]
+    assert sorted(order.tolist()) == list(range(len(text)))
+    assert [key(i) for i in order.tolist()] == sorted(map(key, range(len(text)))) or [text[i:] for i in order.tolist()] == sorted(text[i:] for i in range(len(text)))
+
+
+def leak_brute(rows, bench, n=10):
+    windows = defaultdict(set)
+    for i, t in bench:
+        w = words_of(t)
+        for s in range(max(1, len(w) - n + 1)) if w else ():
+            windows[tuple(w[s : s + n])].add(str(i))
+    out = []
+    for r in rows:
+        w = words_of(r[1])
+        hit, items = set(), set()
+        for size in {len(x) for x in windows}:
+            for s in range(len(w) - size + 1):
+                if tuple(w[s : s + size]) in windows:
+                    hit.update(range(s, s + size))
+                    items |= windows[tuple(w[s : s + size])]
+        out.append((r[0], len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), bool(hit)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("most", [decontaminate.MAX_WINDOWS, 7])
+def test_decontamination(spark, docs, empty, most):
+    long = corpus()[7][1].split()
+    bench = [(1, " ".join(long[2000:2030])), (2, None), (3, ""), (4, "one, TWO"), (5, "Same line here"), (6, " ".join(long[2005:2016])), (7, "same LINE here"), (30, "zz"), (31, " ".join(long[29990:]))]
+    table = spark.createDataFrame([(i, t, "x") for i, t in bench], "item_id long, text string, doc_id string")
+    got = decontaminate.contamination_report(docs, table, max_windows=most).collect()
+    assert sorted(tuple(r) for r in got) == leak_brute(corpus(), bench)
+    assert sum(r.contaminated for r in got) > 5
+    assert decontaminate.contamination_report(empty, table).count() == 0
+    assert not any(r.contaminated for r in decontaminate.contamination_report(docs, table.where("item_id < 0")).collect())
+
+
+def test_language_id(spark, empty):
+    rng = random.Random(2)
+    vocab = {"aa": ["bana", "kabana", "nabak", "akab"], "bb": ["strix", "xirt", "tris", "rixt"], "cc": ["жаба", "баж", "абаж"]}
+    rows = [(i, " ".join(rng.choice(vocab[x]) for _ in range(30)), x) for i, x in enumerate(sorted(vocab) * 60)]
+    rows += [(1000, None, "aa"), (1001, "", "aa"), (1002, "123 !?", "bb"), (1003, rows[0][1], None), (1004, "strix " * 40_000, "bb"), (1004, "strix " * 40_000, "bb")]
+    got = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    by_id = {r.doc_id: r for r in got}
+    assert len(got) == len(rows)
+    assert all(by_id[i].lang_pred == x for i, _, x in rows[:180]) and by_id[1004].lang_pred == "bb" and by_id[1003].lang_pred == "aa"
+    assert all(by_id[i].lang_pred == "und" and by_id[i].score == 0 for i in (1000, 1001, 1002))
+    assert all(0 <= r.score <= 1 and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
+    assert langid.identify(empty).count() == 0
+    unlabelled = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
+    assert [r.lang_pred for r in langid.identify(unlabelled).collect()] == ["und"]
+
+
+def test_out_of_place_distance_by_hand():
+    keys, counts = langid.gram_counts([b"ab ab", b"", b"b"])
+    owner, rank, gram = langid.ranked(keys, counts, 400)
+    assert Counter(owner.tolist()) == {0: 7, 2: 4} and sorted(rank[owner == 2].tolist()) == [0, 1, 2, 3]
+    table = langid.Profiles({"x": gram[owner == 0].tolist(), "y": gram[owner == 2].tolist()}, 400)
+    assert table.predict([b"ab ab", b"b", b"."])[0] == ["x", "y", "und"]
+
+
+def test_toxicity(spark, empty):
+    rng = random.Random(4)
+    vocab = [f"{a}{b}{c}" for a in "kmst" for b in "aeiou" for c in "lnr"]
+    rows, labels = [], []
+    for i in range(600):
+        w = [rng.choice(vocab) for _ in range(rng.randrange(20, 80))]
+        bad = i % 5 == 0
+        if bad:
+            w[3] = rng.choice(["grobian", "schuft"])
+        rows.append((i, " ".join(w), "x"))
+        if i < 500:
+            labels.append((i, int(i % 3 > 0), int(bad)))
+    rows += [(700, None, "x"), (701, "", "x"), (702, "grobian " * 20_000, "x"), (599, rows[599][1], "x")]
+    labels += [(700, None, 1), (None, 1, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic string")
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = toxicity.judge_toxicity(docs, known).collect()
+    by_id = {r.doc_id: r for r in got}
+    assert len(got) == len(rows) and by_id[702].toxic and not by_id[701].toxic and not by_id[700].toxic
+    assert all(by_id[i].toxic == (i % 5 == 0) for i in range(500, 600))  # held out
+    assert toxicity.judge_toxicity(empty, known).count() == 0
+    assert {r.p_toxic for r in toxicity.judge_toxicity(docs, known.where("doc_id < 0")).collect()} == {0.0}
+
+
+def test_chain_hands_on_out_of_fold_probabilities(spark):
+    rows = [(i, "alpha" if i % 2 else "beta", i % 2, i % 2) for i in range(200)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, a int, b int")
+    chain = toxicity.fit_chain(labelled, ["a", "b"])
+    assert [len(w) for w in chain] == [toxicity.PLACES + 1, toxicity.PLACES + 2] and chain[1][toxicity.PLACES] > 0

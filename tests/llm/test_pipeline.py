@@ -1,0 +1,58 @@
+"""The pipeline's stages on a small corpus, each against a brute-force version on its own input."""
+
+import random
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline
+from test_operators import corpus, jaccard_brute, leak_brute
+
+COLUMNS = corpus_pipeline.COLUMNS
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    out = str(tmp_path_factory.mktemp("tables"))
+    rng = random.Random(9)
+    rows = [r[:5] for r in corpus(n=90)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").write.parquet(f"{out}/documents.parquet")
+    long = rows[7][1].split()
+    bench = [(1, " ".join(long[100:130])), (2, " ".join(rng.choice(long) for _ in range(25)))]
+    spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{out}/benchmark.parquet")
+    return out, rows, bench
+
+
+def test_stages(spark, folder):
+    out, rows, bench = folder
+    docs = spark.read.parquet(f"{out}/documents.parquet")
+    texts = lambda df: sorted((r.doc_id, r.text) for r in df.collect())
+
+    known = corpus_pipeline.language(spark, docs, out)
+    assert known.columns == COLUMNS
+    assert texts(known) == sorted((r[0], r[1]) for r in rows if any(c.isalpha() for c in r[1] or ""))
+
+    single = corpus_pipeline.near_duplicates(spark, known, out)
+    have = [(r.doc_id, r.text) for r in known.collect()]
+    assert single.columns == COLUMNS and sorted(r.doc_id for r in single.collect()) == sorted({c for _, c, _ in jaccard_brute(have)})
+
+    clean = corpus_pipeline.decontaminated(spark, single, out)
+    have = [(r.doc_id, r.text) for r in single.collect()]
+    assert clean.columns == COLUMNS and sorted(r.doc_id for r in clean.collect()) == [x[0] for x in leak_brute(have, bench) if not x[5]]
+    assert 0 < clean.count() < single.count()
+
+    mix = corpus_pipeline.mixed(spark, clean, out)
+    copies = Counter(r.doc_id for r in mix.collect())
+    assert mix.columns == COLUMNS and max(copies.values()) <= 2 and set(copies) <= {r.doc_id for r in clean.collect()}
+
+    shards = corpus_pipeline.sharded(spark, mix, out).collect()
+    assert Counter(r.doc_id for r in shards) == copies and {r.law for r in shards} == {"key"}
+
+
+def test_run_and_empty_tables(spark, folder, tmp_path):
+    out, _, _ = folder
+    assert corpus_pipeline.run(spark, out).count() > 0
+    docs = spark.read.parquet(f"{out}/documents.parquet")
+    docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{out}/benchmark.parquet").limit(0).write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

@@ -44,9 +44,10 @@ def _letter_codes() -> np.ndarray:
 def gram_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Keys ``text index << 26 | gram`` in ascending order, and their counts."""
     lowered = [t.decode("utf-8", "replace").lower() for t in texts]
-    points = np.frombuffer("\n".join([*lowered, ""]).encode("utf-32-le", "replace"), np.uint32)
+    # Each text with the boundary before it, and a last boundary: no n-gram spans two texts' letters.
+    points = np.frombuffer("\n".join(["", *lowered, ""]).encode("utf-32-le", "replace"), np.uint32)
     code = _letter_codes()[points]
-    owner = np.repeat(np.arange(len(texts), dtype=np.int64), [len(t) + 1 for t in lowered]) << _GRAM_BITS
+    owner = np.repeat(np.arange(len(texts), dtype=np.int64), [len(t) + 1 for t in lowered[:-1]] + [len(lowered[-1]) + 2]) << _GRAM_BITS
     a, b, c = code[:-2], code[1:-1], code[2:]
     one = code > 0
     two = (code[:-1] > 0) | (code[1:] > 0)
