@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def _beta_fraction(a: np.ndarray, b: float, x: np.ndarray, steps: int = 300) -> np.ndarray:
@@ -50,7 +51,7 @@ def _mirror(a: float, b: float, y: float) -> float:
     return float(_beta_fraction(np.array([b]), a, np.array([y]))[0])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _p(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(t_two_sided(t.to_numpy(float), df.to_numpy(float)))
 
