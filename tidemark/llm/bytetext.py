@@ -19,7 +19,7 @@ _INV = pow(_MUL, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
 
 #: Bytes of text handled by one vectorised step; a longer text is a step of its own.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 512 << 10
 STEP_ROWS = 2048
 
 
