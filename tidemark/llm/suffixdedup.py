@@ -4,9 +4,12 @@ Two documents that share such a string share an *anchor* in it: the k-gram of le
 So each document is cut into segments, one per run of windows with the same anchor, and only segments that meet another
 document's at their anchor are looked at further.
 
-1. In each Arrow batch, segments are found with vectorised hashes. Of equal segments only the earliest document's go
-   on; the others are covered by it. This keeps a passage that many documents hold to one row a batch.
-2. By anchor: segments equal to an earlier document's are covered whole; unequal segments at one anchor are undecided.
+1. Which anchors stand in two documents? Only (anchor key, document) is shuffled; the key has just enough bits for the
+   corpus (false meetings cost work, not correctness). An anchor in many documents of one Arrow batch is known to be
+   shared there, so two rows stand for the batch and no task gathers all its documents.
+2. Documents get their shared anchors back, and the segments there meet by anchor. Of equal segments in a batch only the
+   earliest document's go on; the others are covered by it. Segments equal to an earlier document's are covered whole;
+   unequal segments at one anchor are undecided.
 3. The undecided segments' bytes are gathered by anchor into blocks, and each block gets a suffix array by two-stage
    sorting: suffixes smaller than their successor are sorted directly, all others are induced from them by one scan over
    the buckets of first bytes; common prefixes of adjacent suffixes then show which windows start in which documents.
@@ -34,6 +37,8 @@ LENGTH = 50
 GRAM = 16
 #: Bytes of segments sorted together; a larger group of one anchor is a block of its own.
 BLOCK_BYTES = 4 << 20
+#: Documents of a batch from which an anchor counts as shared without meeting others.
+COMMON = 32
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -66,37 +71,81 @@ def segments(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tupl
     first = np.flatnonzero(fresh & inside)
     stop = np.flatnonzero(inside & ~np.concatenate([inside[1:] & ~fresh[1:], [False]])) + 1
     whole = span_hashes(buf, first, stop - 1 + length)
-    return owner[first], first - begins[owner[first]], stop - first, hashes[anchor[first]].view(np.int64), (whole >> np.uint64(32)).astype(np.int64)
+    return owner[first], first - begins[owner[first]], stop - first, hashes[anchor[first]].view(np.int64), whole.view(np.int64)
 
 
-def _find_segments(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """doc, lo (first window), n (windows), k (anchor), seg, known: covered by an earlier document of the batch."""
+def _key(k: np.ndarray, bits: int) -> np.ndarray:
+    return (k.view(np.uint64) >> np.uint64(64 - bits)).view(np.int64)
+
+
+def _anchor_rows(docs: DataFrame, length: int, gram: int, bits: int) -> DataFrame:
+    """k (anchor key), doc: once per document and key; ``sure`` has the key where it is known to be shared, and k is spread then."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = np.array(batch.column("doc_id"), np.int64)
             parts = []
+            for lo, hi, texts in text_steps(batch, "text"):
+                owner, _, _, k, _ = segments(texts, length, gram)
+                parts.append((_key(k, bits), ids[lo:hi][owner]))
+            k, doc = (np.concatenate(x) for x in zip(*parts)) if parts else [np.empty(0, np.int64)] * 2
+            if not len(k):
+                continue
+            order = np.lexsort((doc, k))
+            k, doc = k[order], doc[order]
+            once = np.concatenate([[True], (k[1:] != k[:-1]) | (doc[1:] != doc[:-1])])
+            k, doc = k[once], doc[once]
+            head = np.concatenate([[True], k[1:] != k[:-1]])
+            group = np.cumsum(head) - 1
+            common = (np.bincount(group) > COMMON)[group]
+            plain = ~common | head | np.concatenate([[False], head[:-1]])  # two documents stand for a common anchor
+            sure = k[common]
+            spread = _key(mix(sure.view(np.uint64) + mix(doc[common].view(np.uint64))).view(np.int64), bits)
+            rows = int(plain.sum())
+            keys, ids = np.concatenate([k[plain], spread]), np.concatenate([doc[plain], doc[common]])
+            known = np.concatenate([np.zeros(rows, np.int64), sure])
+            unknown = np.arange(len(keys)) < rows
+            for a in range(0, len(keys), 500_000):
+                s = slice(a, a + 500_000)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[s]), pa.array(ids[s]), pa.array(known[s], mask=unknown[s])], ["k", "doc", "sure"])
+
+    return docs.mapInArrow(run, "k long, doc long, sure long")
+
+
+def _shared_segments(rows: DataFrame, length: int, gram: int, bits: int) -> DataFrame:
+    """doc, lo (first window), n (windows), k (anchor), seg, known: covered by an earlier document of the batch.
+
+    ``rows``: doc, text, keys (of the shared anchors of the document).
+    """
+    pair = lambda key, text: mix(key.view(np.uint64) + mix(text.astype(np.uint64)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = np.array(batch.column("doc"), np.int64)
+            wanted = batch.column("keys")
+            parts = []
             for lo, hi, texts in text_steps(batch, "text"):
                 owner, first, n, k, seg = segments(texts, length, gram)
-                parts.append((ids[lo:hi][owner], first, n, k, seg))
+                lists = wanted.slice(lo, hi - lo)
+                of = np.repeat(np.arange(hi - lo), [len(x) for x in lists])
+                on = np.isin(pair(_key(k, bits), owner), pair(np.asarray(lists.flatten()).astype(np.int64), of))
+                parts.append((ids[lo:hi][owner[on]], first[on], n[on], k[on], seg[on]))
             doc, first, n, k, seg = (np.concatenate(x) for x in zip(*parts)) if parts else [np.empty(0, np.int64)] * 5
             if not len(doc):
                 continue
             order = np.lexsort((doc, mix(k.view(np.uint64) + seg.view(np.uint64))))
             doc, first, n, k, seg = doc[order], first[order], n[order], k[order], seg[order]
             head = np.concatenate([[True], (k[1:] != k[:-1]) | (seg[1:] != seg[:-1])])
-            earliest = doc[head][np.cumsum(head) - 1]
-            known = doc > earliest
+            known = doc > doc[head][np.cumsum(head) - 1]
             # Covered segments need no meeting; they are dealt out evenly by a key of their own.
             k = np.where(known, mix(doc.view(np.uint64) * np.uint64(31) + first.view(np.uint64)).view(np.int64), k)
+            seg = np.where(known, 0, seg)
             for a in range(0, len(doc), 200_000):
                 s = slice(a, a + 200_000)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(k[s]), pa.array(doc[s]), pa.array(first[s].astype(np.int32)), pa.array(n[s].astype(np.int16)), pa.array(seg[s].astype(np.uint32).view(np.int32)), pa.array(known[s])],
-                    ["k", "doc", "lo", "n", "seg", "known"],
-                )
+                made = [pa.array(k[s]), pa.array(doc[s]), pa.array(first[s]), pa.array(n[s].astype(np.int16)), pa.array(seg[s]), pa.array(known[s])]
+                yield pa.RecordBatch.from_arrays(made, ["k", "doc", "lo", "n", "seg", "known"])
 
-    return docs.mapInArrow(run, "k long, doc long, lo int, n short, seg int, known boolean")
+    return rows.mapInArrow(run, "k long, doc long, lo long, n short, seg long, known boolean")
 
 
 def suffix_array(text: np.ndarray, depth: int = LENGTH + 6) -> np.ndarray:
@@ -258,7 +307,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
     """Covered byte ranges (doc, lo, hi; they may overlap), and the texts (doc_id, text) they refer to."""
     texts = docs.select("doc_id", "text")
-    found = _find_segments(texts.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long"), "text"), length, gram)
+    named = texts.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = min(63, max(24, int(size).bit_length() + 4))  # an anchor per 18 bytes: about 1 false meeting in 256 anchors
+    by_key = Window.partitionBy("k")
+    shared = (
+        _anchor_rows(named, length, gram, bits)
+        .withColumn("meets", F.max("doc").over(by_key) > F.min("doc").over(by_key))
+        .where(F.col("sure").isNotNull() | F.col("meets"))
+        .select("doc", F.coalesce("sure", "k").alias("k"))
+    )
+    keys = shared.repartition("doc").groupBy("doc").agg(F.collect_list("k").alias("keys"))
+    at_shared = texts.join(keys, F.col("doc_id") == F.col("doc")).select("doc", "text", "keys")
+    found = _shared_segments(at_shared, length, gram, bits)
     anchor, segment = Window.partitionBy("k"), Window.partitionBy("k", "seg").orderBy("doc")
     ordered = anchor.orderBy("seg", "doc").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     met = (
@@ -268,7 +329,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
         .select("k", "doc", "lo", "n", F.when(~F.col("known") & (F.col("doc") == F.col("first_doc")), F.lit(True)).otherwise(F.lit(False)).alias("open"))
     )
     # All of a document's segments of interest in one row: as many as its length allows.
-    by_doc = met.groupBy("doc").agg(
+    by_doc = met.withColumn("k", F.when(F.col("open"), F.col("k"))).repartition("doc").groupBy("doc").agg(
         F.collect_list(F.when(~F.col("open"), F.struct("lo", "n"))).alias("closed"),
         F.collect_list(F.when(F.col("open"), F.struct("k", "lo", "n"))).alias("open"),
     )
@@ -279,7 +340,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     segs = (
         texts.join(wanted, F.col("doc_id") == F.col("doc"))
         .select("doc", F.col("text").cast("binary").alias("b"), F.explode("open").alias("x"))
-        .select(F.col("x.k").alias("k"), "doc", F.col("x.lo").cast("long").alias("lo"), F.substring("b", F.col("x.lo") + 1, F.col("x.n") - 1 + length).alias("bytes"))
+        .select(F.col("x.k").alias("k"), "doc", F.col("x.lo").cast("long").alias("lo"), F.substring("b", (F.col("x.lo") + 1).cast("int"), (F.col("x.n") - 1 + length).cast("int")).alias("bytes"))
     )
     undecided = _resolve(segs.repartition("k").sortWithinPartitions("k"), length)
     return closed.unionByName(undecided), texts
