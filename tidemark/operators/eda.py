@@ -15,6 +15,8 @@ PERCENTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 
 def long_form(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """feature, value (finite double or null) and ``keep``: one row per cell."""
+    if not columns:
+        return df.select(*keep, F.lit("").alias("feature"), F.lit(0.0).alias("value")).limit(0)
     cells = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), finite(F.col(c)).alias("value")) for c in columns]))
     return df.select(*keep, cells.alias("__c")).select(*keep, "__c.feature", "__c.value")
 
