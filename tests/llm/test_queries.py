@@ -1,0 +1,35 @@
+"""Corpus queries with SQL against DuckDB on the smallest tables."""
+
+import os
+
+import duckdb
+import pytest
+
+from tidemark.llm.queries import ORACLES, QUERIES
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    df, sql = QUERIES[name](spark, SF), con.sql(ORACLES[name])
+    assert sorted(df.columns) == sorted(sql.columns)
+    at = [list(sql.columns).index(c) for c in df.columns]
+    close = lambda v: round(v, 6) if isinstance(v, float) else v
+    assert sorted(tuple(map(close, r)) for r in df.collect()) == sorted(tuple(close(r[i]) for i in at) for r in sql.fetchall())
+
+
+def test_language_is_told_on_held_out_rows(spark):
+    known = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = [r for r in QUERIES["op10_langid"](spark, SF).collect() if r.held_out]
+    assert sum(known[r.doc_id] == r.lang_pred for r in got) >= 0.95 * len(got) > 0
+
+
+def test_toxic_rows_are_told(spark):
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    got = {r.doc_id: r.toxic for r in QUERIES["op6_toxicity"](spark, "/root/testdata/sf0.01").collect()}
+    assert sum(got[d] == bool(t) for d, t in labels.items()) >= 0.97 * len(labels)

@@ -124,8 +124,8 @@ class WuManber:
         return first[sure], window[sure]
 
 
-def _search_block(docs: DataFrame, windows: list[tuple[bytes, int, list[str]]]) -> DataFrame:
-    """doc_id, n_words, hit_spans (maximal runs [first, end) of hit words), items."""
+def _search_block(docs: DataFrame, windows: list[tuple[bytes, int, list[str]]], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns in ``keep`` with n_words, hit_spans (maximal runs [first, end) of hit words), items."""
     shared = docs.sparkSession.sparkContext.broadcast(windows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,16 +162,16 @@ def _search_block(docs: DataFrame, windows: list[tuple[bytes, int, list[str]]])
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(lo, hi - lo), pa.array(words.count(), pa.int64()),
+                        *(batch.column(c).slice(lo, hi - lo) for c in keep), pa.array(words.count(), pa.int64()),
                         pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))),
                         pa.array([sorted(i) for i in items], pa.list_(pa.string())),
                     ],
-                    ["doc_id", "n_words", "hit_spans", "items"],
+                    [*keep, "n_words", "hit_spans", "items"],
                 )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_words long, hit_spans array<struct<first:long,end:long>>, items array<string>"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    schema = f"{kinds}, n_words long, hit_spans array<struct<first:long,end:long>>, items array<string>"
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
 
 
 def _merge_spans(spans):
@@ -187,24 +187,25 @@ def _merge_spans(spans):
     return F.aggregate(ordered, F.slice(ordered, 1, 0), step)
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
-    """One row per document: doc_id, n_words, hit_spans, items (ids of the benchmark items with occurring windows)."""
+def _window_blocks(benchmark: DataFrame, window: int, max_windows: int) -> list[list[tuple[bytes, int, list[str]]]]:
+    """All windows with their items, in blocks of about ``max_windows`` at most."""
     windows = item_windows(benchmark, window)
-    count = windows.count()
-    blocks = max(1, -(-count // max_windows))
+    blocks = max(1, -(-windows.count() // max_windows))
     by_window = windows.groupBy("window", "n").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    part = lambda i: by_window.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == i)
+    return [[(r["window"].encode(), r["n"], list(r["items"])) for r in part(i).toLocalIterator()] for i in range(blocks)]
 
-    def table(i: int) -> list[tuple[bytes, int, list[str]]]:
-        part = by_window.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == i)
-        return [(r["window"].encode(), r["n"], list(r["items"])) for r in part.collect()]  # at most about max_windows rows
 
-    if blocks == 1:
-        return _search_block(docs, table(0))
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
+    """One row per document: doc_id, n_words, hit_spans, items (ids of the benchmark items with occurring windows)."""
+    blocks = _window_blocks(benchmark, window, max_windows)
+    if len(blocks) == 1:
+        return _search_block(docs, blocks[0])
     # Repeated doc_ids stay apart: rows are matched by a row key made before the passes.
     keyed = docs.select(F.struct("doc_id", F.monotonically_increasing_id().alias("row")).alias("doc_id"), "text")
-    found = _search_block(keyed, table(0))
-    for i in range(1, blocks):
-        found = found.unionByName(_search_block(keyed, table(i)))
+    found = _search_block(keyed, blocks[0])
+    for block in blocks[1:]:
+        found = found.unionByName(_search_block(keyed, block))
     merged = found.groupBy("doc_id").agg(
         F.first("n_words").alias("n_words"),
         F.flatten(F.collect_list("hit_spans")).alias("hit_spans"),
@@ -213,6 +214,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     return merged.select(F.col("doc_id.doc_id").alias("doc_id"), "n_words", _merge_spans(F.col("hit_spans")).alias("hit_spans"), "items")
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
+    """Rows without any window, all columns as they are; one narrow pass per block of windows, no shuffle."""
+    names = docs.columns
+    for block in _window_blocks(benchmark, window, max_windows):
+        docs = _search_block(docs, block, tuple(names)).where(F.size("items") == 0).select(*names)
+    return docs
+
+
 def contamination_report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     found = find_contamination(docs, benchmark, window, max_windows)
