@@ -3,8 +3,9 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each result as Parquet and reads it
 again as the next stage's documents. All stages but the last return the columns of ``documents``.
 
-Nulls, empty and repeated rows: a document without a letter (null and empty text included) goes in the first stage; of
-rows repeating a doc_id, one with the smallest text stays in the second; an empty table passes through all stages.
+Nulls, empty and repeated rows: a document without a letter (null and empty text included) goes in the first stage; a row
+without doc_id goes in the second, where of rows repeating a doc_id one with the least text hash stays; a null source is
+a source of its own; an empty table passes through all stages; columns other than those of documents are not carried.
 """
 
 from __future__ import annotations
@@ -37,16 +38,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark window."""
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaks = decontaminate.find_contamination(docs, benchmark).where(F.size("items") > 0).select("doc_id")
-    return docs.select(*COLUMNS).join(leaks, "doc_id", "left_anti").select(*COLUMNS)
+    return decontaminate.drop_contaminated(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; the document at a source's budget is taken whole."""
-    plan = mixing.plan_mix(docs)
-    copies = plan.where("taken > 0").select("doc_id", F.ceil(F.col("taken") / F.col("size")).cast("int").alias("__copies"))
-    repeated = docs.select(*COLUMNS).join(copies, "doc_id").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    own = docs.select(*COLUMNS, F.md5("text").alias("__text"))
+    plan = mixing.plan_mix(own, keep=["__text"]).where("taken > 0")
+    # Repeated rows have one plan between them.
+    copies = plan.groupBy(F.col("doc_id").alias("__id"), F.col("__text").alias("__t")).agg(F.max(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias("__copies"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("__text").eqNullSafe(F.col("__t"))
+    repeated = own.join(copies, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
     return repeated.select(*COLUMNS)
 
 
