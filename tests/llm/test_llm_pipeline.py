@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from test_operators import corpus, jaccard_brute, leak_brute
+from test_llm_operators import corpus, jaccard_brute, leak_brute
 
 COLUMNS = corpus_pipeline.COLUMNS
 
