@@ -30,7 +30,7 @@ SELECT cust_id, recency_days, round(recency_days / (recency_days + 120.0), 6) AS
   round(100.0 * recency_days / (recency_days + 120.0), 4) AS churn_rate, items AS item_last, revenue AS revenue_last,
   CASE WHEN recency_days > 180 THEN 'Not seen' WHEN complaints > 2 THEN 'Complaints' END AS reason_1, CASE WHEN delays > 6 THEN 'Delays' END AS reason_2, CASE WHEN items < 25 THEN 'Few items' END AS reason_3,
   CASE WHEN recency_days >= 90 THEN 1 ELSE 0 END AS churn_flag, last_month
-FROM (SELECT cust_id, CAST({days} AS DOUBLE) AS recency_days, max(report_month) AS last_month, sum(item_count) AS items, sum(total_fee) AS revenue, sum(total_complaint) AS complaints, sum(delay_count) AS delays
+FROM (SELECT cust_id, CAST({days} AS DOUBLE) AS recency_days, max(report_month) AS last_month, CAST(sum(item_count) AS BIGINT) AS items, CAST(sum(total_fee) AS BIGINT) AS revenue, sum(total_complaint) AS complaints, sum(delay_count) AS delays
       FROM {t} WHERE report_month <= DATE '2001-07-01' GROUP BY cust_id)"""
 SCORED = f"scored AS ({_SCORED.format(days='DATE ' + chr(39) + T_OBS + chr(39) + ' - max(report_month)', t='cust_month')}), risk AS (SELECT * FROM scored WHERE churn_flag = 1)"
 

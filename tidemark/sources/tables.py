@@ -8,14 +8,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_own: list[str] = []
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
     """A new path under ``spark.checkpoint.dir`` (a temporary folder only where that is unset, as in tests)."""
     named = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING, None)
     if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set(_SETTING, named)
+        if not _own:
+            _own.append("file://" + tempfile.mkdtemp(prefix="tidemark-"))
+        named = _own[0]
     return f"{named.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
