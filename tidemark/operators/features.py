@@ -98,8 +98,8 @@ def _months(name: str) -> Column:
     return F.collect_list(F.struct(ago.alias("k"), F.col(_PIVOT_SOURCE.get(name, f"{name}_sum")).cast("double").alias("v"))).alias(f"__{name}")
 
 
-def agg_window_base(in_windows: DataFrame) -> DataFrame:
-    """Level 2: sums, means, population deviations, medians and extremes per customer and window."""
+def base_measures() -> list[Column]:
+    """Level 2: sums, means, population deviations, medians and extremes."""
     s = lambda c, n, t="long": F.sum(c).cast(t).alias(n)
     out = [F.count(F.lit(1)).alias("month_count")]
     for m in ("item", "revenue", "complaint"):
@@ -111,20 +111,27 @@ def agg_window_base(in_windows: DataFrame) -> DataFrame:
         *[s(c, c, "double") for c in ("delay_day_sum", "refund_sum", "noaccepted_sum", "lost_sum", "nodone_sum", "intra_prov_sum", "intl_sum")],
         F.avg("order_score_avg").alias("order_score_avg"), F.stddev_pop("order_score_avg").alias("order_score_std"),
         F.avg("satisfaction_avg").alias("satisfaction_avg"), F.stddev_pop("satisfaction_avg").alias("satisfaction_std"),
-        F.countDistinct(F.when(F.col("item_sum") > 0, F.col("month_key"))).alias("active_months"), F.avg("avg_lastday").alias("avg_lastday"),
+        F.size(F.collect_set(F.when(F.col("item_sum") > 0, F.col("month_key")))).cast("long").alias("active_months"), F.avg("avg_lastday").alias("avg_lastday"),
         *[s(f"ser_{x}", f"ser_{x}_sum") for x in SERVICES],
     ]
-    return in_windows.groupBy(*WINDOW_KEY).agg(*out)
+    return out
+
+
+def agg_window_base(in_windows: DataFrame) -> DataFrame:
+    """The measures of level 2 per customer and window. Distinct months are a set of at most window-size values, not a second exchange."""
+    return in_windows.groupBy(*WINDOW_KEY).agg(*base_measures())
 
 
 def win_extreme_months(in_windows: DataFrame) -> DataFrame:
     return in_windows.groupBy(*WINDOW_KEY).agg(*extreme_months())
 
 
+def slopes() -> list[Column]:
+    return [_slope("item_sum", "item_slope"), _slope("revenue_sum", "revenue_slope"), _slope("satisfaction_avg", "satisfy_slope"), _slope("complaint_sum", "complaint_slope")]
+
+
 def window_slopes(in_windows: DataFrame) -> DataFrame:
-    return in_windows.groupBy(*WINDOW_KEY).agg(
-        _slope("item_sum", "item_slope"), _slope("revenue_sum", "revenue_slope"), _slope("satisfaction_avg", "satisfy_slope"), _slope("complaint_sum", "complaint_slope")
-    )
+    return in_windows.groupBy(*WINDOW_KEY).agg(*slopes())
 
 
 def win_pivot_months(in_windows: DataFrame, size: int, metrics: Sequence[str] = PIVOTS) -> DataFrame:
@@ -140,13 +147,13 @@ def win_pivot_months(in_windows: DataFrame, size: int, metrics: Sequence[str] =
 
 def month_series_arrays(in_windows: DataFrame, metrics: Sequence[str] = PIVOTS) -> DataFrame:
     """For all sizes: one array per metric, oldest month first, missing months 0."""
-    by = in_windows.groupBy(*WINDOW_KEY).agg(*[_months(m) for m in metrics])
+    return in_windows.groupBy(*WINDOW_KEY).agg(*map(_months, metrics)).select(*WINDOW_KEY, *map(_series, metrics))
 
-    def series(m: str) -> Column:
-        value = lambda k: F.coalesce(F.get(F.filter(f"__{m}", lambda x: x["k"] == k), F.lit(0))["v"], F.lit(0.0))
-        return F.transform(F.sequence(F.col("window_size") - 1, F.lit(0), F.lit(-1)), value).alias(f"{m}_months")
 
-    return by.select(*WINDOW_KEY, *map(series, metrics))
+def _series(m: str) -> Column:
+    """Array of a metric from its collected (months ago, value) pairs."""
+    value = lambda k: F.coalesce(F.get(F.filter(f"__{m}", lambda x: x["k"] == k), F.lit(0))["v"], F.lit(0.0))
+    return F.transform(F.sequence(F.col("window_size") - 1, F.lit(0), F.lit(-1)), value).alias(f"{m}_months")
 
 
 def complaint_stats(complaints: DataFrame, start: str, end: str, sizes: Sequence[int]) -> DataFrame:
@@ -223,20 +230,18 @@ def rfm() -> list[Column]:
 def window_features(monthly: DataFrame, complaints: DataFrame, items: DataFrame, start: str, end: str, sizes: Sequence[int], with_months: bool = True) -> DataFrame:
     """The full row per customer and window, for all sizes in one job.
 
-    All parts are aggregated by the same key, so the joins need no exchange beyond the aggregations'.
+    Everything that comes from the months is one aggregation; complaints and send days are aggregated by the same key, so
+    the two joins need no exchange of their own.
     """
     held = to_windows(monthly, F.col("report_month"), start, end, sizes)
-    base = agg_window_base(held)
-    parts = [
-        win_extreme_months(held), window_slopes(held), complaint_stats(complaints, start, end, sizes), send_day_stats(items, start, end, sizes),
-        *([month_series_arrays(held)] if with_months else []),
-    ]
-    for p in parts:
-        base = base.join(p, list(WINDOW_KEY), "left")
+    lists = list(map(_months, PIVOTS)) if with_months else []
+    base = held.groupBy(*WINDOW_KEY).agg(*base_measures(), *extreme_months(), *slopes(), *lists)
+    base = base.join(complaint_stats(complaints, start, end, sizes), list(WINDOW_KEY), "left").join(send_day_stats(items, start, end, sizes), list(WINDOW_KEY), "left")
     drop = {"active_days", "window_days", "recency_days", "month_count", "months_with_complaint_ct", "delay_count_ct", "item_max", "item_min", "revenue_max", "revenue_min", "complaint_max", "complaint_min"}
-    plain = [c for c in base.columns if c not in drop and c != "complaint_diversity"]
+    plain = [c for c in base.columns if c not in drop and c != "complaint_diversity" and not c.startswith("__")]
+    series = list(map(_series, PIVOTS)) if with_months else []
     return base.select(
-        *plain, F.coalesce("complaint_diversity", F.lit(0)).alias("complaint_diversity"), *ratios(), *volatility(), *activity(), *service_mix(), *rfm()
+        *plain, *series, F.coalesce("complaint_diversity", F.lit(0)).alias("complaint_diversity"), *ratios(), *volatility(), *activity(), *service_mix(), *rfm()
     )
 
 

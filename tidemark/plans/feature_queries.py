@@ -10,6 +10,7 @@ from tidemark.operators import features as X
 from tidemark.plans import views as V
 from tidemark.plans.registry import query, rounded, sql_round
 from tidemark.plans.views import DATA_START, T_OBS
+from tidemark.sources.tables import staged
 
 SIZES = (3, 6, 12)
 
@@ -23,9 +24,10 @@ def in_windows(spark: SparkSession, sf_dir: str, sizes=SIZES) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str, sizes=(3,), start: str = DATA_START, with_months: bool = True) -> DataFrame:
-    return X.window_features(
-        X.agg_monthly(V.cust_month(spark, sf_dir), start), V.complaints(spark, sf_dir), V.items(spark, sf_dir), start, T_OBS, sizes, with_months
-    )
+    """The items are joined once and written in the few columns that all levels read."""
+    items = staged(V.items(spark, sf_dir), "items")
+    monthly_rows = X.agg_monthly(V.months_of(items), start)
+    return X.window_features(monthly_rows, V.complaints_of(items), items, start, T_OBS, sizes, with_months)
 
 
 MONTHLY = """
@@ -355,7 +357,8 @@ lifetime AS (
 
 
 def lifetime(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.lifetime_features(V.cust_month(spark, sf_dir), V.cust_info(spark, sf_dir), V.items(spark, sf_dir), AS_OF)
+    items = staged(V.items(spark, sf_dir), "items")
+    return X.lifetime_features(V.months_of(items), V.cust_info(spark, sf_dir), items, AS_OF)
 
 
 @query("lifetime_features", f"WITH {LIFETIME_CTE} SELECT * FROM lifetime")

@@ -58,11 +58,14 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cust_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return months_of(items(spark, sf_dir))
+
+
+def months_of(sent: DataFrame) -> DataFrame:
     """One row per customer and month of sending."""
     total = lambda c: F.sum(c).cast("long")
     return (
-        items(spark, sf_dir)
-        .groupBy("cust_id", F.trunc("send_date", "month").alias("report_month"))
+        sent.groupBy("cust_id", F.trunc("send_date", "month").alias("report_month"))
         .agg(
             F.count(F.lit(1)).alias("item_count"),
             total("weight_kg").alias("weight_kg"),
@@ -85,7 +88,11 @@ def cust_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return items(spark, sf_dir).where("complaint = 1").select("cust_id", F.col("end_date").alias("create_date"), "complaint_code")
+    return complaints_of(items(spark, sf_dir))
+
+
+def complaints_of(sent: DataFrame) -> DataFrame:
+    return sent.where("complaint = 1").select("cust_id", F.col("end_date").alias("create_date"), "complaint_code")
 
 
 def cust_info(spark: SparkSession, sf_dir: str) -> DataFrame:
