@@ -33,7 +33,7 @@ PLACE_BITS = 18
 PLACES = 1 << PLACE_BITS
 THRESHOLD = 0.5
 #: A place enters a model only if its chi-square statistic against the label is at least this, over the fitted rows.
-MIN_CHI2 = 30.0
+MIN_CHI2 = 20.0
 #: Strength of the pull of weights towards 0, and steps of the fit.
 RIDGE = 1e-4
 STEPS = 120
