@@ -34,11 +34,11 @@ from tidemark.llm.bytetext import mix, span_hashes, text_steps
 from tidemark.llm.staging import staged
 
 LENGTH = 50
-GRAM = 16
+GRAM = 20
 #: Bytes of segments sorted together; a larger group of one anchor is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 #: Documents of a batch from which an anchor counts as shared without meeting others.
-COMMON = 32
+COMMON = 8
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -113,7 +113,7 @@ def _anchor_rows(docs: DataFrame, length: int, gram: int, bits: int) -> DataFram
 
 
 def _shared_segments(rows: DataFrame, length: int, gram: int, bits: int) -> DataFrame:
-    """doc, lo (first window), n (windows), k (anchor), seg, known: covered by an earlier document of the batch.
+    """doc, los (first windows), n (windows), k (anchor), seg, known: covered by an earlier document of the batch.
 
     ``rows``: doc, text, keys (of the shared anchors of the document).
     """
@@ -137,15 +137,21 @@ def _shared_segments(rows: DataFrame, length: int, gram: int, bits: int) -> Data
             doc, first, n, k, seg = doc[order], first[order], n[order], k[order], seg[order]
             head = np.concatenate([[True], (k[1:] != k[:-1]) | (seg[1:] != seg[:-1])])
             known = doc > doc[head][np.cumsum(head) - 1]
+            # A document's repeats of one segment are one row with all their places.
+            own = np.flatnonzero(np.concatenate([[True], head[1:] | (doc[1:] != doc[:-1])]))
+            places = np.append(own, len(doc))
+            k, doc, n, seg, known = k[own], doc[own], n[own], seg[own], known[own]
             # Covered segments need no meeting; they are dealt out evenly by a key of their own.
-            k = np.where(known, mix(doc.view(np.uint64) * np.uint64(31) + first.view(np.uint64)).view(np.int64), k)
+            k = np.where(known, mix(doc.view(np.uint64) * np.uint64(31) + first[own].view(np.uint64)).view(np.int64), k)
             seg = np.where(known, 0, seg)
             for a in range(0, len(doc), 200_000):
                 s = slice(a, a + 200_000)
-                made = [pa.array(k[s]), pa.array(doc[s]), pa.array(first[s]), pa.array(n[s].astype(np.int16)), pa.array(seg[s]), pa.array(known[s])]
-                yield pa.RecordBatch.from_arrays(made, ["k", "doc", "lo", "n", "seg", "known"])
+                cut = places[a : a + 200_001]
+                lists = pa.ListArray.from_arrays(pa.array((cut - cut[0]).astype(np.int32)), pa.array(first[cut[0] : cut[-1]]))
+                made = [pa.array(k[s]), pa.array(doc[s]), lists, pa.array(n[s].astype(np.int16)), pa.array(seg[s]), pa.array(known[s])]
+                yield pa.RecordBatch.from_arrays(made, ["k", "doc", "los", "n", "seg", "known"])
 
-    return rows.mapInArrow(run, "k long, doc long, lo long, n short, seg long, known boolean")
+    return rows.mapInArrow(run, "k long, doc long, los array<long>, n short, seg long, known boolean")
 
 
 def suffix_array(text: np.ndarray, depth: int = LENGTH + 6) -> np.ndarray:
@@ -240,27 +246,34 @@ def covered_windows(parts: list[bytes], docs: np.ndarray, length: int = LENGTH)
 
 
 def _resolve(segs: DataFrame, length: int) -> DataFrame:
-    """doc, lo, hi of covered ranges. ``segs``: k, doc, lo, bytes; sorted by k inside partitions."""
+    """doc, lo, hi of covered ranges. ``segs``: k, doc, los, bytes; sorted by k inside partitions."""
 
-    def block(ks: list, docs: list, los: list, parts: list[bytes]) -> pa.RecordBatch:
-        ids, starts = np.array(docs, np.int64), np.array(los, np.int64)
+    def block(docs: list, los: list, parts: list[bytes]) -> pa.RecordBatch:
+        ids = np.array(docs, np.int64)
         part, window = covered_windows(parts, ids, length)
-        lo = starts[part] + window
         head = np.concatenate([[True], (part[1:] != part[:-1]) | (window[1:] != window[:-1] + 1)])[: len(part)]
         tail = np.concatenate([head[1:], [True]])[: len(part)]
-        return pa.RecordBatch.from_arrays([pa.array(ids[part[head]]), pa.array(lo[head]), pa.array(lo[tail] + length)], ["doc", "lo", "hi"])
+        part, begin, end = part[head], window[head], window[tail] + length
+        # Each range holds at every place of its segment.
+        times = np.array([len(x) for x in los])
+        at = np.cumsum(times) - times
+        flat = np.array([x for places in los for x in places], np.int64)
+        n = times[part]
+        which = np.repeat(np.arange(len(part)), n)
+        place = flat[np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + at[part][which]] if len(which) else flat[:0]
+        return pa.RecordBatch.from_arrays([pa.array(ids[part][which]), pa.array(place + begin[which]), pa.array(place + end[which])], ["doc", "lo", "hi"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list] = [[], [], [], []]
-        size = 0
+        held: list[list] = [[], [], []]
+        size, last = 0, None
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("k", "doc", "lo", "bytes"))):
-                if size >= BLOCK_BYTES and row[0] != held[0][-1]:
+            for k, *row in zip(*(batch.column(c).to_pylist() for c in ("k", "doc", "los", "bytes"))):
+                if size >= BLOCK_BYTES and k != last:
                     yield block(*held)
-                    held, size = [[], [], [], []], 0
+                    held, size = [[], [], []], 0
                 for column, value in zip(held, row):
                     column.append(value)
-                size += len(row[3])
+                size, last = size + len(row[2]), k
         if held[0]:
             yield block(*held)
 
@@ -326,21 +339,22 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
         found.withColumn("first_doc", F.first("doc").over(segment))
         .withColumn("segs", F.last("seg").over(ordered) != F.first("seg").over(ordered))
         .where(F.col("known") | (F.col("doc") > F.col("first_doc")) | F.col("segs"))
-        .select("k", "doc", "lo", "n", F.when(~F.col("known") & (F.col("doc") == F.col("first_doc")), F.lit(True)).otherwise(F.lit(False)).alias("open"))
+        .select("k", "doc", "los", "n", F.when(~F.col("known") & (F.col("doc") == F.col("first_doc")), F.lit(True)).otherwise(F.lit(False)).alias("open"))
     )
     # All of a document's segments of interest in one row: as many as its length allows.
     by_doc = met.withColumn("k", F.when(F.col("open"), F.col("k"))).repartition("doc").groupBy("doc").agg(
-        F.collect_list(F.when(~F.col("open"), F.struct("lo", "n"))).alias("closed"),
-        F.collect_list(F.when(F.col("open"), F.struct("k", "lo", "n"))).alias("open"),
+        F.collect_list(F.when(~F.col("open"), F.struct("los", "n"))).alias("closed"),
+        F.collect_list(F.when(F.col("open"), F.struct("k", "los", "n"))).alias("open"),
     )
     by_doc = staged(by_doc, "repeats")
-    hi = F.col("x.lo") + F.col("x.n") - 1 + length
-    closed = by_doc.select("doc", F.explode("closed").alias("x")).select("doc", F.col("x.lo").cast("long").alias("lo"), hi.cast("long").alias("hi"))
+    closed = by_doc.select("doc", F.explode("closed").alias("x")).select("doc", F.explode("x.los").alias("lo"), "x.n")
+    closed = closed.select("doc", "lo", (F.col("lo") + F.col("n") - 1 + length).alias("hi"))
     wanted = by_doc.where(F.size("open") > 0).select("doc", "open")
+    start, size = (F.get("x.los", F.lit(0)) + 1).cast("int"), (F.col("x.n") - 1 + length).cast("int")
     segs = (
         texts.join(wanted, F.col("doc_id") == F.col("doc"))
         .select("doc", F.col("text").cast("binary").alias("b"), F.explode("open").alias("x"))
-        .select(F.col("x.k").alias("k"), "doc", F.col("x.lo").cast("long").alias("lo"), F.substring("b", (F.col("x.lo") + 1).cast("int"), (F.col("x.n") - 1 + length).cast("int")).alias("bytes"))
+        .select(F.col("x.k").alias("k"), "doc", F.col("x.los").alias("los"), F.substring("b", start, size).alias("bytes"))
     )
     undecided = _resolve(segs.repartition("k").sortWithinPartitions("k"), length)
     return closed.unionByName(undecided), texts
