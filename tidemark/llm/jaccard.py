@@ -43,11 +43,19 @@ SLACK = 4.0
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def runs_needed(threshold: float = THRESHOLD, recall: float = RECALL, depth: int = 2) -> int:
-    """Runs after which a pair at the threshold has met with probability ``recall`` at this depth."""
+def runs_needed(threshold: float = THRESHOLD, recall: float = RECALL, depth: int = DEPTH, coords: int = COORDS) -> int:
+    """Runs after which a pair at the threshold has met with probability ``recall`` at this depth.
+
+    All runs draw from the same ``coords`` coordinates, so the chance is averaged over how many of them the pair shares.
+    """
     extra = 1 / threshold - 1
-    step = (1 - extra) * threshold + extra * (1 - (1 - threshold) ** 2)
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - step**depth)))
+    agree = np.arange(coords + 1) / coords
+    step = (1 - extra) * agree + extra * (1 - (1 - agree) ** 2)
+    share = np.array([math.comb(coords, k) * threshold**k * (1 - threshold) ** (coords - k) for k in range(coords + 1)])
+    runs = 1
+    while share @ (1 - step**depth) ** runs > 1 - recall:
+        runs += 1
+    return runs
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
