@@ -287,6 +287,26 @@ def test_suffix_dedup(spark, docs, empty):
     assert {r.doc_id: r.n_removed for r in suffixdedup.remove_repeats(null).collect()} == {None: 0, 1: 0, 2: 80}
 
 
+def test_suffix_dedup_bounds_a_block_of_one_anchor(spark, monkeypatch):
+    """A phrase in many surroundings: no suffix array gets all its segments, and the rows stay right."""
+    monkeypatch.setattr(suffixdedup, "BLOCK_BYTES", 2000)
+    whole = suffixdedup.covered_windows
+
+    def bounded(parts, docs, length):
+        if sum(map(len, parts)) > 4100:
+            raise ValueError("a block is too large")
+        return whole(parts, docs, length)
+
+    monkeypatch.setattr(suffixdedup, "covered_windows", bounded)
+    rng = random.Random(8)
+    noise = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    phrase, tails = noise(30), [noise(30) for _ in range(20)]
+    rows = [(i, noise(60) + phrase + (tails[i % 20] if i % 2 else noise(30)) + noise(40)) for i in range(400)]
+    got = suffixdedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(tuple(r) for r in got) == suffix_brute(rows)
+    assert sum(r.n_removed for r in got) > 5000
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.binary(max_size=200).map(lambda b: bytes(x % 3 for x in b)))
 def test_two_stage_sorting(text):

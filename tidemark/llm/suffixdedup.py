@@ -13,6 +13,8 @@ document's at their anchor are looked at further.
 3. The undecided segments' bytes are gathered by anchor into blocks, and each block gets a suffix array by two-stage
    sorting: suffixes smaller than their successor are sorted directly, all others are induced from them by one scan over
    the buckets of first bytes; common prefixes of adjacent suffixes then show which windows start in which documents.
+   An anchor with more bytes than a block has none: its windows are dealt out by their bytes, and each is covered if the
+   least document with it is an earlier one.
 4. The covered ranges of a document are united and cut out of its text.
 
 Defined results: null text is empty; a row without doc_id has no place in the order and is left whole; rows of equal
@@ -35,7 +37,7 @@ from tidemark.llm.staging import staged
 
 LENGTH = 50
 GRAM = 20
-#: Bytes of segments sorted together; a larger group of one anchor is a block of its own.
+#: Bytes of segments sorted together; the windows of a larger group of one anchor are dealt out by their bytes.
 BLOCK_BYTES = 1 << 20
 #: Documents of a batch from which an anchor counts as shared without meeting others.
 COMMON = 8
@@ -280,6 +282,15 @@ def _resolve(segs: DataFrame, length: int) -> DataFrame:
     return segs.mapInArrow(run, "doc long, lo long, hi long")
 
 
+def _resolve_dealt(segs: DataFrame, length: int) -> DataFrame:
+    """doc, lo, hi of covered windows, for anchors too large for a block. Equal windows have equal anchors, so the bytes suffice."""
+    windows = segs.select("doc", "los", "bytes", F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - length)).alias("i"))
+    windows = windows.select("doc", "los", "i", F.expr(f"substring(bytes, i + 1, {length})").alias("window"))
+    first = windows.groupBy("window").agg(F.min("doc").alias("first_doc"))
+    covered = windows.join(first, "window").where("doc > first_doc").select(F.explode("los").alias("lo"), "doc", "i")
+    return covered.select("doc", (F.col("lo") + F.col("i")).alias("lo"), (F.col("lo") + F.col("i") + length).alias("hi"))
+
+
 def _cut(rows: DataFrame, kind: str) -> DataFrame:
     """Unite the ranges of each row and cut them out. ``rows``: doc_id, text, lows, highs (of ranges, or null)."""
 
@@ -356,5 +367,10 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
         .select("doc", F.col("text").cast("binary").alias("b"), F.explode("open").alias("x"))
         .select(F.col("x.k").alias("k"), "doc", F.col("x.los").alias("los"), F.substring("b", start, size).alias("bytes"))
     )
-    undecided = _resolve(segs.repartition("k").sortWithinPartitions("k"), length)
-    return closed.unionByName(undecided), texts
+    sizes = wanted.select(F.explode("open").alias("x")).groupBy("x.k").agg(F.sum(F.col("x.n") - 1 + length).alias("size"))
+    large = staged(sizes.where(F.col("size") > BLOCK_BYTES).select("k"), "large-anchors")
+    if large.isEmpty():
+        return closed.unionByName(_resolve(segs.repartition("k").sortWithinPartitions("k"), length)), texts
+    large = F.broadcast(large)  # one key for each BLOCK_BYTES of segments at most
+    small = segs.join(large, "k", "left_anti").repartition("k").sortWithinPartitions("k")
+    return closed.unionByName(_resolve(small, length)).unionByName(_resolve_dealt(segs.join(large, "k", "left_semi"), length)), texts
