@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import eda, features, ingest, model, monitor, prep, reasons, windows
+from tidemark.operators import eda, features, ingest, model, monitor, pipeline, prep, reasons, windows
 from tidemark.sources import readers, sinks
 from tidemark.sources.tables import shared_path
 from tidemark.streaming import feeds
@@ -124,6 +124,34 @@ def test_training_and_scores(spark):
         model.ModelConfig(learning_rate=0)
 
 
+def test_monthly_run_obeys_its_gate(spark, tmp_path):
+    rng = random.Random(6)
+    ends = [D(2024, m, 1) for m in range(3, 13)]
+    rows, months_of = [], []
+    for c in range(60):
+        stays = c % 2 == 0
+        for e in ends:
+            rows.append((c, 3, e, 9.0 if stays else 1.0 + rng.random()))
+        if stays:
+            months_of += [(c, D(2024, m, 1), 3, 100) for m in range(1, 13)]
+    series = {f"{x}_months": F.array(*[F.lit(1.0)] * 3) for x in ("item", "revenue", "complaint", "delay", "nodone", "order", "satisfaction")}
+    others = [c for c in (*pipeline.FEATURES, "complaint_diversity", "cv_item", "service_types_used", "dominant_service_ratio", "item_slope", "revenue_slope") if c != "item_sum" and "ewma" not in c]
+    table = spark.createDataFrame(rows, "cust_id long, window_size int, window_end date, item_sum double").withColumns(series).withColumns({c: F.lit(1.0) for c in others})
+    past = spark.createDataFrame(months_of, "cust_id long, report_month date, item_count long, total_fee long")
+    small = dict(max_depth=2, rounds=2, learning_rate=0.3)
+    run = lambda history=None, path=None, **gates: pipeline.monthly_run(table, past, pipeline.RunConfig("2024-12-01", "2024-01-01", model=model.ModelConfig(**small, **gates)), history, risk_path=path)
+    path = str(tmp_path / "risk")
+    good = run(path=path)
+    assert good["run"].first().accepted and good["scored"].count() == 60
+    assert spark.read.parquet(path).count() == good["risk"].count() == good["scored"].where("churn_flag = 1").count() > 0
+    failed = run(min_f05=1.1, path=path)
+    assert not failed["run"].first().passed and failed["scored"].count() == failed["risk"].count() == 0
+    assert spark.read.parquet(path).count() > 0
+    better = spark.createDataFrame([("2024-11-01", 2, 1.0, 0.9), ("2025-01-01", 2, 2.0, 0.9)], "as_of string, horizon int, f05 double, pr_auc double")
+    rejected = run(better)
+    assert rejected["run"].first().passed and not rejected["run"].first().accepted and rejected["scored"].count() == 0
+
+
 def test_profiles(spark):
     values = [float(i) for i in range(100)] + [999.0]
     df = spark.createDataFrame([(v, 5.0, None) for v in values], "x double, c double, n double")
