@@ -1,28 +1,73 @@
-"""Tables written to and read from the folder that the whole cluster shares."""
+"""Intermediate tables in the folder that the whole cluster shares: written once, read again, dropped when done with."""
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _own: list[str] = []
 
 
-def shared_path(spark: SparkSession, label: str) -> str:
-    """A new path under ``spark.checkpoint.dir`` (a temporary folder only where that is unset, as in tests)."""
+def shared_dir(spark: SparkSession) -> str:
+    """Folder named by ``spark.checkpoint.dir``. Only a local session may leave it unset; it gets a temporary one then."""
     named = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING, None)
     if not named:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError(f"{_SETTING} must name a folder that driver and executors share")
         if not _own:
             _own.append("file://" + tempfile.mkdtemp(prefix="tidemark-"))
         named = _own[0]
-    return f"{named.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
+    return named.rstrip("/")
+
+
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def _shuffles_end_with_the_write(spark: SparkSession) -> Iterator[None]:
+    """What a written table was made of isn't read again, so its shuffle files go at once."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
+def staged(df: DataFrame, label: str, by: str | None = None, parts: int = 0) -> DataFrame:
+    """Write ``df`` once and read it back: lineage ends here and a lost executor costs no recomputation before it.
+
+    With ``by`` the table is bucketed by that column in ``parts`` buckets, and joins on it with another table that is
+    dealt out by the same column and number (``repartition(parts, by)`` or bucketed) move no row of this one.
+    """
+    spark, path = df.sparkSession, shared_path(df.sparkSession, label)
+    with _shuffles_end_with_the_write(spark):
+        if by is None:
+            df.write.option("compression", "zstd").parquet(path)
+            out = spark.read.schema(df.schema).parquet(path)
+        else:
+            name = f"tidemark_{uuid.uuid4().hex}"
+            df.write.bucketBy(parts, by).format("parquet").option("compression", "zstd").option("path", path).saveAsTable(name)
+            out = spark.table(name)
+            out.staged_name = name
+    out.staged_at = path
+    return out
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write once, read back: later uses share the work."""
-    path = shared_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def discard(*frames: DataFrame) -> None:
+    """Delete staged tables; whatever was made of them must have been written."""
+    for df in frames:
+        spark = df.sparkSession
+        if hasattr(df, "staged_name"):
+            spark.sql(f"DROP TABLE IF EXISTS {df.staged_name}")
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        path.getFileSystem(conf).delete(path, True)
