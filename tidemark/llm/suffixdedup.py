@@ -15,8 +15,8 @@ document's at their anchor are looked at further.
 3. The undecided segments' bytes are gathered by anchor into blocks, and each block gets a suffix array by two-stage
    sorting: suffixes smaller than their successor are sorted directly, all others are induced from them by one scan over
    the buckets of first bytes; common prefixes of adjacent suffixes then show which windows start in which documents.
-   An anchor with more bytes than a block has none: its windows are dealt out by their bytes, and each is covered if the
-   least document with it is an earlier one.
+   An anchor with more than ``ANCHOR_BYTES`` has none: its windows are dealt out by their bytes, and each is covered if
+   the least document with it is an earlier one.
 4. The covered ranges of a text are united and cut out of it, and the rows of ``docs`` take their text's result.
 
 Defined results: null text is empty; a row without doc_id has no place in the order and is left whole; rows of equal
@@ -40,8 +40,10 @@ from tidemark.sources.tables import discard, staged
 
 LENGTH = 50
 GRAM = 20
-#: Bytes of segments sorted together; the windows of a larger group of one anchor are dealt out by their bytes.
+#: Bytes of segments sorted together.
 BLOCK_BYTES = 1 << 20
+#: Bytes of one anchor's segments up to which a block holds them; beyond, their windows are dealt out by their bytes.
+ANCHOR_BYTES = 1 << 17
 #: Documents of a batch from which an anchor counts as shared without meeting others.
 COMMON = 8
 #: Bytes of text in a bucket, about.
@@ -369,7 +371,7 @@ def _covered_runs(texts: DataFrame, total: int, length: int, gram: int, parts: i
     discard(keys)
     closed, firsts = met.where("k IS NULL").drop("k"), met.where("k IS NOT NULL")
     anchors = firsts.groupBy("k").agg(F.count(F.lit(1)).alias("segs"), F.sum(F.col("n") - 1 + length).alias("size")).where("segs > 1")
-    undecided = firsts.join(anchors, "k").withColumn("large", F.col("size") > BLOCK_BYTES)
+    undecided = firsts.join(anchors, "k").withColumn("large", F.col("size") > ANCHOR_BYTES)
     undecided = undecided.repartition(parts, "doc").groupBy("doc").agg(F.collect_list(F.struct("k", "large", "nth", "los", "n")).alias("open"))
     undecided = staged(undecided, "undecided", "doc", parts)
 
