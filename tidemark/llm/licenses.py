@@ -2,12 +2,14 @@
 
 One automaton over the lower-cased words of a text (single spaces between them) finds all phrases in one pass; every
 place where a phrase's words stand consecutively counts. A second automaton finds identifier tags in the raw text
-(``SPDX-License-Identifier:`` and kin); the rest of the tag's line is a licence expression, which a shunting-yard
-parser turns into postfix form and evaluates with ``with`` over ``and`` over ``or``.
-
-Defined results: null or empty text has no words and no labels (score 0); a malformed expression yields the labels of
-the identifiers it holds; repeated rows give repeated results; an empty table gives an empty result; other columns of
-the input are not read.
+(``SPDX-License-Identifier:`` and kin); behind a tag, up to the end of its line, stands a licence expression, which a
+shunting-yard parser turns into postfix form and evaluates with ``with`` over ``and`` over ``or``. The expression ends
+where the line stops being one: at the first token that can't follow. Identifiers of no known family name no label.
+
+Defined results: null or empty text has no words and no labels (score 0); a malformed expression (one that breaks off,
+or that closes a bracket too many or too few) yields the labels of the known identifiers it holds; repeated rows give
+repeated results; an empty table gives an empty result; other columns of the input are not read. Time is linear in the
+text and the places found.
 """
 
 from __future__ import annotations
@@ -48,22 +50,55 @@ MORE_PHRASES = {
 #: Tags before a licence expression, lower-cased.
 TAGS = ("spdx-license-identifier:", "license-identifier:", "license-expression:")
 
-#: First part of an identifier and its label; others keep their own name.
-FAMILIES = {"mit": "mit", "apache": "apache", "gpl": "gpl", "lgpl": "lgpl", "agpl": "agpl", "bsd": "bsd", "mpl": "mpl", "epl": "epl", "isc": "isc"}
+#: How an identifier of a known family begins (followed by a hyphen or nothing), and its label.
+FAMILIES = {
+    "mit": "mit", "apache": "apache", "gpl": "gpl", "lgpl": "lgpl", "agpl": "agpl", "bsd": "bsd", "mpl": "mpl", "epl": "epl", "isc": "isc", "bsl": "bsl", "cc0": "cc0",
+    "cc-by": "cc-by", "cc-by-sa": "cc-by-sa", "cc-by-nc": "cc-by-nc", "cc-by-nd": "cc-by-nd", "cc-by-nc-sa": "cc-by-nc-sa", "cc-by-nc-nd": "cc-by-nc-nd",
+}
 
 #: Labels that allow reuse without conditions on derived works.
 OPEN = {"mit", "apache", "bsd", "isc", "bsl", "cc0", "cc-by", "public-domain"}
 
 _BINDS = {"or": 1, "and": 2, "with": 3}
 _TOKEN = re.compile(r"[()]|[A-Za-z0-9][A-Za-z0-9.+-]*")
+#: Between the tokens of an expression.
+_GAP = re.compile(r"[ \t]*")
+
+
+def expression_tokens(line: str) -> list[str]:
+    """Tokens of the expression that ``line`` begins with: up to the first one that can't follow those before it.
+
+    An exception follows ``with`` and isn't checked; elsewhere an operand and an operator take turns.
+    """
+    out: list[str] = []
+    depth, operand_next, at = 0, True, 0
+    while True:
+        at = _GAP.match(line, at).end()
+        found = _TOKEN.match(line, at)
+        if not found:
+            break
+        token = found[0]
+        if token == "(":
+            fits, depth = operand_next, depth + 1
+        elif token == ")":
+            fits, depth = not operand_next and depth > 0, depth - 1
+        elif token.lower() in _BINDS:
+            fits, operand_next = not operand_next, True
+        else:
+            fits, operand_next = operand_next, False
+        if not fits:
+            break
+        out.append(token)
+        at = found.end()
+    return out
 
 
-def postfix(expression: str) -> list[str] | None:
+def postfix(tokens: list[str]) -> list[str] | None:
     """Shunting-yard: identifiers and operators in postfix order; None if the expression is malformed."""
     out: list[str] = []
     held: list[str] = []
     operand_next = True
-    for token in _TOKEN.findall(expression):
+    for token in tokens:
         op = token.lower()
         if op in _BINDS:
             if operand_next:
@@ -94,17 +129,17 @@ def postfix(expression: str) -> list[str] | None:
     return out + held[::-1]
 
 
-def label_of(identifier: str) -> str:
-    low = identifier.lower().rstrip("+")
-    return FAMILIES.get(low.split("-")[0], low)
+def label_of(identifier: str) -> str | None:
+    """Label of the longest known family that the identifier begins with."""
+    parts = identifier.lower().rstrip("+").split("-")
+    return next((FAMILIES[x] for n in range(len(parts), 0, -1) if (x := "-".join(parts[:n])) in FAMILIES), None)
 
 
-def evaluate(expression: str) -> tuple[set[str], bool]:
+def evaluate(tokens: list[str]) -> tuple[set[str], bool]:
     """Labels that the expression names, and whether some choice it offers consists of open licences alone."""
-    order = postfix(expression)
+    order = postfix(tokens)
     if order is None:
-        names = [t for t in _TOKEN.findall(expression) if t not in "()" and t.lower() not in _BINDS]
-        return {label_of(t) for t in names}, False
+        return {x for t in tokens if (x := label_of(t))}, False
     stack: list[tuple[set[str], bool]] = []
     for token in order:
         if token in _BINDS:
@@ -116,7 +151,7 @@ def evaluate(expression: str) -> tuple[set[str], bool]:
                 stack.append((left[0] | right[0], free))
         else:
             label = label_of(token)
-            stack.append(({label}, label in OPEN))
+            stack.append(({label} if label else set(), label in OPEN))
     return stack[0]
 
 
@@ -141,13 +176,18 @@ class Scanner:
         raw = text or b""
         words = normalise(raw).split()
         line = (b" " + b" ".join(words) + b" ").decode("latin-1")
-        base, labels, places, evidence = set(), set(), [], 0
+        base, labels, evidence = set(), set(), 0
+        n_base, first, last, words_before, counted_to = 0, None, None, 0, 0
         for end, (phrase, label, is_base) in self.phrases.iter(line):
             labels.add(label)
             evidence += 1
             if is_base:
                 base.add(label)
-                places.append(line.count(" ", 0, end + 1 - len(phrase) - 1) - 1)
+                # Counted on from where the last one stood; a longer phrase may begin before it.
+                start = end - 1 - len(phrase)
+                words_before += line.count(" ", counted_to, start) if start >= counted_to else -line.count(" ", start, counted_to)
+                counted_to = start
+                n_base, first, last = n_base + 1, words_before if first is None else min(first, words_before), max(last or 0, words_before)
         expressions, free = [], bool(labels & OPEN) and labels <= OPEN
         lowered = raw.lower().decode("latin-1")
         taken_to = -1
@@ -156,17 +196,17 @@ class Scanner:
                 continue
             stop = lowered.find("\n", end + 1)
             stop = len(lowered) if stop < 0 else stop
-            expression = raw[end + 1 : stop].decode("utf-8", "replace").strip(" \t\r*/#-")
             taken_to = end
-            named, open_choice = evaluate(expression)
+            tokens = expression_tokens(raw[end + 1 : stop].decode("latin-1"))
+            named, open_choice = evaluate(tokens)
             if named:
-                expressions.append(expression)
+                expressions.append(" ".join(tokens).replace("( ", "(").replace(" )", ")"))
                 labels |= named
                 free = free or open_choice
                 evidence += 2
         score = 1.0 - 0.5**evidence
         return (
-            len(words), len(places), min(places, default=None), max(places, default=None),
+            len(words), n_base, first, last,
             ",".join(sorted(base)), ",".join(sorted(labels)), expressions, free, score,
         )
 
