@@ -5,11 +5,13 @@ equal length form one Wu-Manber table: a block of two words at the end of the se
 search may move on (block shift table); at shift 0 the suffix-hash bucket of the block names the windows that may end
 there; a direct comparison of the words confirms them. All positions of a batch move at once, in numpy.
 
-The window table is broadcast only below ``MAX_WINDOWS`` windows; a larger benchmark is cut by item into blocks of at
-most that many, each searched against all documents, and the blocks' hits are joined by document.
+The window table is broadcast only up to ``MAX_WINDOWS`` windows. A larger benchmark is written as blocks of about that
+many, dealt out by the windows' hashes; one block at a time comes to the driver and is broadcast, searched in all
+documents and let go, and what it found (texts with a hit only) is written and joined by the hash of the text.
 
 Defined results: null or empty text has no words and no hits; windows found in several items count for each of them;
-an empty benchmark hits nothing; repeated rows give repeated results; other columns of either table are not read.
+an empty benchmark hits nothing; repeated rows give repeated results; ``drop_contaminated`` keeps all columns of the
+documents whatever they are called, other columns of either table are not read.
 """
 
 from __future__ import annotations
@@ -19,10 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bytetext import Words, mix, text_steps
+from tidemark.sources.tables import discard, staged
 
 WINDOW = 10
 #: Windows held by a task at once (about 200 bytes each).
@@ -124,12 +128,21 @@ class WuManber:
         return first[sure], window[sure]
 
 
-def _search_block(docs: DataFrame, windows: list[tuple[bytes, int, list[str]]], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns in ``keep`` with n_words, hit_spans (maximal runs [first, end) of hit words), items."""
-    shared = docs.sparkSession.sparkContext.broadcast(windows)
+Block = list[tuple[bytes, int, list[str]]]
+
+
+def _free_name(taken: list[str]) -> str:
+    name = "found"
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _search_block(docs: DataFrame, windows: Broadcast[Block], keep: list[str], found: str = "found") -> DataFrame:
+    """The columns in ``keep`` and ``found``: n_words, hit_spans (maximal runs [first, end) of hit words), items."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+        table = windows.value
         by_n: dict[int, list[int]] = {}
         for i, (_, n, _) in enumerate(table):
             by_n.setdefault(n, []).append(i)
@@ -160,17 +173,17 @@ def _search_block(docs: DataFrame, windows: list[tuple[bytes, int, list[str]]],
                     [{"first": int(s - words.ptr[d]), "end": int(e - words.ptr[d])} for s, e in zip(starts[cut[d] : cut[d + 1]], ends[cut[d] : cut[d + 1]])]
                     for d in range(len(texts))
                 ]
-                yield pa.RecordBatch.from_arrays(
+                result = pa.StructArray.from_arrays(
                     [
-                        *(batch.column(c).slice(lo, hi - lo) for c in keep), pa.array(words.count(), pa.int64()),
-                        pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))),
+                        pa.array(words.count(), pa.int64()), pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))),
                         pa.array([sorted(i) for i in items], pa.list_(pa.string())),
                     ],
-                    [*keep, "n_words", "hit_spans", "items"],
+                    ["n_words", "hit_spans", "items"],
                 )
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, hi - lo) for c in keep), result], [*keep, found])
 
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    schema = f"{kinds}, n_words long, hit_spans array<struct<first:long,end:long>>, items array<string>"
+    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
+    schema = f"{kinds}`{found}` struct<n_words:long,hit_spans:array<struct<first:long,end:long>>,items:array<string>>"
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
 
 
@@ -187,39 +200,68 @@ def _merge_spans(spans):
     return F.aggregate(ordered, F.slice(ordered, 1, 0), step)
 
 
-def _window_blocks(benchmark: DataFrame, window: int, max_windows: int) -> list[list[tuple[bytes, int, list[str]]]]:
-    """All windows with their items, in blocks of about ``max_windows`` at most."""
+def _window_blocks(benchmark: DataFrame, window: int, max_windows: int) -> tuple[int, Iterator[Broadcast[Block]]]:
+    """Number of blocks, and all windows with their items in blocks of about ``max_windows``; only one is held at a time."""
     windows = item_windows(benchmark, window)
-    blocks = max(1, -(-windows.count() // max_windows))
     by_window = windows.groupBy("window", "n").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
-    part = lambda i: by_window.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == i)
-    return [[(r["window"].encode(), r["n"], list(r["items"])) for r in part(i).toLocalIterator()] for i in range(blocks)]
+    table = staged(by_window, "windows")
+    blocks = max(1, -(-table.count() // max_windows))
+
+    def each() -> Iterator[Broadcast[Block]]:
+        for i in range(blocks):
+            rows = table.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == i).toLocalIterator()
+            yield table.sparkSession.sparkContext.broadcast([(r["window"].encode(), r["n"], list(r["items"])) for r in rows])
+        discard(table)
+
+    return blocks, each()
+
+
+def _names() -> tuple[Column, Column]:
+    """128 bits that name a row's text."""
+    text = F.coalesce("text", F.lit(""))
+    return F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(0x5EED), text).alias("h2")
+
+
+def _hits_by_text(docs: DataFrame, blocks: Iterator[Broadcast[Block]]) -> DataFrame:
+    """h1, h2, hit_spans (of all blocks, unmerged), items: one row for each text with a hit; staged block by block."""
+    named = docs.select(*_names(), "text")
+    parts = []
+    for block in blocks:
+        found = _search_block(named, block, ["h1", "h2"]).where(F.size("found.items") > 0)
+        parts.append(staged(found.dropDuplicates(["h1", "h2"]).select("h1", "h2", "found.hit_spans", "found.items"), "hits"))
+        block.destroy()
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    items = F.array_sort(F.array_distinct(F.flatten(F.collect_list("items"))))
+    return every.groupBy("h1", "h2").agg(F.flatten(F.collect_list("hit_spans")).alias("hit_spans"), items.alias("items"))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
     """One row per document: doc_id, n_words, hit_spans, items (ids of the benchmark items with occurring windows)."""
-    blocks = _window_blocks(benchmark, window, max_windows)
-    if len(blocks) == 1:
-        return _search_block(docs, blocks[0])
-    # Repeated doc_ids stay apart: rows are matched by a row key made before the passes.
-    keyed = docs.select(F.struct("doc_id", F.monotonically_increasing_id().alias("row")).alias("doc_id"), "text")
-    found = _search_block(keyed, blocks[0])
-    for block in blocks[1:]:
-        found = found.unionByName(_search_block(keyed, block))
-    merged = found.groupBy("doc_id").agg(
-        F.first("n_words").alias("n_words"),
-        F.flatten(F.collect_list("hit_spans")).alias("hit_spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    n, blocks = _window_blocks(benchmark, window, max_windows)
+    if n == 1:
+        (block,) = blocks
+        return _search_block(docs, block, ["doc_id"]).select("doc_id", "found.*")
+    hits = _hits_by_text(docs, blocks)
+    n_words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
+    rows = docs.select("doc_id", *_names(), n_words.cast("long").alias("n_words"))
+    none = F.array().cast("array<struct<first:long,end:long>>")
+    return rows.join(hits, ["h1", "h2"], "left").select(
+        "doc_id", "n_words", F.coalesce(_merge_spans(F.col("hit_spans")), none).alias("hit_spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
     )
-    return merged.select(F.col("doc_id.doc_id").alias("doc_id"), "n_words", _merge_spans(F.col("hit_spans")).alias("hit_spans"), "items")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
-    """Rows without any window, all columns as they are; one narrow pass per block of windows, no shuffle."""
-    names = docs.columns
-    for block in _window_blocks(benchmark, window, max_windows):
-        docs = _search_block(docs, block, tuple(names)).where(F.size("items") == 0).select(*names)
-    return docs
+    """Rows without any window, all columns as they are. No row is shuffled for a benchmark of one block."""
+    n, blocks = _window_blocks(benchmark, window, max_windows)
+    if n == 1:
+        (block,) = blocks
+        found = _free_name(docs.columns)
+        return _search_block(docs, block, docs.columns, found).where(F.size(F.col(f"{found}.items")) == 0).drop(found)
+    h1, h2 = _names()
+    hits = _hits_by_text(docs, blocks).select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"))
+    return docs.join(hits, (h1 == F.col("__h1")) & (h2 == F.col("__h2")), "left_anti")
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
