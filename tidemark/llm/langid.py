@@ -6,11 +6,11 @@ n-grams, of how far apart the two ranks are, or ``PROFILE`` where the language l
 wins; ties go to the first in code-point order.
 
 Profiles are fitted on at most about ``FIT_ROWS`` labelled rows, taken by a hash of their doc_id; prediction reads
-whole texts only, never lang, source or doc_id. Letters are folded to 8 bits: Latin-1 letters stay apart, others share
-64 codes.
+whole texts only, never lang, source or doc_id. An n-gram is named by its code points (63 bits), so no two share a name.
 
 Defined results: null text or text without a letter is ``und`` with score 0, as is everything when no row is labelled;
-repeated rows give repeated results; an empty table gives an empty result; other columns are not read.
+repeated rows give repeated results; an empty table gives an empty result; other columns are read only where ``keep``
+names them, and one of them that is called like a result column is refused.
 """
 
 from __future__ import annotations
@@ -27,51 +27,78 @@ from tidemark.llm.bytetext import text_steps
 PROFILE = 400
 FIT_ROWS = 20_000
 UNKNOWN = "und"
-_GRAM_BITS = 26
-_codes: list[np.ndarray] = []
-
-
-def _letter_codes() -> np.ndarray:
-    """Code of each code point: 0 for what isn't a letter."""
-    if not _codes:
-        points = np.arange(0x110000)
-        letters = np.fromiter((chr(p).isalpha() for p in range(0x110000)), bool, 0x110000)
-        folded = np.where(points < 256, points, 128 + (points * 2654435761 >> 16) % 64)
-        _codes.append(np.where(letters, folded, 0).astype(np.int64))
-    return _codes[0]
-
-
-def gram_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys ``text index << 26 | gram`` in ascending order, and their counts."""
-    lowered = [t.decode("utf-8", "replace").lower() for t in texts]
-    # Each text with the boundary before it, and a last boundary: no n-gram spans two texts' letters.
-    points = np.frombuffer("\n".join(["", *lowered, ""]).encode("utf-32-le", "replace"), np.uint32)
-    code = _letter_codes()[points]
-    owner = np.repeat(np.arange(len(texts), dtype=np.int64), [len(t) + 1 for t in lowered[:-1]] + [len(lowered[-1]) + 2]) << _GRAM_BITS
-    a, b, c = code[:-2], code[1:-1], code[2:]
-    one = code > 0
-    two = (code[:-1] > 0) | (code[1:] > 0)
-    keys = np.concatenate([
-        (owner | code)[one],
-        (owner[:-1] | (1 << 24) | (code[:-1] << 8) | code[1:])[two],
-        (owner[:-2] | (2 << 24) | (a << 16) | (b << 8) | c)[b > 0],
-    ])
-    keys.sort()
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
-    return keys[first], np.diff(np.append(first, len(keys)))
-
-
-def ranked(keys: np.ndarray, counts: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text index, rank from 0, gram) of each text's ``top`` grams: most frequent first, ties by gram."""
-    rare = (1 << 24) - 1 - np.minimum(counts, (1 << 24) - 1)
-    gram_mask = (1 << _GRAM_BITS) - 1
-    order = ((keys >> _GRAM_BITS) << 50) | (rare << _GRAM_BITS) | (keys & gram_mask)
-    order.sort()
-    owner = order >> 50
-    first = np.searchsorted(owner, owner, "left")
-    rank = np.arange(len(owner)) - first
-    on = rank < top
-    return owner[on], rank[on], order[on] & gram_mask
+_EDGE = 1
+_POINT_BITS = 21
+_letters: list[np.ndarray] = []
+
+
+def _is_letter() -> np.ndarray:
+    if not _letters:
+        _letters.append(np.fromiter((chr(p).isalpha() for p in range(0x110000)), bool, 0x110000))
+    return _letters[0]
+
+
+class Grams:
+    """Distinct n-grams of some texts with their counts, in ascending order of text and n-gram.
+
+    An n-gram is three places of code points: (0, 0, a), (a, 0, b) or (a, b, c), with ``_EDGE`` for the boundary of a
+    word. Inside, places hold the numbers of the letters that these texts have, in order of code points; so a text's
+    index and n-gram fit one integer, unless there are very many letters, and sort in the same order.
+    """
+
+    def __init__(self, texts: list[bytes]):
+        lowered = [t.decode("utf-8", "replace").lower() for t in texts]
+        # Each text with the boundary before it, and a last boundary: no n-gram spans two texts' letters.
+        points = np.frombuffer("\n".join(["", *lowered, ""]).encode("utf-32-le", "replace"), np.uint32)
+        present = np.zeros(0x110000, bool)
+        present[points] = True
+        self.alphabet = np.concatenate([[0, _EDGE], np.flatnonzero(present & _is_letter())])
+        number = np.full(0x110000, _EDGE, np.int64)
+        number[self.alphabet] = np.arange(len(self.alphabet))
+        code = number[points]
+        self.bits = b = max(8, len(self.alphabet).bit_length())
+        self.mask = (1 << 3 * b) - 1
+        owner = np.repeat(np.arange(len(texts), dtype=np.int64), [len(t) + 1 for t in lowered[:-1]] + [len(lowered[-1]) + 2]) << 3 * b
+        one = code > _EDGE
+        two = one[:-1] | one[1:]
+        keys = np.concatenate([
+            (owner | code)[one],
+            (owner[:-1] | (code[:-1] << 2 * b) | code[1:])[two],
+            (owner[:-2] | (code[:-2] << 2 * b) | (code[1:-1] << b) | code[2:])[one[1:-1]],
+        ])
+        keys.sort()
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+        self.keys, self.counts = keys[first], np.diff(np.append(first, len(keys)))
+
+    def owners(self) -> np.ndarray:
+        return self.keys >> 3 * self.bits
+
+    def named(self, local: np.ndarray) -> np.ndarray:
+        """The n-grams by code points."""
+        b, m = self.bits, (1 << self.bits) - 1
+        place = lambda shift: self.alphabet[(local >> shift) & m]
+        return (place(2 * b) << 2 * _POINT_BITS) | (place(b) << _POINT_BITS) | place(0)
+
+    def ranked(self, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text index, rank from 0, n-gram) of each text's ``top`` n-grams: most frequent first, ties by n-gram."""
+        owner, rare = self.owners(), (1 << 24) - 1 - np.minimum(self.counts, (1 << 24) - 1)
+        if 3 * self.bits + 24 + int(owner[-1] if len(owner) else 0).bit_length() < 64:
+            order = (((owner << 24) | rare) << 3 * self.bits) | (self.keys & self.mask)
+            order.sort()
+            owner, local = order >> (3 * self.bits + 24), order & self.mask
+        else:
+            at = np.lexsort((self.keys, rare, owner))
+            owner, local = owner[at], self.keys[at] & self.mask
+        rank = np.arange(len(owner)) - np.searchsorted(owner, owner, "left")
+        on = rank < top
+        return owner[on], rank[on], self.named(local[on])
+
+
+def _gram_steps(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, Grams]]:
+    """Slices ``[lo, hi)`` of a batch with their n-grams. A text index has 9 bits beside 18 bits a letter."""
+    for lo, hi, texts in text_steps(batch, column):
+        for k in range(0, len(texts), 512):
+            yield lo + k, min(lo + k + 512, hi), Grams(texts[k : k + 512])
 
 
 def fit_profiles(labelled: DataFrame, profile: int = PROFILE, fit_rows: int = FIT_ROWS) -> dict[str, list[int]]:
@@ -83,18 +110,14 @@ def fit_profiles(labelled: DataFrame, profile: int = PROFILE, fit_rows: int = FI
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = batch.column("lang").to_pylist()
-            for lo, hi, texts in text_steps(batch, "text"):
+            for lo, hi, grams in _gram_steps(batch, "text"):
                 names = sorted(set(langs[lo:hi]))
                 number = {x: i for i, x in enumerate(names)}
-                keys, counts = gram_counts(texts)
-                of_lang = np.array([number[x] for x in langs[lo:hi]], np.int64)[keys >> _GRAM_BITS]
-                both = (of_lang << _GRAM_BITS) | (keys & ((1 << _GRAM_BITS) - 1))
-                got, inverse = np.unique(both, return_inverse=True)
-                n = np.bincount(inverse, counts, len(got)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([names[i] for i in (got >> _GRAM_BITS).tolist()], pa.string()), pa.array(got & ((1 << _GRAM_BITS) - 1)), pa.array(n)],
-                    ["lang", "gram", "n"],
-                )
+                of_lang = np.array([number[x] for x in langs[lo:hi]], np.int64)[grams.owners()]
+                got, inverse = np.unique((of_lang << 3 * grams.bits) | (grams.keys & grams.mask), return_inverse=True)
+                n = np.bincount(inverse, grams.counts, len(got)).astype(np.int64)
+                made = [pa.array([names[i] for i in (got >> 3 * grams.bits).tolist()], pa.string()), pa.array(grams.named(got & grams.mask)), pa.array(n)]
+                yield pa.RecordBatch.from_arrays(made, ["lang", "gram", "n"])
 
     grams = picked.select("text", "lang").mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
@@ -115,33 +138,34 @@ class Profiles:
         for j, lang in enumerate(self.langs):
             self.ranks[np.searchsorted(self.grams, np.array(profiles[lang], np.int64)), j] = np.arange(len(profiles[lang]))
 
-    def predict(self, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
-        keys, counts = gram_counts(texts)
-        owner, rank, gram = ranked(keys, counts, self.size)
-        n = np.bincount(owner, minlength=len(texts))
+    def predict(self, grams: Grams, texts: int) -> tuple[list[str], np.ndarray]:
+        owner, rank, gram = grams.ranked(self.size)
+        n = np.bincount(owner, minlength=texts)
         if not self.langs:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+            return [UNKNOWN] * texts, np.zeros(texts)
         at = np.searchsorted(self.grams, gram)
         at[self.grams[np.minimum(at, len(self.grams) - 1)] != gram] = len(self.grams)
-        distance = np.empty((len(texts), len(self.langs)))
+        distance = np.empty((texts, len(self.langs)))
         for j in range(len(self.langs)):
             theirs = self.ranks[at, j]
             apart = np.where(theirs < 0, self.size, np.abs(theirs - rank))
-            distance[:, j] = np.bincount(owner, apart, len(texts))
+            distance[:, j] = np.bincount(owner, apart, texts)
         best = distance.argmin(axis=1)
-        nearest = distance[np.arange(len(texts)), best]
+        nearest = distance[np.arange(texts), best]
         score = np.where(n > 0, 1.0 - nearest / np.maximum(n * self.size, 1), 0.0)
         return [self.langs[b] if k else UNKNOWN for b, k in zip(best.tolist(), n.tolist())], score.clip(0.0, 1.0)
 
 
 def predict_language(docs: DataFrame, profiles: dict[str, list[int]], size: int = PROFILE, keep: tuple[str, ...] = ()) -> DataFrame:
     """The columns in ``keep`` with lang_pred and score; only ``text`` is looked at."""
+    if clash := {"lang_pred", "score"} & set(keep):
+        raise ValueError(f"columns called like results: {sorted(clash)}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Profiles(profiles, size)
         for batch in batches:
-            for lo, hi, texts in text_steps(batch, "text"):
-                lang, score = table.predict(texts)
+            for lo, hi, grams in _gram_steps(batch, "text"):
+                lang, score = table.predict(grams, hi - lo)
                 kept = [batch.column(k).slice(lo, hi - lo) for k in keep]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(lang, pa.string()), pa.array(score)], [*keep, "lang_pred", "score"])
 
