@@ -1,8 +1,10 @@
 """Quality rules at host level, with DataFrame functions only.
 
-Each document is measured and checked against rules; failures are counted by host (the ``source`` of a document), the
-failure rates are shrunk towards a beta prior fitted to all hosts by moments, and hosts whose shrunk rate exceeds
-``max_rate`` lose all their documents.
+Each document is measured and checked against rules: the base rules (few words, mostly repeated windows), many symbols,
+many repeated lines, odd word lengths. Failures are counted by host (the ``source`` of a document), and the failure rates
+are shrunk towards a beta prior fitted to all hosts by moments, so that small hosts need no rule of their own. A host's
+shrunk rate gives its verdict, which goes back to its documents: a *bad* host (above ``max_rate``) loses them all, a
+*doubtful* one (above the mean of the prior) those that fail any rule, a *good* one those that fail a base rule.
 
 Repeated 3-word windows are found inside each row: the windows' 64-bit hashes are sorted with their positions, equal
 neighbours are repeats. No window leaves its row, so nothing but one short row per document is shuffled.
@@ -18,13 +20,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.staging import staged
+from tidemark.sources.tables import staged
 
 MIN_WORDS = 50
-MAX_SYMBOL_SHARE = 0.5
-MAX_DUP_LINES = 0.9
+#: Symbols a word.
+MAX_SYMBOLS = 0.1
+#: Repeated lines, of the lines with a word.
+MAX_DUP_LINES = 0.3
+#: Code points a word.
+WORD_LENGTHS = (2.5, 12.0)
 MAX_RATE = 0.5
-MIN_HOST_DOCS = 10
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -34,7 +39,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def measure(docs: DataFrame) -> DataFrame:
-    """doc_id, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words; one row per document."""
+    """doc_id, source, n_words, word_chars, n_symbols, n_lines (with a word), n_dup_lines, n_repeat_words; one row per document."""
     text = F.coalesce(F.col("text"), F.lit(""))
     words = docs.select("doc_id", "source", text.alias("t"), F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("w"))
     lines = F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -51,7 +56,7 @@ def measure(docs: DataFrame) -> DataFrame:
         F.size("w").cast("long").alias("n_words"),
         F.char_length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.regexp_count("t", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+        let(lines, lambda x: F.struct(F.size(x).alias("all"), F.size(F.array_distinct(x)).alias("once"))).alias("l"),
         F.sort_array(windows).alias("s"),
     )
     repeated = F.filter(
@@ -65,7 +70,10 @@ def measure(docs: DataFrame) -> DataFrame:
             lambda n, x: n + x,
         ),
     )
-    return sorted_windows.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("s")
+    return sorted_windows.select(
+        "doc_id", "source", "n_words", "word_chars", "n_symbols", F.col("l.all").cast("long").alias("n_lines"), (F.col("l.all") - F.col("l.once")).cast("long").alias("n_dup_lines"),
+        F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
+    )
 
 
 def base_failed() -> Column:
@@ -73,18 +81,20 @@ def base_failed() -> Column:
 
 
 def rule_failed() -> Column:
-    """Fails any rule: the base ones, mostly symbols, or mostly repeated lines."""
+    """Fails any rule: the base ones, many symbols, many repeated lines, odd word lengths."""
     return (
         base_failed()
-        | (F.col("n_symbols") > MAX_SYMBOL_SHARE * F.col("word_chars"))
-        | (F.col("n_dup_lines") > MAX_DUP_LINES * F.col("n_words"))
+        | (F.col("n_symbols") > MAX_SYMBOLS * F.col("n_words"))
+        | (F.col("n_dup_lines") > MAX_DUP_LINES * F.col("n_lines"))
+        | (F.col("word_chars") < WORD_LENGTHS[0] * F.col("n_words"))
+        | (F.col("word_chars") > WORD_LENGTHS[1] * F.col("n_words"))
     )
 
 
-def host_verdicts(measures: DataFrame, max_rate: float = MAX_RATE, min_docs: int = MIN_HOST_DOCS) -> DataFrame:
-    """One row per host: source, host_docs, host_failed, host_rate (shrunk), host_ok.
+def host_verdicts(measures: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
+    """One row per host: source, host_docs, host_failed, host_rate (shrunk), host_verdict (good, doubtful or bad).
 
-    The prior is two numbers from one row of moments. A host with under ``min_docs`` documents is never rejected.
+    The prior is two numbers from one row of moments.
     """
     hosts = measures.groupBy("source").agg(F.count(F.lit(1)).alias("host_docs"), F.count_if(rule_failed()).alias("host_failed"))
     rate = F.col("host_failed") / F.col("host_docs")
@@ -93,24 +103,26 @@ def host_verdicts(measures: DataFrame, max_rate: float = MAX_RATE, min_docs: int
         F.var_pop(rate).alias("v"), F.avg(1 / F.col("host_docs")).alias("inv"),
     ).first()
     if not m["k"]:
-        return hosts.withColumns({"host_rate": F.lit(0.0), "host_ok": F.lit(True)})
+        return hosts.withColumns({"host_rate": F.lit(0.0), "host_verdict": F.lit("good")})
     mean = m["f"] / m["n"]
     noise = mean * (1 - mean) * m["inv"]
     between = max(m["v"] - noise, 1e-9)
     strength = min(max(mean * (1 - mean) / between - 1, 1.0), 1e6)
     shrunk = (F.col("host_failed") + F.lit(mean * strength)) / (F.col("host_docs") + F.lit(strength))
-    return hosts.withColumn("host_rate", shrunk).withColumn("host_ok", (F.col("host_docs") < min_docs) | (F.col("host_rate") <= max_rate))
+    verdict = F.when(F.col("host_rate") > max_rate, "bad").when(F.col("host_rate") > mean, "doubtful").otherwise("good")
+    return hosts.withColumn("host_rate", shrunk).withColumn("host_verdict", verdict)
 
 
-def judge(docs: DataFrame, max_rate: float = MAX_RATE, min_docs: int = MIN_HOST_DOCS) -> DataFrame:
-    """One row per document: its measures, base_failed, kept, and the shrunk failure rate of its host."""
+def judge(docs: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
+    """One row per document: its measures, base_failed, kept, and the shrunk failure rate and verdict of its host."""
     measures = staged(measure(docs), "quality")
-    hosts = host_verdicts(measures, max_rate, min_docs).select(F.col("source").alias("__host"), "host_rate", "host_ok")
+    hosts = host_verdicts(measures, max_rate).select(F.col("source").alias("__host"), "host_rate", "host_verdict")
+    verdict = F.col("host_verdict")
     return (
         measures.join(hosts, F.col("source").eqNullSafe(F.col("__host")), "left")
         .withColumn("base_failed", base_failed())
-        .withColumn("kept", ~F.col("base_failed") & F.coalesce("host_ok", F.lit(True)))
+        .withColumn("kept", ~F.col("base_failed") & (verdict != "bad") & ~(rule_failed() & (verdict == "doubtful")))
         .select(
-            "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rate",
+            "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rate", "host_verdict",
         )
     )

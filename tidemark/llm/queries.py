@@ -114,7 +114,7 @@ base AS (
          CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols
   FROM d),
 lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
-dups AS (SELECT doc_id, CAST(count(*) - count(DISTINCT line) AS BIGINT) AS n_dup_lines FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+dups AS (SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) - count(DISTINCT line) AS BIGINT) AS n_dup_lines FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
 words AS (SELECT doc_id, unnest(w) AS x, unnest(range(len(w))) AS i FROM d),
 windows AS (
   SELECT doc_id, i, x AS a, lead(x, 1) OVER o AS b, lead(x, 2) OVER o AS c FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
@@ -123,18 +123,20 @@ cov AS (
   SELECT doc_id, CAST(count(DISTINCT j) AS BIGINT) AS n_repeat_words
   FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM rep WHERE n > 1) GROUP BY doc_id),
 m AS (
-  SELECT base.*, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+  SELECT base.*, coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
   FROM base LEFT JOIN dups USING (doc_id) LEFT JOIN cov USING (doc_id)),
 f AS (
   SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
-         (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR n_symbols > 0.5 * word_chars OR n_dup_lines > 0.9 * n_words) AS rule_failed
+         (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR n_symbols > 0.1::DOUBLE * n_words OR n_dup_lines > 0.3::DOUBLE * n_lines
+          OR word_chars < 2.5::DOUBLE * n_words OR word_chars > 12.0::DOUBLE * n_words) AS rule_failed
   FROM m),
 h AS (SELECT source, count(*) AS n, count(*) FILTER (rule_failed) AS k FROM f GROUP BY source),
 q AS (
   SELECT sum(k) / sum(n) AS mean, var_pop(k / n) AS v, avg(1.0::DOUBLE / n) AS inv FROM h),
 z AS (SELECT mean, least(greatest(mean * (1 - mean) / greatest(v - mean * (1 - mean) * inv, 1e-9) - 1, 1.0), 1e6) AS strength FROM q),
-ok AS (SELECT source, (n < 10 OR (k + mean * strength) / (n + strength) <= 0.5) AS host_ok FROM h, z)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, (NOT base_failed AND host_ok) AS kept
+ok AS (SELECT source, (k + mean * strength) / (n + strength) AS rate, mean FROM h, z)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       (NOT base_failed AND rate <= 0.5 AND NOT (rule_failed AND rate > mean)) AS kept
 FROM f JOIN ok ON f.source IS NOT DISTINCT FROM ok.source
 """
 
