@@ -3,37 +3,34 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each result as Parquet and reads it
 again as the next stage's documents. All stages but the last return the columns of ``documents``.
 
-Nulls, empty and repeated rows: a document without a letter (null and empty text included) goes in the first stage; a row
-without doc_id goes in the second, where of rows repeating a doc_id one with the least text hash stays; a null source is
-a source of its own; an empty table passes through all stages; columns other than those of documents are not carried.
+Nulls, empty and repeated rows: a document without a letter (null and empty text included) goes in the first stage, as do
+all where no row has a known language; of rows that repeat doc_id and text the second keeps one, and rows without doc_id
+or with a doc_id of several texts are documents like others there; a null source is a source of its own; an empty table
+passes through all stages; columns other than those of documents are not carried.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, jaccard, langid, mixing, sharding
-from tidemark.llm.staging import staged
+from tidemark.sources.tables import staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language can be told; fitted on the documents with a known one."""
+    """Documents in which a language can be told, with it where ``lang`` is null; fitted on the documents with a known one."""
     profiles = langid.fit_profiles(docs.select("doc_id", "text", "lang"))
     found = langid.predict_language(docs.select(*COLUMNS), profiles, keep=tuple(COLUMNS))
-    return found.where(F.col("lang_pred") != langid.UNKNOWN).select(*COLUMNS)
+    told = found.where(F.col("lang_pred") != langid.UNKNOWN)
+    return told.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one whose doc_id names the group."""
-    classes = jaccard.near_duplicates(docs)
-    keep = classes.where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(keep, "doc_id").select(*COLUMNS)
-    # doc_ids are unique as a rule, so these groups are single rows; a repeated one keeps its smallest text.
-    one = Window.partitionBy("doc_id").orderBy(F.sha2(F.coalesce("text", F.lit("")), 256))
-    return kept.withColumn("__row", F.row_number().over(one)).where("__row = 1").select(*COLUMNS)
+    """One document of each group: the row of the least doc_id."""
+    return jaccard.drop_near_duplicates(docs.select(*COLUMNS))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
