@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from test_llm_operators import corpus, jaccard_brute, leak_brute
+from test_llm_operators import WORD, corpus, jaccard_brute, leak_brute, mix_brute, profile_brute, winner
 
 COLUMNS = corpus_pipeline.COLUMNS
 
@@ -31,6 +31,9 @@ def test_stages(spark, folder):
     known = corpus_pipeline.language(spark, docs, out)
     assert known.columns == COLUMNS
     assert texts(known) == sorted((r[0], r[1]) for r in rows if any(c.isalpha() for c in r[1] or ""))
+    told = profile_brute([(r[1], r[2]) for r in rows if r[1] is not None and r[2] is not None], [r[1] for r in rows])
+    want = sorted((r[0], r[2] or lang) for r, (lang, _) in zip(rows, told) if lang != "und")
+    assert sorted((r.doc_id, r.lang) for r in known.collect()) == want
 
     single = corpus_pipeline.near_duplicates(spark, known, out)
     have = [(r.doc_id, r.text) for r in known.collect()]
@@ -43,10 +46,13 @@ def test_stages(spark, folder):
 
     mix = corpus_pipeline.mixed(spark, clean, out)
     copies = Counter(r.doc_id for r in mix.collect())
-    assert mix.columns == COLUMNS and max(copies.values()) <= 2 and set(copies) <= {r.doc_id for r in clean.collect()}
+    size = {r.doc_id: len(WORD.findall(r.text)) for r in clean.collect()}
+    taken = mix_brute([(r.doc_id, r.text, r.source) for r in clean.collect()])
+    assert mix.columns == COLUMNS and copies == {i: -(-n // size[i]) for i, n in taken.items() if n}
 
     shards = corpus_pipeline.sharded(spark, mix, out).collect()
     assert Counter(r.doc_id for r in shards) == copies and {r.law for r in shards} == {"key"}
+    assert all((r.shard, r.grown_shard) == (winner(r.doc_id, 40), winner(r.doc_id, 41)) for r in shards)
 
 
 def test_run_and_empty_tables(spark, folder, tmp_path):
