@@ -365,9 +365,10 @@ def _leaves(classes: DataFrame, runs: int, threshold: float) -> DataFrame:
     rows = staged(_split(classes.select("rep", "n", "sig"), runs, threshold), "nodes")
     done = []
     for depth in range(1, DEPTH + 1):
-        counts = rows.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens")).where("members > 1")
+        # Written by itself, so that nothing but the join meets a node's rows, and Spark can deal out a large one.
+        counts = staged(rows.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens")).where("members > 1"), "members")
         full = staged(rows.join(counts, "node").select("rep", "n", "node", "members", "tokens"), "leaves")
-        discard(rows)
+        discard(rows, counts)
         large = full.where(F.col("members") > SMALL)
         last = depth == DEPTH or large.isEmpty()
         done.append((full, full if last else full.where(F.col("members") <= SMALL)))
