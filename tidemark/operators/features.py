@@ -53,9 +53,14 @@ def window_grid(spark, start: str, end: str, sizes: Sequence[int]) -> DataFrame:
     return grid.withColumn("window_start", begin).where(F.col("window_start") >= first).select("window_size", "window_start", "window_end", name.alias("name"))
 
 
-def to_windows(df: DataFrame, month: Column, start: str, end: str, sizes: Sequence[int]) -> DataFrame:
-    """Each row once for every (window_size, window_end) whose months hold ``month``, as long as the window lies in [start, end]."""
+def to_windows(df: DataFrame, month: Column, start: str, end: str, sizes: Sequence[int], dealt: bool = True) -> DataFrame:
+    """Each row once for every (window_size, window_end) whose months hold ``month``, as long as the window lies in [start, end].
+
+    With ``dealt`` the rows are dealt out by customer before they are copied; an aggregation by customer and window then
+    moves no copy.
+    """
     m = F.trunc(month, "month")
+    df = df.repartition("cust_id") if dealt else df
     size = F.col("window_size")
     ends = F.sequence(F.col("__m"), F.least(F.add_months("__m", size - 1), F.lit(end).cast("date")), F.expr("INTERVAL 1 MONTH"))
     return (
@@ -111,14 +116,15 @@ def base_measures() -> list[Column]:
         *[s(c, c, "double") for c in ("delay_day_sum", "refund_sum", "noaccepted_sum", "lost_sum", "nodone_sum", "intra_prov_sum", "intl_sum")],
         F.avg("order_score_avg").alias("order_score_avg"), F.stddev_pop("order_score_avg").alias("order_score_std"),
         F.avg("satisfaction_avg").alias("satisfaction_avg"), F.stddev_pop("satisfaction_avg").alias("satisfaction_std"),
-        F.size(F.collect_set(F.when(F.col("item_sum") > 0, F.col("month_key")))).cast("long").alias("active_months"), F.avg("avg_lastday").alias("avg_lastday"),
+        # A customer's month has one row, so the months with items need no set.
+        F.count_if(F.col("item_sum") > 0).alias("active_months"), F.avg("avg_lastday").alias("avg_lastday"),
         *[s(f"ser_{x}", f"ser_{x}_sum") for x in SERVICES],
     ]
     return out
 
 
 def agg_window_base(in_windows: DataFrame) -> DataFrame:
-    """The measures of level 2 per customer and window. Distinct months are a set of at most window-size values, not a second exchange."""
+    """The measures of level 2 per customer and window."""
     return in_windows.groupBy(*WINDOW_KEY).agg(*base_measures())
 
 
@@ -156,21 +162,21 @@ def _series(m: str) -> Column:
     return F.transform(F.sequence(F.col("window_size") - 1, F.lit(0), F.lit(-1)), value).alias(f"{m}_months")
 
 
-def complaint_stats(complaints: DataFrame, start: str, end: str, sizes: Sequence[int]) -> DataFrame:
+def complaint_stats(complaints: DataFrame, start: str, end: str, sizes: Sequence[int], dealt: bool = True) -> DataFrame:
     """Distinct codes and the most common code (least on ties) per window.
 
     A window ends on the first day of its last month here, as months are compared by date.
     """
-    held = to_windows(complaints, F.col("create_date"), start, end, sizes).where(F.col("create_date") <= F.col("window_end"))
+    held = to_windows(complaints, F.col("create_date"), start, end, sizes, dealt).where(F.col("create_date") <= F.col("window_end"))
     return held.groupBy(*WINDOW_KEY).agg(
         F.countDistinct("complaint_code").alias("complaint_diversity"), F.mode("complaint_code", True).alias("most_common_complaint")
     )
 
 
-def send_day_stats(items: DataFrame, start: str, end: str, sizes: Sequence[int]) -> DataFrame:
+def send_day_stats(items: DataFrame, start: str, end: str, sizes: Sequence[int], dealt: bool = True) -> DataFrame:
     """Active days, days in the window and days since the last sending; (customer, day) pairs are made distinct first."""
     days = items.select("cust_id", "send_date").distinct()
-    held = to_windows(days, F.col("send_date"), start, end, sizes).where(F.col("send_date") <= F.col("window_end"))
+    held = to_windows(days, F.col("send_date"), start, end, sizes, dealt).where(F.col("send_date") <= F.col("window_end"))
     first = F.add_months("window_end", 1 - F.col("window_size"))
     return (
         held.groupBy(*WINDOW_KEY)
@@ -231,12 +237,13 @@ def window_features(monthly: DataFrame, complaints: DataFrame, items: DataFrame,
     """The full row per customer and window, for all sizes in one job.
 
     Everything that comes from the months is one aggregation; complaints and send days are aggregated by the same key, so
-    the two joins need no exchange of their own.
+    the two joins need no exchange of their own. (Dealt out by customer, all three would move once more to be joined.)
     """
-    held = to_windows(monthly, F.col("report_month"), start, end, sizes)
+    held = to_windows(monthly, F.col("report_month"), start, end, sizes, dealt=False)
     lists = list(map(_months, PIVOTS)) if with_months else []
     base = held.groupBy(*WINDOW_KEY).agg(*base_measures(), *extreme_months(), *slopes(), *lists)
-    base = base.join(complaint_stats(complaints, start, end, sizes), list(WINDOW_KEY), "left").join(send_day_stats(items, start, end, sizes), list(WINDOW_KEY), "left")
+    base = base.join(complaint_stats(complaints, start, end, sizes, dealt=False), list(WINDOW_KEY), "left")
+    base = base.join(send_day_stats(items, start, end, sizes, dealt=False), list(WINDOW_KEY), "left")
     drop = {"active_days", "window_days", "recency_days", "month_count", "months_with_complaint_ct", "delay_count_ct", "item_max", "item_min", "revenue_max", "revenue_min", "complaint_max", "complaint_min"}
     plain = [c for c in base.columns if c not in drop and c != "complaint_diversity" and not c.startswith("__")]
     series = list(map(_series, PIVOTS)) if with_months else []
