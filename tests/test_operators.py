@@ -236,3 +236,25 @@ def test_stream_equals_batch_and_batches_repeat(spark):
     upsert(batch, 0)
     upsert(batch, 0)
     assert sorted((r.k, r.seq) for r in spark.read.parquet(f"{path}-months").collect()) == [(1, 2), (2, 1)]
+
+
+def test_ranks_over_ranges(spark):
+    """Running totals and percentiles against numpy: ties, nulls, groups of one value, a null group, no rows."""
+    import numpy as np
+
+    from tidemark.operators import ranks
+
+    rng = random.Random(3)
+    rows = [(g, None if rng.random() < 0.1 else float(rng.randrange(1, 40))) for g in ("a", "b", None) for _ in range(300)] + [("one", 5.0), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    at = [0.0, 0.05, 0.25, 0.5, 0.9, 0.999, 1.0]
+    got = {r.g: r.q for r in ranks.percentiles(df, "v", at, ["g"], "q").collect()}
+    assert set(got) == {"a", "b", None, "one"}
+    for g, q in got.items():
+        assert np.allclose(q, np.percentile([v for x, v in rows if x == g and v is not None], [100 * p for p in at]))
+    every = ranks.percentiles(df, "v", at).collect()
+    assert np.allclose(every[0].percentiles, np.percentile([v for _, v in rows if v is not None], [100 * p for p in at]))
+    assert [r.percentiles for r in ranks.percentiles(df.where("v < 0"), "v", [0.5]).collect()] == [[None]]
+    counts = df.where("v IS NOT NULL").groupBy("g", "v").count().withColumnRenamed("count", "n")
+    for r in ranks.running_totals(counts, "v", ["n"], ["g"], descending=True).collect():
+        assert r.n_upto == sum(1 for g, v in rows if g == r.g and v is not None and v >= r.v)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import finite
 from tidemark.functions.special import t_pvalue
+from tidemark.operators.ranks import percentiles, running_totals
 
 PERCENTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 
@@ -27,8 +28,9 @@ def describe_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     n = F.col("count").cast("double")
     out = v.groupBy("feature").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.skewness("value").alias("__g1"), F.kurtosis("value").alias("__g2"),
-        F.min("value").alias("min"), F.max("value").alias("max"), F.percentile("value", F.array(*map(F.lit, PERCENTILES))).alias("__p"),
+        F.min("value").alias("min"), F.max("value").alias("max"),
     )
+    out = out.join(percentiles(v, "value", PERCENTILES, ["feature"], "__p"), "feature", "left")  # one row per feature
     skew = F.when(n > 2, F.col("__g1") * F.sqrt(n * (n - 1)) / (n - 2))
     kurt = F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("__g2") + 6))
     flat = F.coalesce(F.col("std") == 0, F.lit(False))
@@ -61,7 +63,8 @@ def missing_patterns(df: DataFrame, columns: Sequence[str], top: int | None = 10
 def outlier_stats(df: DataFrame, columns: Sequence[str], factor: float = 1.5, z: float = 3.0) -> DataFrame:
     """IQR fences and z-score counts per feature; no values: null bounds and 0 counts."""
     v = long_form(df, columns)
-    q = v.groupBy("feature").agg(F.percentile("value", 0.25).alias("q1"), F.percentile("value", 0.75).alias("q3"), F.avg("value").alias("m"), F.stddev_samp("value").alias("s"), F.count("value").alias("n"))
+    q = v.groupBy("feature").agg(F.avg("value").alias("m"), F.stddev_samp("value").alias("s"), F.count("value").alias("n"))
+    q = q.join(percentiles(v, "value", [0.25, 0.75], ["feature"], "__q"), "feature", "left").withColumns({"q1": F.get("__q", F.lit(0)), "q3": F.get("__q", F.lit(1))})
     q = q.withColumns({"lower": F.col("q1") - factor * (F.col("q3") - F.col("q1")), "upper": F.col("q3") + factor * (F.col("q3") - F.col("q1"))})
     out = v.join(F.broadcast(q), "feature")  # one row per feature
     x = F.col("value")
@@ -74,14 +77,13 @@ def outlier_stats(df: DataFrame, columns: Sequence[str], factor: float = 1.5, z:
 def correlation_pairs(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:
     """feature_a < feature_b, r over rows where both are known; one aggregation. ``spearman`` ranks first (ties: mean rank).
 
-    Ranking needs a global order per feature: it is done on distinct values with their counts, not on rows.
+    Ranks come from distinct values with their counts, in ranges of values.
     """
     names = sorted(columns)
     if method == "spearman":
         for c in names:
             per = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("__n"))
-            upto = F.sum("__n").over(Window.orderBy(c).rowsBetween(Window.unboundedPreceding, 0))
-            ranks = per.select(F.col(c).alias("__v"), (upto - (F.col("__n") - 1) / 2).alias(f"__r_{c}"))
+            ranks = running_totals(per, c, ["__n"]).select(F.col(c).alias("__v"), (F.col("__n_upto") - (F.col("__n") - 1) / 2).alias(f"__r_{c}"))
             df = df.join(ranks, df[c] == ranks["__v"], "left").drop("__v")
         value = lambda c: F.col(f"__r_{c}").cast("double")
     else:
@@ -119,8 +121,8 @@ def point_biserial(df: DataFrame, columns: Sequence[str], target: str) -> DataFr
 
 def quantile_edges(v: DataFrame, by: Sequence[str], bins: int) -> DataFrame:
     """by..., edges: distinct quantiles of ``value`` at 0, 1/bins, ..., 1."""
-    at = F.array(*[F.lit(i / bins) for i in range(bins + 1)])
-    return v.where("value IS NOT NULL").groupBy(*by).agg(F.array_distinct(F.percentile("value", at)).alias("edges"))
+    found = percentiles(v, "value", [i / bins for i in range(bins + 1)], list(by), "edges")
+    return found.withColumn("edges", F.array_distinct("edges"))
 
 
 def woe_iv(df: DataFrame, columns: Sequence[str], target: str, bins: int = 10, smooth: float = 0.5) -> DataFrame:
@@ -150,7 +152,7 @@ def iv_ranking(woe: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def feature_trends(df: DataFrame, columns: Sequence[str], month: str, p_max: float = 0.05) -> DataFrame:
     """feature, n_months, slope, r2, p_value, trending: line through the monthly medians on month number; under 3 months null."""
-    med = long_form(df, columns, [month]).groupBy("feature", month).agg(F.percentile("value", 0.5).alias("med")).where("med IS NOT NULL")
+    med = percentiles(long_form(df, columns, [month]), "value", [0.5], ["feature", month], "__m").withColumn("med", F.get("__m", F.lit(0)))
     x = (F.dense_rank().over(Window.partitionBy("feature").orderBy(month)) - 1).cast("double")
     fit = med.withColumn("x", x).groupBy("feature").agg(F.count(F.lit(1)).alias("n_months"), F.regr_slope("med", "x").alias("slope"), F.regr_r2("med", "x").alias("r2"))
     ok = F.col("n_months") >= 3

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.eda import long_form, quantile_edges
+from tidemark.operators.ranks import percentiles
 from tidemark.operators.windows import robust_anomaly
 
 EPS = 1e-8
@@ -86,10 +87,9 @@ def feature_drift(current: DataFrame, reference: DataFrame, columns: Sequence[st
 
 
 def score_stats(scored: DataFrame, by: Sequence[str] = (), p: str = "p", flag: str = "churn_flag") -> DataFrame:
-    q = F.percentile(p, F.array(F.lit(0.5), F.lit(0.9), F.lit(0.99)))
-    out = scored.groupBy(*by).agg(
-        F.avg(p).alias("mean"), q.alias("__q"), F.coalesce(F.sum(flag), F.lit(0)).cast("long").alias("risk_count"), F.count(F.lit(1)).alias("active_count")
-    )
+    out = scored.groupBy(*by).agg(F.avg(p).alias("mean"), F.coalesce(F.sum(flag), F.lit(0)).cast("long").alias("risk_count"), F.count(F.lit(1)).alias("active_count"))
+    q = percentiles(scored, p, [0.5, 0.9, 0.99], by, "__q")
+    out = out.join(q, list(by), "left") if by else out.join(F.broadcast(q), F.lit(True), "left")  # one row a group
     ratio = F.coalesce(F.try_divide(F.col("risk_count").cast("double"), F.col("active_count").cast("double")), F.lit(0.0))
     return out.select(*by, "mean", *[F.get("__q", F.lit(i)).alias(n) for i, n in enumerate(("p50", "p90", "p99"))], "risk_count", "active_count", ratio.alias("risk_ratio"))
 

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranks import percentiles
+
 
 def activity_recency(cust_month: DataFrame, t_obs: str) -> DataFrame:
     """cust_id, last_month, recency_days to the month of observation."""
@@ -92,7 +94,7 @@ def fit_prototype(confirmed: DataFrame, columns: Sequence[str], ridge: float = 0
     except np.linalg.LinAlgError:
         inverse = np.linalg.pinv(cov)
     proto = {"features": list(columns), "mu": mu.tolist(), "inverse": inverse.tolist(), "sigma2": 1.0}
-    middle = confirmed.select(distance2(proto).alias("d")).agg(F.percentile("d", 0.5)).first()[0]
+    middle = percentiles(confirmed.select(distance2(proto).alias("d")), "d", [0.5]).first()["percentiles"][0]
     proto["sigma2"] = float(middle) if middle and middle > 0 else 1.0
     return proto
 

@@ -15,6 +15,7 @@ from tidemark.operators import prep as P
 from tidemark.operators import reasons as Y
 from tidemark.operators import report as T
 from tidemark.operators import windows as W
+from tidemark.operators.ranks import percentiles
 from tidemark.plans import views as V
 from tidemark.plans.feature_queries import FEATURES_CTE, LIFETIME_CTE, MONTHLY, SIZES, grid_sql, in_windows, lifetime, monthly
 from tidemark.plans.feature_queries import features as feature_rows
@@ -910,7 +911,7 @@ def label_multi_signal(spark, sf_dir):
 @query("clip_outliers", f"WITH {FACTS}, q AS (SELECT quantile_cont(fee, 0.001) AS a, quantile_cont(fee, 0.999) AS b FROM facts) SELECT cust_id, yr, round(greatest(least(fee, b), a), 6) AS fee FROM facts, q")
 def clip_outliers(spark, sf_dir):
     f = facts(spark, sf_dir)
-    q = f.agg(F.percentile("fee", 0.001).alias("a"), F.percentile("fee", 0.999).alias("b"))
+    q = percentiles(f, "fee", [0.001, 0.999]).select(F.get("percentiles", F.lit(0)).alias("a"), F.get("percentiles", F.lit(1)).alias("b"))
     return rounded(f.join(F.broadcast(q), F.lit(True)).select("cust_id", "yr", F.greatest(F.least("fee", "b"), "a").alias("fee")))  # one row
 
 
