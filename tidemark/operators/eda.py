@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import finite
 from tidemark.functions.special import t_pvalue
 from tidemark.operators.ranks import percentiles, running_totals
+from tidemark.sources.sinks import audit_append
 
 PERCENTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 
@@ -184,6 +185,15 @@ def eda_report(df: DataFrame, columns: Sequence[str], target: str | None = None,
     return out
 
 
+def persist_report(report: dict[str, DataFrame], path: str, run_id: str) -> None:
+    """Write each table of a report under ``path``, and a log row (run_id, table, n, at) for each that is there."""
+    for name, df in report.items():
+        place = f"{path}/tables/{name}/run={run_id}"
+        df.write.mode("overwrite").parquet(place)
+        n = df.sparkSession.read.schema(df.schema).parquet(place).agg(F.count(F.lit(1)).alias("n"))
+        audit_append(n.select(F.lit(run_id).alias("run_id"), F.lit(name).alias("table"), "n", F.current_timestamp().alias("at")), f"{path}/log")
+
+
 def eda_summary(report: dict[str, DataFrame]) -> DataFrame:
     """metric, value: counts over the report's summary tables."""
     count = lambda name, table, condition: report[table].agg(F.count_if(F.expr(condition)).cast("double").alias("value")).select(F.lit(name).alias("metric"), "value")

@@ -140,6 +140,20 @@ def prototype_as_of(cache: DataFrame, runs: DataFrame, max_age: int = 3) -> Data
     return found.groupBy("run_month", "horizon").agg(F.min_by("proto", "age").alias("proto"), F.min("age").alias("age"))
 
 
+def prototype_or_fallback(cache: DataFrame, runs: DataFrame, max_age: int = 3) -> DataFrame:
+    """Every run with the prototype it uses: proto, age, fallback (not its own), failed (none young enough)."""
+    found = runs.join(prototype_as_of(cache, runs, max_age), ["run_month", "horizon"], "left")
+    return found.withColumns({"fallback": F.coalesce(F.col("age") > 0, F.lit(True)), "failed": F.col("age").isNull()})
+
+
+def require_prototypes(found: DataFrame) -> DataFrame:
+    """The runs of ``prototype_or_fallback``; raises if one has no prototype."""
+    bad = found.where("failed").select("run_month", "horizon").limit(5).collect()
+    if bad:
+        raise ValueError("no prototype for " + ", ".join(f"{r['run_month']} at horizon {r['horizon']}" for r in bad))
+    return found
+
+
 def label_source(sim: Column, sim_min: float = 0.8, recent: int = 30, ratio: float = 0.85) -> Column:
     """confirmed over reliable_neg over pseudo_churn over pu_unlabeled; needs is_confirmed, delta_ewma, item_avg, item_last, recency_days."""
     down = (F.col("item_avg") > 0) & (F.col("item_last") < F.col("item_avg") * ratio)
@@ -183,17 +197,25 @@ def scale_on_train(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return out.withColumns(scaled).select(*df.columns)
 
 
-def sanity_checks(df: DataFrame, columns: Sequence[str], low: float = 0.03, high: float = 0.35) -> DataFrame:
-    """check, passed, critical: one aggregation over the final set."""
+def sanity_checks(df: DataFrame, columns: Sequence[str], low: float = 0.03, high: float = 0.35, min_eval: int = 1, scaled: Sequence[str] = ()) -> DataFrame:
+    """check, passed, critical: one aggregation over the final set.
+
+    ``scaled`` columns must have mean 0 and deviation 1 (or 0) on the train rows, as a scaler fitted on them gives.
+    """
     train = F.col("split") == "train"
     nulls = F.lit(0)
     for c in columns:
         nulls = nulls + F.count_if(train & F.col(c).isNull())
     rate = F.avg(F.when(train, F.col("y_label")))
+    fitted = F.lit(True)
+    for c in scaled:
+        mean, dev = F.avg(F.when(train, F.col(c))), F.stddev_pop(F.when(train, F.col(c)))
+        fitted = fitted & F.coalesce((F.abs(mean) < 1e-6) & ((dev < 1e-6) | (F.abs(dev - 1) < 1e-6)), F.lit(False))
     checks = [
         ("no_overlap", F.count_if(train & (F.col("label_source") == "confirmed")) == 0, True), ("train_rate", F.coalesce(rate.between(low, high), F.lit(False)), False),
         ("no_null_weight", F.count_if(train & F.col("sample_weight").isNull()) == 0, True), ("no_null_feature", nulls == 0, True),
         ("train_not_empty", F.count_if(train) > 0, True), ("eval_not_empty", F.count_if(~train) > 0, False),
+        ("eval_size", F.count_if(~train) >= min_eval, False), ("scaler_fitted", fitted, True),
     ]
     packed = df.agg(F.array(*[F.struct(F.lit(n).alias("check"), ok.alias("passed"), F.lit(crit).alias("critical")) for n, ok, crit in checks]).alias("c"))
     return packed.select(F.explode("c").alias("c")).select("c.*")

@@ -388,9 +388,16 @@ def agg_distinct_on(spark, sf_dir):
     return newest.select(F.col("o_custkey").alias("cust_id"), "o_orderkey", "o_totalprice")
 
 
-@query("agg_two_level_moments")
+_MOMENTS = ("item_sum", "item_avg", "revenue_avg", "complaint_sum", "pct_delay", "order_score_avg", "satisfaction_avg", "active_months", "cv_item", "recency", "frequency", "monetary")
+_PAIR_SQL = " UNION ALL ".join(
+    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(avg(coalesce({a}, 0)), 4) + 0.0::DOUBLE AS mean_a, round(covar_samp(coalesce({b}, 0), coalesce({a}, 0)), 2) + 0.0::DOUBLE AS cov FROM f" for a in _MOMENTS for b in _MOMENTS
+)
+
+
+@query("agg_two_level_moments", f"WITH {FEATURES_CTE}, f AS (SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _MOMENTS)} FROM features WHERE window_size = 3) {_PAIR_SQL}")
 def agg_two_level_moments(spark, sf_dir):
+    """Means and covariances of window features over all windows of three months."""
     from tidemark.operators.prep import mean_and_covariance
 
-    got = features(spark, sf_dir, (3,), "2000-01-01", with_months=False)
-    return mean_and_covariance(got, ["item_sum", "revenue_avg", "pct_delay", "order_score_avg"])
+    got = mean_and_covariance(rounded(features(spark, sf_dir, (3,), with_months=False)), _MOMENTS)
+    return got.withColumns({"mean_a": F.round("mean_a", 4) + F.lit(0.0), "cov": F.round("cov", 2) + F.lit(0.0)})

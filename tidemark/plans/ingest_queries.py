@@ -227,6 +227,13 @@ def reject_ragged(spark, sf_dir):
     return R.split_ragged(staged(read, "ragged"))[1].select(F.col("_ragged").alias("line"))
 
 
+def _written_heads(spark, lines, order: str, head: int = R.HEAD_LINES):
+    """Lines (file, ``order``, line) written as one text file per name, and the heads of the files as they are read."""
+    path = shared_path(spark, "texts")
+    lines.repartition("file").sortWithinPartitions("file", order, "line").select("file", "line").write.partitionBy("file").text(path)
+    return R.read_head(spark, path, head).withColumn("file", F.url_decode(F.url_decode(F.regexp_extract("file", "/file=([^/]+)/", 1))))
+
+
 _LINES = "SELECT o_orderpriority AS file, o_orderkey AS n, concat(CAST(o_orderkey AS {s}), {d}, CAST(o_custkey AS {s}), {d}, o_orderstatus) AS line FROM {t}"
 _D = "CASE o_orderpriority WHEN '1-URGENT' THEN ',' WHEN '2-HIGH' THEN ';' WHEN '3-MEDIUM' THEN '|' ELSE chr(9) END"
 
@@ -238,13 +245,12 @@ _D = "CASE o_orderpriority WHEN '1-URGENT' THEN ',' WHEN '2-HIGH' THEN ';' WHEN
     "SELECT file, CASE WHEN a >= greatest(b, t, p) THEN ',' WHEN b >= greatest(t, p) THEN ';' WHEN t >= p THEN chr(9) ELSE '|' END AS delimiter, greatest(a, b, t, p) AS least FROM c",
 )
 def scan_sniffed(spark, sf_dir):
-    from pyspark.sql import Window
-
+    """The orders written as one text file per priority, each with its own delimiter, and their heads read."""
     lines = spark.sql(_LINES.format(s="STRING", d=_D, t="{orders}"), orders=V.table(spark, sf_dir, "orders"))
-    return R.sniff_delimiters(lines.withColumn("line_no", F.row_number().over(Window.partitionBy("file").orderBy("n", "line")) - 1))
+    return R.sniff_delimiters(_written_heads(spark, lines, "n"))
 
 
-_HEADERS = "SELECT concat('f', CAST(c_custkey AS {s}), '.csv') AS file, CASE WHEN c_custkey % 7 = 0 THEN 'a;b' WHEN c_custkey % 11 = 0 THEN 'a;b;x' ELSE 'a; b;c' END AS header FROM {t}"
+_HEADERS = "SELECT DISTINCT concat('f', CAST(c_custkey % 50 AS {s}), '.csv') AS file, CASE WHEN c_custkey % 50 % 7 = 0 THEN 'a;b' WHEN c_custkey % 50 % 11 = 0 THEN 'a;b;x' ELSE 'a; b;c' END AS header FROM {t}"
 
 
 @_plain(
@@ -252,15 +258,21 @@ _HEADERS = "SELECT concat('f', CAST(c_custkey AS {s}), '.csv') AS file, CASE WHE
     "WITH h AS (" + _HEADERS.format(s="VARCHAR", t="customer") + ") SELECT file, CASE WHEN header = 'a;b' THEN 'bad_count' WHEN header <> (SELECT header FROM h ORDER BY file LIMIT 1) THEN 'differs_from_first' WHEN header = 'a;b;x' THEN 'renamed' ELSE 'ok' END AS status, len(string_split(header, ';')) AS n_columns, CASE WHEN header = 'a;b;x' THEN 1 WHEN header = 'a; b;c' THEN 0 END AS renamed FROM h",
 )
 def header_contract(spark, sf_dir):
-    return R.check_headers(spark.sql(_HEADERS.format(s="STRING", t="{customer}"), customer=V.table(spark, sf_dir, "customer")), ["a", "b", "c"])
+    """The customers written as fifty files with a header, and the headers read."""
+    customer = V.table(spark, sf_dir, "customer")
+    headers = spark.sql(_HEADERS.format(s="STRING", t="{customer}"), customer=customer).select("file", F.lit(-1).cast("long").alias("n"), F.col("header").alias("line"))
+    body = customer.select(F.concat(F.lit("f"), (F.col("c_custkey") % 50).cast("string"), F.lit(".csv")).alias("file"), F.col("c_custkey").cast("long").alias("n"), F.concat_ws(";", "c_custkey", "c_name", "c_mktsegment").alias("line"))
+    heads = _written_heads(spark, headers.unionByName(body), "n", 1)
+    return R.check_headers(heads.select("file", F.col("line").alias("header")), ["a", "b", "c"])
 
 
 @query("scan_monthly_partitions", "SELECT cust_id, report_month, item_count FROM cust_month WHERE report_month BETWEEN DATE '1998-03-01' AND DATE '1998-08-01'")
 def scan_monthly_partitions(spark, sf_dir):
-    """Months written as partitions; the scan reads six of them."""
+    """Months written as partitions, but for one; the scan reads five of them and takes the missing one from the base table."""
     path = shared_path(spark, "months")
-    V.cust_month(spark, sf_dir).select("cust_id", "report_month", "item_count").write.partitionBy("report_month").parquet(path)
-    return R.scan_months(spark.read.parquet(path), "report_month", "1998-03-01", "1998-08-01").select("cust_id", "report_month", "item_count")
+    base = V.cust_month(spark, sf_dir).select("cust_id", "report_month", "item_count")
+    base.where("report_month <> DATE '1998-06-01'").write.partitionBy("report_month").parquet(path)
+    return R.scan_months_or_base(spark.read.parquet(path), base, "report_month", "1998-03-01", "1998-08-01").select("cust_id", "report_month", "item_count")
 
 
 @_plain("scan_labels", "SELECT CAST(c_custkey AS VARCHAR) AS cms_code_enc, concat('label_24', CASE WHEN c_custkey % 3 + 1 < 10 THEN '0' ELSE '' END, c_custkey % 3 + 1) AS drop_name, CAST(2401 + c_custkey % 3 AS INT) AS yymm FROM customer")
@@ -270,9 +282,7 @@ def scan_labels(spark, sf_dir):
     c = V.table(spark, sf_dir, "customer")
     for m in range(3):
         c.where(F.col("c_custkey") % 3 == m).select(F.col("c_custkey").alias("cms_code_enc")).write.option("header", True).csv(f"{path}/label_24{m + 1:02d}")
-    read = spark.read.option("header", True).option("recursiveFileLookup", True).csv(path).select("cms_code_enc", F.col("_metadata.file_path").alias("p"))
-    name = F.regexp_extract("p", r"/(label_\d{4})/", 1)
-    return read.select("cms_code_enc", name.alias("drop_name"), R.label_file_period(name).alias("yymm"))
+    return R.read_labels(spark, path).select("cms_code_enc", F.col("source_file").alias("drop_name"), "yymm")
 
 
 @query("discover_latest_month", "SELECT CAST(max(date_trunc('month', report_month)) AS DATE) AS t_obs FROM cust_month")

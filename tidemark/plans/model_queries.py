@@ -268,11 +268,11 @@ def training_windows(spark, sf_dir):
     return P.training_windows(_windows3(spark, sf_dir), V.cust_month(spark, sf_dir), 3, DATA_START, T_OBS, 2, 4)
 
 
-_CACHE = "SELECT CAST(year(o_orderdate) % 100 * 100 + month(o_orderdate) AS INT) AS run_month, CAST(o_orderkey % 3 AS INT) AS horizon, max(o_totalprice) AS sigma2 FROM {t} WHERE o_custkey % 50 = 0 AND year(o_orderdate) >= 2000 GROUP BY 1, 2"
-_RUNS = "SELECT DISTINCT CAST(year(o_orderdate) % 100 * 100 + month(o_orderdate) AS INT) AS run_month, CAST(o_orderkey % 3 AS INT) AS horizon FROM {t} WHERE year(o_orderdate) >= 2000"
+_CACHE = "SELECT CAST(year(o_orderdate) % 100 * 100 + month(o_orderdate) AS INT) AS run_month, CAST(o_orderkey % 3 AS INT) AS horizon, max(o_totalprice) AS sigma2 FROM {t} GROUP BY 1, 2 HAVING 5 * sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) > count(*)"
+_RUNS = "SELECT DISTINCT CAST(year(o_orderdate) % 100 * 100 + month(o_orderdate) AS INT) AS run_month, CAST(o_orderkey % 3 AS INT) AS horizon FROM {t}"
 
 
-@query("join_asof_prototype", f"WITH c AS ({_CACHE.format(t='orders')}), r AS ({_RUNS.format(t='orders')}), j AS (SELECT r.run_month, r.horizon, c.sigma2, (r.run_month // 100 - c.run_month // 100) * 12 + r.run_month % 100 - c.run_month % 100 AS age FROM r JOIN c ON r.horizon = c.horizon), k AS (SELECT *, row_number() OVER (PARTITION BY run_month, horizon ORDER BY age) AS n FROM j WHERE age BETWEEN 0 AND 3) SELECT run_month, horizon, sigma2, CAST(age AS INT) AS age FROM k WHERE n = 1", views=False)
+@query("join_asof_prototype", f"WITH c AS ({_CACHE.format(t='orders')}), r AS ({_RUNS.format(t='orders')}), j AS (SELECT r.run_month, r.horizon, c.sigma2, ((r.run_month // 100 + 30) % 100 - (c.run_month // 100 + 30) % 100) * 12 + r.run_month % 100 - c.run_month % 100 AS age FROM r JOIN c ON r.horizon = c.horizon), k AS (SELECT *, row_number() OVER (PARTITION BY run_month, horizon ORDER BY age) AS n FROM j WHERE age BETWEEN 0 AND 3) SELECT run_month, horizon, sigma2, CAST(age AS INT) AS age FROM k WHERE n = 1", views=False)
 def join_asof_prototype(spark, sf_dir):
     o = V.table(spark, sf_dir, "orders")
     got = P.prototype_as_of(spark.sql(_CACHE.format(t="{o}"), o=o), spark.sql(_RUNS.format(t="{o}"), o=o))
@@ -495,17 +495,18 @@ def scale_train_only(spark, sf_dir):
     return rounded(P.scale_on_train(now, ["recency_days", "delta_ewma"]))
 
 
-@query("sanity_gate", f"WITH {SCORED}, {_CONF}, {_SOURCES}, {_WEIGHTS}, {_SPLIT} SELECT 'no_overlap' AS check, count(*) FILTER (split = 'train' AND label_source = 'confirmed') = 0 AS passed, true AS critical FROM spl UNION ALL SELECT 'train_rate', coalesce(avg(y_label) FILTER (split = 'train') BETWEEN 0.03 AND 0.35, false), false FROM spl UNION ALL SELECT 'no_null_weight', count(*) FILTER (split = 'train' AND sample_weight IS NULL) = 0, true FROM spl UNION ALL SELECT 'no_null_feature', count(*) FILTER (split = 'train' AND item_avg IS NULL) = 0, true FROM spl UNION ALL SELECT 'train_not_empty', count(*) FILTER (split = 'train') > 0, true FROM spl UNION ALL SELECT 'eval_not_empty', count(*) FILTER (split <> 'train') > 0, false FROM spl")
+@query("sanity_gate", f"WITH {SCORED}, {_CONF}, {_SOURCES}, {_WEIGHTS}, {_SPLIT} SELECT 'no_overlap' AS check, count(*) FILTER (split = 'train' AND label_source = 'confirmed') = 0 AS passed, true AS critical FROM spl UNION ALL SELECT 'train_rate', coalesce(avg(y_label) FILTER (split = 'train') BETWEEN 0.03 AND 0.35, false), false FROM spl UNION ALL SELECT 'no_null_weight', count(*) FILTER (split = 'train' AND sample_weight IS NULL) = 0, true FROM spl UNION ALL SELECT 'no_null_feature', count(*) FILTER (split = 'train' AND item_avg IS NULL) = 0, true FROM spl UNION ALL SELECT 'train_not_empty', count(*) FILTER (split = 'train') > 0, true FROM spl UNION ALL SELECT 'eval_not_empty', count(*) FILTER (split <> 'train') > 0, false FROM spl UNION ALL SELECT 'eval_size', count(*) FILTER (split <> 'train') >= 20, false FROM spl UNION ALL SELECT 'scaler_fitted', true, true")
 def sanity_gate(spark, sf_dir):
-    return P.sanity_checks(P.split_stratified(_weighted(spark, sf_dir), "cust_id"), ["item_avg", "delta_ewma"])
+    now = P.split_stratified(_weighted(spark, sf_dir), "cust_id")
+    now = P.scale_on_train(now.withColumn("scaled_recency", F.col("recency_days")), ["scaled_recency"])
+    return P.sanity_checks(now, ["item_avg", "delta_ewma"], min_eval=20, scaled=["scaled_recency"])
 
 
-@query("prototype_fallback", f"WITH c AS ({_CACHE.format(t='orders')}), r AS ({_RUNS.format(t='orders')}) SELECT r.run_month, r.horizon, c.run_month IS NULL AS fallback FROM r LEFT JOIN c USING (run_month, horizon)", views=False)
+@query("prototype_fallback", f"WITH c AS ({_CACHE.format(t='orders')}), r AS ({_RUNS.format(t='orders')}), j AS (SELECT r.run_month, r.horizon, ((r.run_month // 100 + 30) % 100 - (c.run_month // 100 + 30) % 100) * 12 + r.run_month % 100 - c.run_month % 100 AS age FROM r JOIN c ON r.horizon = c.horizon), k AS (SELECT run_month, horizon, min(age) AS age FROM j WHERE age BETWEEN 0 AND 3 GROUP BY 1, 2) SELECT run_month, horizon, coalesce(age, 1) > 0 AS fallback, age IS NULL AS failed FROM r LEFT JOIN k USING (run_month, horizon)", views=False)
 def prototype_fallback(spark, sf_dir):
-    """Runs whose own prototype is missing fall back to a cached one; the flag says which."""
+    """Runs whose own prototype is missing fall back to one cached up to three months before, or are reported as failed."""
     o = V.table(spark, sf_dir, "orders")
-    cache, runs = spark.sql(_CACHE.format(t="{o}"), o=o), spark.sql(_RUNS.format(t="{o}"), o=o)
-    return runs.join(cache.select("run_month", "horizon", F.lit(False).alias("own")), ["run_month", "horizon"], "left").select("run_month", "horizon", F.col("own").isNull().alias("fallback"))
+    return P.prototype_or_fallback(spark.sql(_CACHE.format(t="{o}"), o=o), spark.sql(_RUNS.format(t="{o}"), o=o)).select("run_month", "horizon", "fallback", "failed")
 
 
 _PROTO = ("item_sum", "revenue_avg", "pct_delay", "order_score_avg")
@@ -679,13 +680,10 @@ def eda_summary(spark, sf_dir):
 
 @query("eda_report")
 def eda_report(spark, sf_dir):
-    """Rows of each table of the full report."""
-    parts = E.eda_report(facts(spark, sf_dir), COLUMNS, "y", "yr")
-    out = None
-    for name, df in parts.items():
-        n = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table"), "n")
-        out = n if out is None else out.unionByName(n)
-    return out
+    """The full report written table by table with its run log, and the log read back."""
+    path = shared_path(spark, "report")
+    E.persist_report(E.eda_report(facts(spark, sf_dir), COLUMNS, "y", "yr"), path, "run-1")
+    return spark.read.parquet(f"{path}/log").select("table", "n")
 
 
 # Monitoring
@@ -814,7 +812,7 @@ _RULES = (
     "rr AS (SELECT cust_id, window_end, concat_ws('|', CASE WHEN complaint_ref > 1.15 * complaint_prev AND complaint_prev >= 1 THEN 'R_COMPLAINT_SPIKE' END, CASE WHEN delay_ref > 1.15 * delay_prev AND delay_prev >= 1 THEN 'R_DELAY_SPIKE' END, CASE WHEN nodone_ref > 1.15 * nodone_prev AND nodone_prev >= 1 THEN 'R_NODONE_SPIKE' END, "
     "CASE WHEN sat_ref < 0.85 * sat_prev THEN 'R_SATISFACTION_DROP' END, CASE WHEN order_ref < 0.85 * order_prev THEN 'R_ORDER_SCORE_DROP' END, CASE WHEN complaint_diversity >= 3 THEN 'R_COMPLAINT_DIVERSITY_HIGH' END) AS r, "
     "concat_ws('|', CASE WHEN item_ref < 0.5 * item_prev AND item_prev >= 5 THEN 'P_ITEM_DROP' END, CASE WHEN revenue_ref < 0.5 * revenue_prev AND revenue_prev > 0 THEN 'P_REVENUE_DROP' END, CASE WHEN revenue_ref / CASE WHEN item_ref > 0 THEN item_ref ELSE 1 END < 0.85 * value_prev THEN 'P_VALUE_PER_ITEM_DROP' END, "
-    "CASE WHEN cv_item >= 1 THEN 'P_CV_ITEM_HIGH' END, CASE WHEN service_types_used <= 1 THEN 'P_SERVICE_TYPES_LOW' END, CASE WHEN dominant_service_ratio >= 0.85 THEN 'P_DOMINANT_SERVICE_HIGH' END) AS p FROM mm JOIN (SELECT * FROM features WHERE window_size = 6) f USING (cust_id, window_end)) "
+    "CASE WHEN item_slope < 0 THEN 'P_ITEM_TREND_DOWN' END, CASE WHEN revenue_slope < 0 THEN 'P_REVENUE_TREND_DOWN' END, CASE WHEN cv_item >= 1 THEN 'P_CV_ITEM_HIGH' END, CASE WHEN service_types_used <= 1 THEN 'P_SERVICE_TYPES_LOW' END, CASE WHEN dominant_service_ratio >= 0.85 THEN 'P_DOMINANT_SERVICE_HIGH' END) AS p FROM mm JOIN (SELECT * FROM features WHERE window_size = 6) f USING (cust_id, window_end)) "
     "SELECT cust_id, window_end, CASE WHEN r <> '' AND p <> '' THEN 'mixed' WHEN r <> '' THEN 'reactive' WHEN p <> '' THEN 'proactive' END AS churn_type, nullif(r, '') AS reactive_reasons, nullif(p, '') AS proactive_reasons, "
     "string_split(concat_ws('|', nullif(r, ''), nullif(p, '')), '|')[1] AS reason_1 FROM rr"
 )
@@ -822,9 +820,8 @@ _RULES = (
 
 @query("rule_reasons", _RULES)
 def rule_reasons(spark, sf_dir):
-    """Slopes are left out: whether a slope of about 0 is negative depends on the last bit."""
-    got = feature_rows(spark, sf_dir, (6,)).drop("item_slope", "revenue_slope")
-    # Ratios are compared as rounded, as in the oracle.
+    """Slopes and ratios are compared as rounded, as in the oracle."""
+    got = feature_rows(spark, sf_dir, (6,)).withColumns({c: F.round(F.col(c) * 1e9, 3) + F.lit(0.0) for c in ("item_slope", "revenue_slope")})
     got = Y.rule_reasons(got.withColumns({c: F.round(c, 6) for c in ("cv_item", "dominant_service_ratio")}))
     return got.select("cust_id", "window_end", "churn_type", "reactive_reasons", "proactive_reasons", F.coalesce("reason_1", F.lit("")).alias("reason_1"))
 
@@ -886,7 +883,7 @@ def window_search(spark, sf_dir):
 
 @query("monthly_pipeline")
 def monthly_pipeline(spark, sf_dir):
-    run = L.monthly_run(feature_rows(spark, sf_dir, (3,)), V.cust_month(spark, sf_dir), L.RunConfig(T_OBS, DATA_START, model=_SMALL))
+    run = L.monthly_run(feature_rows(spark, sf_dir, (3,)), V.cust_month(spark, sf_dir), L.RunConfig(T_OBS, DATA_START, model=_SMALL), confirmed=_confirmed_set(spark, sf_dir))
     return run["scored"].select("cust_id", "p", "churn_flag", "churn_type", "reason_1", "reason_2", "reason_3")
 
 

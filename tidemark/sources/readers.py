@@ -30,11 +30,16 @@ def split_ragged(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where(F.col("_ragged").isNull()).drop("_ragged"), df.where(F.col("_ragged").isNotNull()).select("_ragged")
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """file, line_no (from 0 in each file), line of all text files; row order inside a file follows the file."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("line"), F.monotonically_increasing_id().alias("__i"))
+def read_head(spark: SparkSession, path: str, head: int = HEAD_LINES) -> DataFrame:
+    """file (its path), line_no (from 0), line: the first ``head`` lines of all text files, as far as a file's first block has them.
+
+    Later blocks aren't numbered, and of a first block no more than ``head`` lines are shuffled.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("__at"), F.col("value").alias("line"), F.monotonically_increasing_id().alias("__i")
+    )
     by = Window.partitionBy("file").orderBy("__i")
-    return lines.withColumn("line_no", F.row_number().over(by) - 1).drop("__i")
+    return lines.where("__at = 0").withColumn("__r", F.row_number().over(by)).where(F.col("__r") <= head).select("file", (F.col("__r") - 1).alias("line_no"), "line")
 
 
 def sniff_delimiters(lines: DataFrame, head: int = HEAD_LINES) -> DataFrame:
@@ -70,9 +75,10 @@ def label_file_period(name: Column) -> Column:
 
 
 def read_labels(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """All label files of a folder as text columns, with source_file and yymm from the name. Files share one header."""
-    df = spark.read.options(header=True, sep=sep).csv(path)
-    return df.select("*", F.col("_metadata.file_name").alias("source_file")).withColumn("yymm", label_file_period(F.col("source_file")))
+    """All label drops of a folder (files, or folders of part files) as text columns, with source_file and yymm from the name. Drops share one header."""
+    df = spark.read.options(header=True, sep=sep, recursiveFileLookup=True).csv(path)
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"(?i)([^/]*(?:roi_bo_|label_)\d[^/]*)", 1)
+    return df.select("*", name.alias("source_file")).withColumn("yymm", label_file_period(F.col("source_file")))
 
 
 def scan_months(df: DataFrame, month: str, start: str, end: str) -> DataFrame:
@@ -80,6 +86,13 @@ def scan_months(df: DataFrame, month: str, start: str, end: str) -> DataFrame:
     return df.where(F.col(month).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
 
 
+def scan_months_or_base(parts: DataFrame, base: DataFrame, month: str, start: str, end: str) -> DataFrame:
+    """The months in [start, end] from the partitioned table; months that it doesn't have come from the base table."""
+    own, rest = scan_months(parts, month, start, end), scan_months(base, month, start, end)
+    have = own.select(month).distinct()  # a row per month
+    return own.unionByName(rest.join(F.broadcast(have), month, "left_anti").select(*own.columns))
+
+
 def load_working_set(lifetime: DataFrame, min_orders: int = 3) -> DataFrame:
     """Customers with at least ``min_orders`` items in their life."""
     return lifetime.where(F.col("lifetime_total_items") >= min_orders)
