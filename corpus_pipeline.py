@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, jaccard, langid, mixing, sharding
-from tidemark.sources.tables import staged
+from tidemark.sources.tables import discard, staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -68,6 +68,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order over the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for k, (name, stage) in enumerate(STAGES):
+        kept = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if k:
+            discard(docs)
+        docs = kept
     return docs
