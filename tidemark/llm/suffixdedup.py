@@ -43,7 +43,7 @@ GRAM = 20
 #: Bytes of segments sorted together.
 BLOCK_BYTES = 1 << 20
 #: Bytes of one anchor's segments up to which a block holds them; beyond, their windows are dealt out by their bytes.
-ANCHOR_BYTES = 1 << 17
+ANCHOR_BYTES = 1 << 20
 #: Documents of a batch from which an anchor counts as shared without meeting others.
 COMMON = 8
 #: Bytes of text in a bucket, about.
