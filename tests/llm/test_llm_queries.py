@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables he
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df, sql = QUERIES[name](spark, SF), con.sql(ORACLES[name])
     assert sorted(df.columns) == sorted(sql.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard, langid, licenses, linededup, mixing, quality, sharding, suffixdedup, toxicity
+from tidemark.llm import decontaminate, hardnegatives, infilling, jaccard, langid, licenses, linededup, mixing, quality, sharding, suffixdedup, tokencounts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,18 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op11_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infilling.infill(_table(spark, sf_dir, "documents"))
+
+
+def op12_hardnegatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hardnegatives.mine(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_tokencounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.count_tokens(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -75,6 +87,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffixdedup": op8_suffixdedup,
     "op9_decontaminate": op9_decontaminate,
     "op10_langid": op10_langid,
+    "op11_infilling": op11_infilling,
+    "op12_hardnegatives": op12_hardnegatives,
+    "op13_tokencounts": op13_tokencounts,
     "pipeline": pipeline,
 }
 
@@ -178,9 +193,47 @@ SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_INFILL_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u,
+         CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+  FROM d),
+c AS (SELECT *, CAST(len(u) AS BIGINT) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b FROM u),
+p AS (
+  SELECT doc_id, t, n,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+         array_to_string(u[1 : a], '') AS prefix, array_to_string(u[a + 1 : b], '') AS middle, array_to_string(u[b + 1 : n], '') AS suffix
+  FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN t ELSE prefix || middle || suffix END) AS restored_sha256
+FROM p
+"""
+
+_NEGATIVES_SQL = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same, CAST(list_dot_product(a.q, v.q) AS BIGINT) AS score
+  FROM v AS a JOIN v ON a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS r FROM s WHERE same) WHERE r <= 5),
+n AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INT) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
 ORACLES: dict[str, str] = {
     "op2_mixing": _MIX_SQL,
     "op5_quality": _QUALITY_SQL,
     "op7_linededup": _LINES_SQL,
     "op9_decontaminate": _LEAKS_SQL,
+    "op11_infilling": _INFILL_SQL,
+    "op12_hardnegatives": _NEGATIVES_SQL,
 }
