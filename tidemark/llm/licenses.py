@@ -65,16 +65,18 @@ _TOKEN = re.compile(r"[()]|[A-Za-z0-9][A-Za-z0-9.+-]*")
 _GAP = re.compile(r"[ \t]*")
 
 
-def expression_tokens(line: str) -> list[str]:
-    """Tokens of the expression that ``line`` begins with: up to the first one that can't follow those before it.
+def expression_tokens(text: str, at: int = 0, stop: int | None = None) -> list[str]:
+    """Tokens of the expression that begins at ``at`` and ends before ``stop``: up to the first one that can't follow those before it.
 
-    An exception follows ``with`` and isn't checked; elsewhere an operand and an operator take turns.
+    An exception follows ``with`` and isn't checked; elsewhere an operand and an operator take turns. No tag fits into an
+    expression whole, as a colon ends it, so the expressions of a text share no more than a tag's own words.
     """
     out: list[str] = []
-    depth, operand_next, at = 0, True, 0
+    stop = len(text) if stop is None else stop
+    depth, operand_next = 0, True
     while True:
-        at = _GAP.match(line, at).end()
-        found = _TOKEN.match(line, at)
+        at = _GAP.match(text, at, stop).end()
+        found = _TOKEN.match(text, at, stop)
         if not found:
             break
         token = found[0]
@@ -189,15 +191,16 @@ class Scanner:
                 counted_to = start
                 n_base, first, last = n_base + 1, words_before if first is None else min(first, words_before), max(last or 0, words_before)
         expressions, free = [], bool(labels & OPEN) and labels <= OPEN
-        lowered = raw.lower().decode("latin-1")
-        taken_to = -1
-        for end, _ in self.tags.iter(lowered):
+        written = raw.decode("latin-1")
+        taken_to, stop = -1, -1
+        for end, _ in self.tags.iter(raw.lower().decode("latin-1")):
             if end <= taken_to:
                 continue
-            stop = lowered.find("\n", end + 1)
-            stop = len(lowered) if stop < 0 else stop
+            if stop <= end:  # else the tag stands in the line of the one before
+                stop = written.find("\n", end + 1)
+                stop = len(written) if stop < 0 else stop
             taken_to = end
-            tokens = expression_tokens(raw[end + 1 : stop].decode("latin-1"))
+            tokens = expression_tokens(written, end + 1, stop)
             named, open_choice = evaluate(tokens)
             if named:
                 expressions.append(" ".join(tokens).replace("( ", "(").replace(" )", ")"))
