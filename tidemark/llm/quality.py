@@ -2,8 +2,10 @@
 
 Each document is measured and checked against rules: the base rules (few words, mostly repeated windows), many symbols,
 many repeated lines, odd word lengths. Failures are counted by host (the ``source`` of a document), and the failure rates
-are shrunk towards a beta prior fitted to all hosts by moments, so that small hosts need no rule of their own. A host's
-shrunk rate gives its verdict, which goes back to its documents: a *bad* host (above ``max_rate``) loses them all, a
+are shrunk towards a beta prior fitted to all hosts by moments. A host is judged by what its posterior leaves little doubt
+of: by the lower ``TAIL`` quantile of its failure rate (normal approximation of the beta posterior, whose deviation falls
+with the host's documents). So a small host needs no rule of its own: it needs a higher raw rate than a large one for the
+same verdict. The verdict goes back to the documents: a *bad* host (quantile above ``max_rate``) loses them all, a
 *doubtful* one (above the mean of the prior) those that fail any rule, a *good* one those that fail a base rule.
 
 Repeated 3-word windows are found inside each row: the windows' 64-bit hashes are sorted with their positions, equal
@@ -30,6 +32,8 @@ MAX_DUP_LINES = 0.3
 #: Code points a word.
 WORD_LENGTHS = (2.5, 12.0)
 MAX_RATE = 0.5
+#: Deviations below the posterior's mean at which a host is judged: the lower 5 % quantile.
+TAIL = 1.645
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -92,7 +96,7 @@ def rule_failed() -> Column:
 
 
 def host_verdicts(measures: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
-    """One row per host: source, host_docs, host_failed, host_rate (shrunk), host_verdict (good, doubtful or bad).
+    """One row per host: source, host_docs, host_failed, host_rate (shrunk), host_least (its lower quantile), host_verdict (good, doubtful or bad).
 
     The prior is two numbers from one row of moments.
     """
@@ -103,14 +107,15 @@ def host_verdicts(measures: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
         F.var_pop(rate).alias("v"), F.avg(1 / F.col("host_docs")).alias("inv"),
     ).first()
     if not m["k"]:
-        return hosts.withColumns({"host_rate": F.lit(0.0), "host_verdict": F.lit("good")})
+        return hosts.withColumns({"host_rate": F.lit(0.0), "host_least": F.lit(0.0), "host_verdict": F.lit("good")})
     mean = m["f"] / m["n"]
     noise = mean * (1 - mean) * m["inv"]
     between = max(m["v"] - noise, 1e-9)
     strength = min(max(mean * (1 - mean) / between - 1, 1.0), 1e6)
     shrunk = (F.col("host_failed") + F.lit(mean * strength)) / (F.col("host_docs") + F.lit(strength))
-    verdict = F.when(F.col("host_rate") > max_rate, "bad").when(F.col("host_rate") > mean, "doubtful").otherwise("good")
-    return hosts.withColumn("host_rate", shrunk).withColumn("host_verdict", verdict)
+    spread = F.sqrt(F.col("host_rate") * (1 - F.col("host_rate")) / (F.col("host_docs") + F.lit(strength + 1.0)))
+    verdict = F.when(F.col("host_least") > max_rate, "bad").when(F.col("host_least") > mean, "doubtful").otherwise("good")
+    return hosts.withColumn("host_rate", shrunk).withColumn("host_least", F.col("host_rate") - TAIL * spread).withColumn("host_verdict", verdict)
 
 
 def judge(docs: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:

@@ -149,9 +149,10 @@ h AS (SELECT source, count(*) AS n, count(*) FILTER (rule_failed) AS k FROM f GR
 q AS (
   SELECT sum(k) / sum(n) AS mean, var_pop(k / n) AS v, avg(1.0::DOUBLE / n) AS inv FROM h),
 z AS (SELECT mean, least(greatest(mean * (1 - mean) / greatest(v - mean * (1 - mean) * inv, 1e-9) - 1, 1.0), 1e6) AS strength FROM q),
-ok AS (SELECT source, (k + mean * strength) / (n + strength) AS rate, mean FROM h, z)
+r AS (SELECT source, n, (k + mean * strength) / (n + strength) AS rate, mean, strength FROM h, z),
+ok AS (SELECT source, rate - 1.645::DOUBLE * sqrt(rate * (1 - rate) / (n + (strength + 1.0::DOUBLE))) AS least, mean FROM r)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       (NOT base_failed AND rate <= 0.5 AND NOT (rule_failed AND rate > mean)) AS kept
+       (NOT base_failed AND least <= 0.5 AND NOT (rule_failed AND least > mean)) AS kept
 FROM f JOIN ok ON f.source IS NOT DISTINCT FROM ok.source
 """
 
