@@ -9,7 +9,9 @@ The window table is broadcast only up to ``MAX_WINDOWS`` windows. A larger bench
 many, dealt out by the windows' hashes; one block at a time comes to the driver and is broadcast, searched in all
 documents and let go, and what it found (texts with a hit only) is written and joined by the hash of the text.
 
-Defined results: null or empty text has no words and no hits; windows found in several items count for each of them;
+Defined results: null or empty text has no words and no hits; windows found in several items count for each of them; items
+without an id hit as others do, count as one item together, and are left out of the list of ids; a document is contaminated
+if a word is hit, whatever the items are called;
 an empty benchmark hits nothing; repeated rows give repeated results; ``drop_contaminated`` keeps all columns of the
 documents whatever they are called, other columns of either table are not read.
 """
@@ -128,7 +130,7 @@ class WuManber:
         return first[sure], window[sure]
 
 
-Block = list[tuple[bytes, int, list[str]]]
+Block = list[tuple[bytes, int, list[str | None]]]
 
 
 def _free_name(taken: list[str]) -> str:
@@ -139,7 +141,7 @@ def _free_name(taken: list[str]) -> str:
 
 
 def _search_block(docs: DataFrame, windows: Broadcast[Block], keep: list[str], found: str = "found") -> DataFrame:
-    """The columns in ``keep`` and ``found``: n_words, hit_spans (maximal runs [first, end) of hit words), items."""
+    """The columns in ``keep`` and ``found``: n_words, hit_spans (maximal runs [first, end) of hit words), items, unnamed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = windows.value
@@ -152,14 +154,14 @@ def _search_block(docs: DataFrame, windows: Broadcast[Block], keep: list[str], f
                 words = Words(texts)
                 hashes = words.hashes()
                 edge = np.zeros(len(hashes) + 1, np.int64)
-                items: list[set[str]] = [set() for _ in texts]
+                items: list[set[str | None]] = [set() for _ in texts]
                 for wm in tables:
                     first, window = wm.search(words, hashes)
                     np.add.at(edge, first, 1)
                     np.add.at(edge, first + wm.n, -1)
                     owner = np.searchsorted(words.ptr, first, "right") - 1
                     for doc, w in {*zip(owner.tolist(), wm.ids[window].tolist())}:
-                        items[doc].update(table[w][2])
+                        items[doc].update(table[w][2])  # None: an item without an id
                 hit = np.cumsum(edge[:-1]) > 0
                 starts, ends = np.empty(0, np.int64), np.empty(0, np.int64)
                 if hit.any():
@@ -176,41 +178,52 @@ def _search_block(docs: DataFrame, windows: Broadcast[Block], keep: list[str], f
                 result = pa.StructArray.from_arrays(
                     [
                         pa.array(words.count(), pa.int64()), pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))),
-                        pa.array([sorted(i) for i in items], pa.list_(pa.string())),
+                        pa.array([sorted(i - {None}) for i in items], pa.list_(pa.string())), pa.array([None in i for i in items], pa.bool_()),
                     ],
-                    ["n_words", "hit_spans", "items"],
+                    ["n_words", "hit_spans", "items", "unnamed"],
                 )
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, hi - lo) for c in keep), result], [*keep, found])
 
     kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
-    schema = f"{kinds}`{found}` struct<n_words:long,hit_spans:array<struct<first:long,end:long>>,items:array<string>>"
+    schema = f"{kinds}`{found}` struct<n_words:long,hit_spans:array<struct<first:long,end:long>>,items:array<string>,unnamed:boolean>"
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
 
 
-def _merge_spans(spans):
-    """Union of sorted-or-not spans as maximal runs."""
-    ordered = F.array_sort(spans)
-    step = lambda done, s: F.when(
-        (F.size(done) > 0) & (F.element_at(done, -1)["end"] >= s["first"]),
-        F.concat(
-            F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))),
-            F.array(F.struct(F.element_at(done, -1)["first"].alias("first"), F.greatest(F.element_at(done, -1)["end"], s["end"]).alias("end"))),
-        ),
-    ).otherwise(F.concat(done, F.array(s)))
-    return F.aggregate(ordered, F.slice(ordered, 1, 0), step)
+def _merged(hits: DataFrame) -> DataFrame:
+    """``hits`` with hit_spans, in any order and overlapping, as maximal runs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = batch.column("hit_spans")
+            first, end = (spans.flatten().field(c).to_numpy() for c in ("first", "end"))
+            owner = np.repeat(np.arange(len(spans)), np.asarray(spans.value_lengths()))
+            order = np.lexsort((first, owner))
+            owner, first, end = owner[order], first[order], end[order]
+            # Spans of a later text lie beyond all of an earlier one's, so that one running maximum serves all texts.
+            wide = int(end.max(initial=0)) + 1
+            reach = np.maximum.accumulate(end + owner * wide) if len(end) else end
+            begins = np.flatnonzero(np.concatenate([[True], first[1:] + owner[1:] * wide > reach[:-1]]) if len(end) else np.empty(0, bool))
+            last = np.append(begins[1:], len(end)) - 1
+            ends = (reach[last] - owner[last] * wide) if len(end) else end
+            offsets = np.searchsorted(owner[begins], np.arange(len(spans) + 1))
+            runs = pa.StructArray.from_arrays([pa.array(first[begins], pa.int64()), pa.array(ends, pa.int64())], ["first", "end"])
+            at = batch.schema.names.index("hit_spans")
+            yield batch.set_column(at, "hit_spans", pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), runs))
+
+    return hits.mapInArrow(run, hits.schema)
 
 
 def _window_blocks(benchmark: DataFrame, window: int, max_windows: int) -> tuple[int, Iterator[Broadcast[Block]]]:
     """Number of blocks, and all windows with their items in blocks of about ``max_windows``; only one is held at a time."""
     windows = item_windows(benchmark, window)
-    by_window = windows.groupBy("window", "n").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    by_window = windows.groupBy("window", "n").agg(F.sort_array(F.collect_set("item_id")).alias("items"), F.bool_or(F.col("item_id").isNull()).alias("unnamed"))
     table = staged(by_window, "windows")
     blocks = max(1, -(-table.count() // max_windows))
 
     def each() -> Iterator[Broadcast[Block]]:
         for i in range(blocks):
             rows = table.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == i).toLocalIterator()
-            yield table.sparkSession.sparkContext.broadcast([(r["window"].encode(), r["n"], list(r["items"])) for r in rows])
+            yield table.sparkSession.sparkContext.broadcast([(r["window"].encode(), r["n"], [*r["items"], *[None] * r["unnamed"]]) for r in rows])
         discard(table)
 
     return blocks, each()
@@ -223,22 +236,22 @@ def _names() -> tuple[Column, Column]:
 
 
 def _hits_by_text(docs: DataFrame, blocks: Iterator[Broadcast[Block]]) -> DataFrame:
-    """h1, h2, hit_spans (of all blocks, unmerged), items: one row for each text with a hit; staged block by block."""
+    """h1, h2, hit_spans, items, unnamed: one row for each text with a hit word in any block; staged block by block."""
     named = docs.select(*_names(), "text")
     parts = []
     for block in blocks:
-        found = _search_block(named, block, ["h1", "h2"]).where(F.size("found.items") > 0)
-        parts.append(staged(found.dropDuplicates(["h1", "h2"]).select("h1", "h2", "found.hit_spans", "found.items"), "hits"))
+        found = _search_block(named, block, ["h1", "h2"]).where(F.size("found.hit_spans") > 0)
+        parts.append(staged(found.dropDuplicates(["h1", "h2"]).select("h1", "h2", "found.hit_spans", "found.items", "found.unnamed"), "hits"))
         block.destroy()
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
     items = F.array_sort(F.array_distinct(F.flatten(F.collect_list("items"))))
-    return every.groupBy("h1", "h2").agg(F.flatten(F.collect_list("hit_spans")).alias("hit_spans"), items.alias("items"))
+    return _merged(every.groupBy("h1", "h2").agg(F.flatten(F.collect_list("hit_spans")).alias("hit_spans"), items.alias("items"), F.bool_or("unnamed").alias("unnamed")))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
-    """One row per document: doc_id, n_words, hit_spans, items (ids of the benchmark items with occurring windows)."""
+    """One row per document: doc_id, n_words, hit_spans, items (ids of the benchmark items with occurring windows), unnamed (one without an id has)."""
     n, blocks = _window_blocks(benchmark, window, max_windows)
     if n == 1:
         (block,) = blocks
@@ -248,7 +261,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     rows = docs.select("doc_id", *_names(), n_words.cast("long").alias("n_words"))
     none = F.array().cast("array<struct<first:long,end:long>>")
     return rows.join(hits, ["h1", "h2"], "left").select(
-        "doc_id", "n_words", F.coalesce(_merge_spans(F.col("hit_spans")), none).alias("hit_spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
+        "doc_id", "n_words", F.coalesce("hit_spans", none).alias("hit_spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.coalesce("unnamed", F.lit(False)).alias("unnamed")
     )
 
 
@@ -258,7 +271,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     if n == 1:
         (block,) = blocks
         found = _free_name(docs.columns)
-        return _search_block(docs, block, docs.columns, found).where(F.size(F.col(f"{found}.items")) == 0).drop(found)
+        return _search_block(docs, block, docs.columns, found).where(F.size(F.col(f"{found}.hit_spans")) == 0).drop(found)
     h1, h2 = _names()
     hits = _hits_by_text(docs, blocks).select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"))
     return docs.join(hits, (h1 == F.col("__h1")) & (h2 == F.col("__h2")), "left_anti")
@@ -269,7 +282,7 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, window: int = WI
     found = find_contamination(docs, benchmark, window, max_windows)
     n_hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["first"])
     return found.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        "doc_id", "n_words", n_hit.alias("n_hit"), (F.size("items") + F.col("unnamed").cast("int")).cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
     )
 
