@@ -205,6 +205,17 @@ def test_license_scan_is_linear():
     assert licenses.Scanner().scan(b"x the gnu general public license mit license")[1:4] == (2, 3, 6)
 
 
+@pytest.mark.parametrize("unit", [b"SPDX-License-Identifier: ", b"SPDX-License-Identifier: MIT OR ", b"License-Expression: ((( "])
+def test_license_tags_are_scanned_in_linear_time(unit):
+    """5 MB of tags on one line."""
+    scanner = licenses.Scanner()
+    begun = time.process_time()
+    row = scanner.scan(unit * (5_000_000 // len(unit)))
+    assert time.process_time() - begun < 10 and row[5] == ("mit" if b"MIT" in unit else "")
+    short = scanner.scan(unit * 3)
+    assert short[5] == row[5] and len(short[6]) == (3 if b"MIT" in unit else 0)
+
+
 def jaccard_brute(rows):
     sets = []
     for r in rows:
@@ -337,18 +348,44 @@ def test_quality_judges_documents_by_their_host(spark):
     """A bad host loses all, a doubtful one what fails any rule, a good one what fails a base rule; small hosts follow the prior."""
     good = " ".join(f"word{i}" for i in range(60))
     loud = good + " ###" * 5
-    rows = [(i, good, "fine") for i in range(39)] + [(39, loud, "fine")]
+    rows = [(i, good, "fine") for i in range(39)] + [(39, loud, "fine")] + [(1000 + i, good, "fine") for i in range(100)]
     rows += [(100 + i, good if i < 5 else "short", "bad") for i in range(40)]
     rows += [(200 + i, good if i % 5 else loud, "half") for i in range(40)]
     rows += [(300 + i, good if i % 2 else "short", "doubtful") for i in range(40)] + [(350, loud, "doubtful")]
     rows += [(400, good, "tiny"), (401, "short", "tiny"), (402, loud, None), (403, good, None)]
     got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
     verdicts = {s: {got[i].host_verdict for i, _, x in rows if x == s} for s in ("fine", "bad", "half", "doubtful", "tiny")}
-    assert verdicts == {"fine": {"good"}, "bad": {"bad"}, "half": {"good"}, "doubtful": {"doubtful"}, "tiny": {"doubtful"}}
+    assert verdicts == {"fine": {"good"}, "bad": {"bad"}, "half": {"good"}, "doubtful": {"doubtful"}, "tiny": {"good"}}
     assert all(got[i].kept for i in range(40)) and not any(got[100 + i].kept for i in range(40)) and all(got[200 + i].kept for i in range(40))
     assert got[301].kept and not got[350].kept and not got[350].base_failed and got[400].kept and not got[401].kept
 
 
+def test_quality_verdict_follows_from_the_posterior(spark):
+    """Hosts of one raw rate and different size get different verdicts: the prior decides, not the raw rate."""
+    good = " ".join(f"word{i}" for i in range(60))
+    loud = good + " ###" * 5
+    rows = []
+    for host, n in (("large", 400), ("small", 10)):
+        rows += [(len(rows) + i, loud if i % 5 < 1 else good, host) for i in range(n)]
+    for h in range(12):
+        rows += [(10_000 + 100 * h + i, loud if i < h % 4 else good, f"h{h}") for i in range(60)]
+    got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got[0].host_verdict == "doubtful" and got[400].host_verdict == "good"
+    assert not got[0].kept and got[400].kept and not got[400].base_failed
+    n, k = {}, {}
+    for i, t, s in rows:
+        n[s], k[s] = n.get(s, 0) + 1, k.get(s, 0) + (t == loud)
+    mean = sum(k.values()) / sum(n.values())
+    rates = [k[s] / n[s] for s in n]
+    v = sum((x - sum(rates) / len(rates)) ** 2 for x in rates) / len(rates)
+    noise = mean * (1 - mean) * sum(1 / x for x in n.values()) / len(n)
+    strength = min(max(mean * (1 - mean) / max(v - noise, 1e-9) - 1, 1.0), 1e6)
+    for i, _, s in rows:
+        rate = (k[s] + mean * strength) / (n[s] + strength)
+        least = rate - 1.645 * math.sqrt(rate * (1 - rate) / (n[s] + strength + 1))
+        assert got[i].host_rate == pytest.approx(rate) and (got[i].host_verdict == "doubtful") == (least > mean)
+
+
 def test_line_dedup(spark, docs, empty):
     rows = linededup.drop_boilerplate(docs, max_ratio=0.2, min_pages=3).collect()
     by_host, seen = Counter(), Counter()
@@ -444,7 +481,7 @@ def leak_brute(rows, bench, n=10):
     for i, t in bench:
         w = words_of(t)
         for s in range(max(1, len(w) - n + 1)) if w else ():
-            windows[tuple(w[s : s + n])].add(str(i))
+            windows[tuple(w[s : s + n])].add(None if i is None else str(i))
     out = []
     for r in rows:
         w = words_of(r[1])
@@ -454,18 +491,23 @@ def leak_brute(rows, bench, n=10):
                 if tuple(w[s : s + size]) in windows:
                     hit.update(range(s, s + size))
                     items |= windows[tuple(w[s : s + size])]
-        out.append((r[0], len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), bool(hit)))
+        out.append((r[0], len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(items - {None})).encode()).hexdigest(), bool(hit)))
     return sorted(out)
 
 
-@pytest.mark.parametrize("most", [decontaminate.MAX_WINDOWS, 7])
+@pytest.mark.parametrize("most", [decontaminate.MAX_WINDOWS, 7, 1])
 def test_decontamination(spark, docs, empty, most):
     long = corpus()[7][1].split()
-    bench = [(1, " ".join(long[2000:2030])), (2, None), (3, ""), (4, "one, TWO"), (5, "Same line here"), (6, " ".join(long[2005:2016])), (7, "same LINE here"), (30, "zz"), (31, " ".join(long[29990:]))]
+    bench = [(1, " ".join(long[2000:2030])), (2, None), (3, ""), (4, "one, TWO"), (5, "Same line here"), (6, " ".join(long[2005:2016])), (7, "same LINE here"), (30, "zz"), (31, " ".join(long[29990:])), (None, "one two"), (None, " ".join(long[100:140])), (32, " ".join(long[120:133]))]
     table = spark.createDataFrame([(i, t, "x") for i, t in bench], "item_id long, text string, doc_id string")
     got = decontaminate.contamination_report(docs, table, max_windows=most).collect()
     assert sorted(tuple(r) for r in got) == leak_brute(corpus(), bench)
     assert sum(r.contaminated for r in got) > 5
+    unnamed = table.where("item_id IS NULL")
+    by_null = decontaminate.contamination_report(docs, unnamed, max_windows=most)
+    assert sorted(tuple(r) for r in by_null.collect()) == leak_brute(corpus(), bench[9:11])
+    kept = [r.doc_id for r in decontaminate.drop_contaminated(docs, unnamed, max_windows=most).collect()]
+    assert sorted(kept) == sorted(r[0] for r in leak_brute(corpus(), bench[9:11]) if not r[5]) and len(kept) < len(corpus())
     assert decontaminate.contamination_report(empty, table).count() == 0
     assert not any(r.contaminated for r in decontaminate.contamination_report(docs, table.where("item_id < 0")).collect())
 

@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bytetext import Words, mix, text_steps
@@ -445,13 +445,17 @@ def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: in
     Rows whose text has no word are not alike: each text of a doc_id stays once.
     """
     signed, named = _grouped(docs, threshold, size, recall)
-    rows = signed.select("doc_id", "h1", "h2", "n", "k1", "k2").join(named, ["k1", "k2"], "left")
-    key = [F.col("doc_id").isNull().alias("last"), "doc_id", "h1", "h2"]
-    firsts = rows.where("n > 0").groupBy("group").agg(F.min(F.struct(*key)).alias("m")).select("m.doc_id", "m.h1", "m.h2")
-    firsts = firsts.unionByName(rows.where("n = 0").select("doc_id", "h1", "h2").distinct())
-    first = firsts.select(F.col("doc_id").alias("__id"), F.col("h1").alias("__h1"), F.col("h2").alias("__h2"))
+    rows = signed.select("doc_id", "h1", "h2", "n", "k1", "k2").groupBy("doc_id", "h1", "h2", "n", "k1", "k2").agg(F.count(F.lit(1)).alias("copies"))
+    rows = rows.join(named, ["k1", "k2"], "left")
+    key = [F.col("doc_id").isNull().alias("last"), "doc_id", "h1", "h2", "copies"]
+    firsts = rows.where("n > 0").groupBy("group").agg(F.min(F.struct(*key)).alias("m")).select("m.doc_id", "m.h1", "m.h2", "m.copies")
+    firsts = firsts.unionByName(rows.where("n = 0").select("doc_id", "h1", "h2", "copies"))
+    first = staged(firsts.select(F.col("doc_id").alias("__id"), F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), "copies"), "firsts")
+    discard(signed, named)
     h1, h2 = text_names()
-    one = Window.partitionBy("doc_id", "__t1", "__t2").orderBy("__t1")
-    once = docs.withColumns({"__t1": h1, "__t2": h2}).withColumn("__row", F.row_number().over(one)).where("__row = 1")
+    keyed = docs.withColumns({"__t1": h1, "__t2": h2})
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__t1") == F.col("__h1")) & (F.col("__t2") == F.col("__h2"))
-    return once.join(first, same, "left_semi").select(*docs.columns)
+    # Only texts of repeated rows are dealt out again, one of each key a task.
+    alone = keyed.join(first.where("copies = 1"), same, "left_semi")
+    repeated = keyed.join(first.where("copies > 1"), same, "left_semi").dropDuplicates(["doc_id", "__t1", "__t2"])
+    return alone.unionByName(repeated).select(*docs.columns)
