@@ -6,10 +6,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import eda, features, ingest, model, monitor, pipeline, prep, reasons, windows
+from tidemark.operators import eda, features, ingest, model, monitor, month_arrays, pipeline, prep, reasons, windows
 from tidemark.sources import readers, sinks
-from tidemark.sources.tables import shared_path
-from tidemark.streaming import feeds
+from tidemark.sources.published import is_published, publish, published, vacuum
+from tidemark.sources.readers import copy_drops
+from tidemark.sources.tables import shared_path, staged
+from tidemark.streaming import drops, feeds
 
 D = datetime.date
 
@@ -53,15 +55,41 @@ def test_extremes_and_series(spark):
     df, _ = months(spark, 2)
     held = features.to_windows(features.agg_monthly(df.repartition(5)), F.col("report_month"), "2024-01-01", "2025-06-01", [3])
     wide = features.win_pivot_months(held, 3).orderBy(*features.WINDOW_KEY).collect()
-    arrays = features.month_series_arrays(held).orderBy(*features.WINDOW_KEY).collect()
+    arrays = features.month_series_arrays(features.agg_monthly(df), "2024-01-01", "2025-06-01", [3]).orderBy(*features.WINDOW_KEY).collect()
     for w, a in zip(wide, arrays, strict=True):
         assert a.item_months == [w.item_2m_ago, w.item_1m_ago, w.item_last]
     ties = spark.createDataFrame([(1, D(2024, m, 1), 5, None) for m in (1, 2, 3)], "cust_id long, report_month date, item_sum long, revenue_sum long")
     ties = ties.withColumns({"complaint_sum": F.lit(None).cast("long"), "order_score_avg": F.lit(0.1), "satisfaction_avg": F.lit(None).cast("double"), "month_key": 2400 + F.month("report_month")})
-    r = ties.withColumns({"window_size": F.lit(3), "window_end": F.lit(D(2024, 3, 1))}).groupBy(*features.WINDOW_KEY).agg(*features.extreme_months()).first()
+    sums = {c: F.lit(0.0) for c in (*month_arrays.LONG_SUMS, *month_arrays.DOUBLE_SUMS) if c not in ties.columns}
+    r = features.win_extreme_months(ties.withColumns(sums), "2024-01-01", "2024-03-01", [3]).first()
     assert r.item_max_month == r.item_min_month == 2403 and r.revenue_max_month is None and r.complaint_max_month == 2403
 
 
+def test_windows_of_arrays_equal_aggregated_copies(spark):
+    """Differences of running sums and slices against aggregations of the copied rows, nulls and large offsets included."""
+    df, _ = months(spark)
+    shifted = df.withColumns({"total_fee": F.col("total_fee") + 10**9, "item_count": F.when(F.col("item_count") > 2, F.col("item_count"))})
+    monthly = features.agg_monthly(shifted)
+    held = features.to_windows(monthly, F.col("report_month"), "2024-01-01", "2025-06-01", [1, 3, 12])
+    x = F.unix_date("report_month").cast("double") * 86400
+    wanted = {"month_count": F.count(F.lit(1)), "active_months": F.count_if(F.col("item_sum") > 0)}
+    for m, c in (("item", "item_sum"), ("revenue", "revenue_sum"), ("complaint", "complaint_sum")):
+        wanted |= {c: F.sum(c), f"{m}_avg": F.avg(c), f"{m}_std": F.stddev_pop(c), f"{m}_median": F.percentile(c, 0.5), f"{m}_max": F.max(c), f"{m}_min": F.min(c)}
+    wanted |= {"satisfaction_avg": F.avg("satisfaction_avg"), "satisfaction_std": F.stddev_pop("satisfaction_avg"), "order_score_std": F.stddev_pop("order_score_avg"), "weight_sum": F.sum("weight_sum")}
+    lines = {n: F.coalesce(F.regr_slope(F.col(c).cast("double"), x), F.lit(0.0)) for n, c in month_arrays.SLOPES.items()}
+    key = list(features.WINDOW_KEY)
+    want = held.groupBy(*key).agg(*[e.alias(n) for n, e in {**wanted, **lines}.items()])
+    args = (monthly, "2024-01-01", "2025-06-01", [1, 3, 12])
+    got = features.agg_window_base(*args).select(*key, *wanted).join(features.window_slopes(*args), key)
+    a, b = (sorted((r.asDict() for r in t.collect()), key=lambda r: tuple(map(str, (r[k] for k in key)))) for t in (got, want))
+    assert len(a) == len(b) > 100
+    for g, w in zip(a, b):
+        for n in w:
+            assert g[n] == w[n] if not isinstance(w[n], float) else g[n] == pytest.approx(w[n], rel=1e-6, abs=1e-9), (n, g, w)
+    one = features.agg_window_base(*args, [(3, D(2024, 5, 1))])
+    assert {(r.window_size, r.window_end) for r in one.collect()} == {(3, D(2024, 5, 1))}
+
+
 def test_label_sources_and_weights(spark):
     rows = [("a", True, 0.9, -1.0, 10.0, 1.0, 200), ("b", False, 0.9, -1.0, 10.0, 1.0, 200), ("c", False, 0.9, 1.0, 10.0, 1.0, 10), ("d", False, 0.1, -1.0, 10.0, 9.0, 200)]
     df = spark.createDataFrame(rows, "k string, is_confirmed boolean, sim double, delta_ewma double, item_avg double, item_last double, recency_days int")
@@ -143,15 +171,61 @@ def test_monthly_run_obeys_its_gate(spark, tmp_path):
     path = str(tmp_path / "risk")
     good = run(path=path)
     assert good["run"].first().accepted and good["scored"].count() == 60
-    assert spark.read.parquet(path).count() == good["risk"].count() == good["scored"].where("churn_flag = 1").count() > 0
+    assert published(spark, path).count() == good["risk"].count() == good["scored"].where("churn_flag = 1").count() > 0
     failed = run(min_f05=1.1, path=path)
     assert not failed["run"].first().passed and failed["scored"].count() == failed["risk"].count() == 0
-    assert spark.read.parquet(path).count() > 0
+    assert published(spark, path).count() > 0
     better = spark.createDataFrame([("2024-11-01", 2, 1.0, 0.9), ("2025-01-01", 2, 2.0, 0.9)], "as_of string, horizon int, f05 double, pr_auc double")
     rejected = run(better)
     assert rejected["run"].first().passed and not rejected["run"].first().accepted and rejected["scored"].count() == 0
 
 
+def test_monthly_runs_share_a_store(spark):
+    """The second run is refused and scores with the stored model; DuckDB recomputes gate, acceptance, cut and reasons from what is
+    stored. Known leavers take part (``confirmed=``), validation is out of time."""
+    import duckdb
+
+    rng = random.Random(7)
+    rows, months_of = [], []
+    for c in range(80):
+        stays = c % 3 > 0
+        for m in range(3, 13):
+            rows.append((c, 3, D(2024, m, 1), (6.0 if stays else 2.0) + rng.random() * 3, rng.random()))
+        if stays:
+            months_of += [(c, D(2024, m, 1), 3, 100) for m in range(1, 13)]
+    series = {f"{x}_months": F.array(*[F.lit(1.0)] * 3) for x in ("item", "revenue", "complaint", "delay", "nodone", "order_score", "satisfaction")}
+    others = [c for c in (*pipeline.FEATURES, "complaint_diversity") if c not in ("item_sum", "recency") and "ewma" not in c]
+    table = spark.createDataFrame(rows, "cust_id long, window_size int, window_end date, item_sum double, recency double").withColumns(series).withColumns({c: F.lit(1.0) for c in dict.fromkeys(others)})
+    past = spark.createDataFrame(months_of, "cust_id long, report_month date, item_count long, total_fee long")
+    known = spark.createDataFrame([(c,) for c in range(0, 80, 6)], "cust_id long")
+    path, risk = shared_path(spark, "store"), shared_path(spark, "risk")
+    settings = model.ModelConfig(max_depth=2, rounds=3, learning_rate=0.3, min_f05=0.3, min_pr_auc=0.3)
+    run = lambda t_obs: pipeline.monthly_run(
+        table.where(F.col("window_end") <= F.lit(t_obs).cast("date")), past.where(F.col("report_month") <= F.lit(t_obs).cast("date")),
+        pipeline.RunConfig(t_obs, "2024-01-01", model=settings, eval_months=2), confirmed=known, store_path=path, risk_path=risk,
+    )
+    first, second = run("2024-11-01"), run("2024-12-01")
+    a, b = first["run"].first(), second["run"].first()
+    assert a.accepted and b.passed and not b.accepted and b.prev_f05 == a.f05
+    assert second["scored"].count() == 80 and second["threshold"] == a.threshold
+    kept, threshold = pipeline.last_accepted(spark, path, "2024-12-01", 2)
+    now = pipeline._observed(pipeline.add_ewma(table), pipeline.RunConfig("2024-12-01", "2024-01-01"))
+    by_kept = {r.cust_id: r.p for r in model.score(kept, now, pipeline.FEATURES).select("cust_id", "p").collect()}
+    assert by_kept == {r.cust_id: r.p for r in second["scored"].select("cust_id", "p").collect()}
+    assert pipeline.last_accepted(spark, path, "2024-11-01", 2) is None and pipeline.last_accepted(spark, path, "2025-01-01", 3) is None
+    stored, scored = shared_path(spark, "runs"), shared_path(spark, "scored")
+    published(spark, f"{path}/runs").write.parquet(stored)
+    second["scored"].select("cust_id", "p", "churn_flag", "reason_1", "reason_2", "reason_3", "reactive_reasons", "proactive_reasons").write.parquet(scored)
+    db = duckdb.connect()
+    view = lambda p: f"read_parquet('{p.removeprefix('file://')}/*.parquet')"
+    assert db.sql(f"SELECT count(*), bool_and(passed = (f05 >= 0.3 AND pr_auc >= 0.3)), bool_and(accepted = (passed AND (best IS NULL OR f05 > best + 1e-6))) FROM (SELECT *, max(CASE WHEN passed THEN f05 END) OVER (ORDER BY as_of ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM {view(stored)})").fetchall()[0] == (2, True, True)
+    cut = f"greatest({threshold!r}::DOUBLE, (SELECT quantile_cont(p, 0.9) FROM {view(scored)}))"
+    assert db.sql(f"SELECT bool_and((churn_flag = 1) = (p >= {cut})) FROM {view(scored)}").fetchall()[0] == (True,)
+    codes = "string_split(concat_ws('|', nullif(reactive_reasons, ''), nullif(proactive_reasons, '')), '|')"
+    assert db.sql(f"SELECT bool_and(coalesce(reason_{{k}}, '') = coalesce({codes}[{{k}}], '')) FROM {view(scored)}".format(k=1)).fetchall()[0] == (True,)
+    assert published(spark, risk).count() == second["risk"].count() == sum(r.churn_flag for r in second["scored"].select("churn_flag").collect())
+
+
 def test_profiles(spark):
     values = [float(i) for i in range(100)] + [999.0]
     df = spark.createDataFrame([(v, 5.0, None) for v in values], "x double, c double, n double")
@@ -231,11 +305,80 @@ def test_stream_equals_batch_and_batches_repeat(spark):
     stream = feeds.daily_rollup(feeds.file_stream(spark, path, "event_id long, ts timestamp, user_id long, value double", per_trigger=1))
     feeds.run_once(stream, f"{path}-check", lambda b, i: out.update(rows=sorted(map(tuple, b.collect()))), mode="complete")
     assert out["rows"] == sorted(map(tuple, feeds.daily_rollup(events).collect()))
-    upsert = feeds.month_upserter(f"{path}-months", ["k"], ["seq"], "m")
-    batch = spark.createDataFrame([(1, 1, 1), (1, 2, 1), (2, 1, 2)], "k int, seq int, m int")
-    upsert(batch, 0)
-    upsert(batch, 0)
-    assert sorted((r.k, r.seq) for r in spark.read.parquet(f"{path}-months").collect()) == [(1, 2), (2, 1)]
+
+
+def file_of(spark, rows, path, schema="k long, v long, seq long"):
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(path)
+
+
+def test_drops_are_gathered_skipped_and_set_aside(spark):
+    """A month's parts in two micro-batches, an unchanged and a changed re-delivery, a file that can't be read; a batch repeats."""
+    path = shared_path(spark, "feed")
+    name, month = r"regexp_extract(path, '(m=[^/]+/p=[^/]+)/', 1)", r"regexp_extract(path, '/m=([^/]+)/', 1)"
+    make = lambda: drops.DropLoader(f"{path}/table", f"{path}/ledger", "k long, v long, seq long", name, month, ["k"], ["seq"])
+    take = lambda loader: feeds.run_once(drops.drop_stream(spark, f"{path}/in", 1, "part-*"), f"{path}/check", loader)
+    file_of(spark, [(1, 10, 0), (2, 20, 0)], f"{path}/in/a/m=1/p=1")
+    file_of(spark, [(3, 30, 0)], f"{path}/in/a/m=1/p=2")
+    spark.createDataFrame([("not parquet",)], "v string").coalesce(1).write.text(f"{path}/in/a/m=2/p=1")
+    file_of(spark, [(9, 90, 0)], f"{path}/in/a/m=3/p=1")
+    loader = make()
+    take(loader)
+    assert [c["total"] for c in loader.counters] == [1, 1, 1, 1]
+    rows = lambda: sorted((r.drop_month, r.k, r.v) for r in published(spark, f"{path}/table").collect())
+    assert rows() == [("1", 1, 10), ("1", 2, 20), ("1", 3, 30), ("3", 9, 90)]
+    copy_drops(spark, f"{path}/in/a", f"{path}/in/b", "m=3")
+    file_of(spark, [(3, 31, 1)], f"{path}/in/c/m=1/p=2")
+    again = make()
+    take(again)
+    assert rows() == [("1", 1, 10), ("1", 2, 20), ("1", 3, 31), ("3", 9, 90)]
+    got = {r.month: (r.total, r.success, r.skipped, r.failed) for r in drops.counters(drops.ledger_rows(spark, f"{path}/ledger")).collect()}
+    assert got == {"1": (3, 3, 0, 0), "2": (1, 0, 0, 1), "3": (2, 1, 1, 0)}
+    reasons = {(r.name, r.status): r.reason for r in drops.ledger_rows(spark, f"{path}/ledger").collect()}
+    assert reasons["m=3/p=1", "skipped"] == "unchanged" and "FAILED_READ_FILE" in reasons["m=2/p=1", "failed"]
+    last = max(r.batch for r in drops.ledger_rows(spark, f"{path}/ledger").collect())
+    files = drops.ledger_rows(spark, f"{path}/ledger").where(F.col("batch") == last).select("path", "md5")
+    again(staged(files, "batch"), last)  # a repeated batch decides as before
+    assert drops.ledger_rows(spark, f"{path}/ledger").count() == 6 and len(rows()) == 4
+
+
+def test_published_tables_change_at_once(spark):
+    path = shared_path(spark, "table")
+    one = spark.createDataFrame([(1, "a", 1), (2, "b", 1), (3, "c", 2)], "k long, v string, p int")
+    assert publish(one, path, ["p"]) == 1
+    rows = lambda: sorted(tuple(r) for r in published(spark, path).collect())
+    bad = spark.createDataFrame([(5, "x", 1), (6, "y", 3)], "k long, v string, p int").repartition(2, "k")
+    with pytest.raises(Exception, match="planned"):
+        publish(bad.withColumn("v", F.when(F.col("k") == 6, F.raise_error(F.lit("planned"))).otherwise(F.col("v"))), path, ["p"])
+    assert rows() == [(1, "a", 1), (2, "b", 1), (3, "c", 2)]
+    assert publish(spark.createDataFrame([(7, "z", 2), (8, "n", None)], "k long, v string, p int"), path, ["p"]) == 2
+    assert rows() == [(1, "a", 1), (2, "b", 1), (7, "z", 2), (8, "n", None)]
+    assert sorted(r.k for r in published(spark, path, 1).collect()) == [1, 2, 3]
+    vacuum(spark, path, 1)
+    assert len(rows()) == 4
+    keyed = shared_path(spark, "keyed")
+    sinks.upsert_published(one.select("k", "v"), keyed, ["k"])
+    assert sorted(map(tuple, sinks.upsert_published(spark.createDataFrame([(1, "new"), (4, "d")], "k long, v string"), keyed, ["k"]).collect())) == [(1, "new"), (2, "b"), (3, "c"), (4, "d")]
+    assert not is_published(spark, shared_path(spark, "nothing"))
+
+
+def test_windows_are_built_incrementally(spark):
+    """The second build writes new partitions alone, and all is what one build gives."""
+    extra = {c: F.lit(0) for c in ("weight_kg", "delay_day", "refunded", "noaccepted", "lost_order", "intra_province", "international", "lastday", *[f"ser_{s}" for s in features.SERVICES])}
+    rng = random.Random(8)
+    rows = [(c, D(2024, m, 1), rng.randrange(9), rng.randrange(500), rng.randrange(2), 0, 0, rng.random(), rng.random()) for c in range(12) for m in range(1, 13) if rng.random() < 0.6]
+    months = features.agg_monthly(spark.createDataFrame(rows, "cust_id long, report_month date, item_count long, total_fee long, total_complaint long, delay_count long, nodone long, order_score double, satisfaction_score double").withColumns(extra))
+    specs = features.window_grid(spark, "2024-01-01", "2024-12-01", [3, 6]).select("window_size", "window_end")
+    path, once = shared_path(spark, "windows"), shared_path(spark, "windows")
+    first = feeds.build_windows(months, specs.where("window_end <= DATE '2024-09-01'"), path)
+    old = {(r.window_size, r.window_end) for r in first.collect()}
+    second = {(r.window_size, r.window_end) for r in feeds.build_windows(months, specs, path).collect()}
+    assert len(old) == 11 and len(second) == 6 and not old & second
+    assert feeds.build_windows(months, specs, path).count() == 0
+    feeds.build_windows(months, specs, once)
+    whole = lambda p: sorted(map(str, published(spark, p).collect()))
+    assert whole(path) == whole(once) and len(whole(path)) > 50
+    versions = {(r.window_size, r.window_end): r.v for r in published(spark, path).select("window_size", "window_end", F.regexp_extract(F.input_file_name(), r"__v=(\d+)", 1).alias("v")).distinct().collect()}
+    assert {versions[w] for w in old if w in versions} == {"1"} and {versions[w] for w in second if w in versions} == {"2"}
 
 
 def test_ranks_over_ranges(spark):

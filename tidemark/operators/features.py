@@ -1,17 +1,19 @@
 """Customer features: the monthly level, the grid of sliding windows, lifetime rows, exponential trends.
 
-The whole grid of windows is one job: each monthly row is handed to the windows it belongs to by a generator (no join),
-and one aggregation per (customer, window) follows. The monthly level is aggregated once and shared.
+The whole grid of windows is one job. Measures of windows come from one row per customer with an array of running sums by
+month (``month_arrays``): a window is made of two entries and some slices, behind the last aggregation. ``to_windows`` hands
+single rows to the windows they belong to, for aggregations of another kind.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import first_label, safe_ratio, yymm
+from tidemark.operators import month_arrays as A
 
 #: Service letters in the order that breaks ties.
 SERVICES = ("c", "e", "m", "p", "r", "u", "l", "q")
@@ -73,71 +75,64 @@ def to_windows(df: DataFrame, month: Column, start: str, end: str, sizes: Sequen
     )
 
 
-def extreme_months() -> list[Column]:
-    """Month of the greatest and least value; ties go to the newest month; a null score ranks lowest."""
-    m, out = F.col("month_key"), []
-    for name, c, fill in (
-        ("item", "item_sum", None), ("revenue", "revenue_sum", None), ("complaint", "complaint_sum", -1),
-        ("order", "order_score_avg", -1.0), ("satisfaction", "satisfaction_avg", -1.0),
-    ):
-        v = F.col(c) if fill is None else F.coalesce(c, F.lit(fill))
-        known = F.when(v.isNotNull(), m)
-        newest = F.col("report_month")
-        # max_by / min_by skip rows whose ordering is null, so a month without a value never wins.
-        out += [
-            F.max_by(known, F.when(v.isNotNull(), F.struct(v.alias("v"), newest.alias("m")))).alias(f"{name}_max_month"),
-            F.min_by(known, F.when(v.isNotNull(), F.struct(v.alias("v"), (-F.unix_date(newest)).alias("m")))).alias(f"{name}_min_month"),
-        ]
-    return out
-
-
-def _slope(y: str, name: str) -> Column:
-    """Least-squares slope on epoch seconds; 0 where undefined. Seconds are counted from the window's end: the same slope, better conditioned."""
-    x = (F.unix_date("report_month") - F.unix_date("window_end")).cast("double") * 86400.0
-    return F.coalesce(F.regr_slope(F.col(y).cast("double"), x), F.lit(0.0)).alias(name)
-
-
-def _months(name: str) -> Column:
-    """Values by months ago: one entry per month of the window that has a row."""
-    ago = F.months_between("window_end", "report_month").cast("int")
-    return F.collect_list(F.struct(ago.alias("k"), F.col(_PIVOT_SOURCE.get(name, f"{name}_sum")).cast("double").alias("v"))).alias(f"__{name}")
+#: What a month's sum is called in a window's row, where the name differs.
+_SUM_NAMES = {"months_with_complaint": "months_with_complaint_ct", **{f"ser_{x}": f"ser_{x}_sum" for x in SERVICES}}
+
+
+def _slices(measures: Sequence[str]) -> list[Column]:
+    return [F.expr(A.in_window(f"values_{m}")).alias(f"s_{m}") for m in measures]
 
 
 def base_measures() -> list[Column]:
-    """Level 2: sums, means, population deviations, medians and extremes."""
-    s = lambda c, n, t="long": F.sum(c).cast(t).alias(n)
-    out = [F.count(F.lit(1)).alias("month_count")]
-    for m in ("item", "revenue", "complaint"):
-        c = f"{m}_sum"
-        out += [s(c, c), F.avg(c).alias(f"{m}_avg"), F.stddev_pop(c).alias(f"{m}_std"), F.percentile(c, 0.5).alias(f"{m}_median"), F.max(c).alias(f"{m}_max"), F.min(c).alias(f"{m}_min")]
-    out += [
-        s("months_with_complaint", "months_with_complaint_ct"), s("weight_sum", "weight_sum", "double"), F.avg("weight_sum").alias("weight_avg"),
-        F.stddev_pop("weight_sum").alias("weight_std"), s("delay_sum", "delay_sum", "double"), F.count_if(F.col("delay_sum") > 0).alias("delay_count_ct"),
-        *[s(c, c, "double") for c in ("delay_day_sum", "refund_sum", "noaccepted_sum", "lost_sum", "nodone_sum", "intra_prov_sum", "intl_sum")],
-        F.avg("order_score_avg").alias("order_score_avg"), F.stddev_pop("order_score_avg").alias("order_score_std"),
-        F.avg("satisfaction_avg").alias("satisfaction_avg"), F.stddev_pop("satisfaction_avg").alias("satisfaction_std"),
-        # A customer's month has one row, so the months with items need no set.
-        F.count_if(F.col("item_sum") > 0).alias("active_months"), F.avg("avg_lastday").alias("avg_lastday"),
-        *[s(f"ser_{x}", f"ser_{x}_sum") for x in SERVICES],
-    ]
-    return out
+    """Level 2: sums, means, population deviations, medians and extremes of a window."""
+    out = {"month_count": A.within("rows")}
+    for c in A.MEDIANS:
+        m, s = c.removesuffix("_sum"), f"s_{c}"
+        out |= {c: A.total(c, "long"), f"{m}_avg": A.mean(c), f"{m}_std": A.deviation(c, s), f"{m}_median": A.median(s, A.within(f"n_{c}")), f"{m}_max": f"array_max({s})", f"{m}_min": f"array_min({s})"}
+    out |= {"weight_sum": A.total("weight_sum", "double"), "weight_avg": A.mean("weight_sum"), "weight_std": A.deviation("weight_sum", "s_weight_sum")}
+    out |= {c: A.total(c, "double") for c in A.DOUBLE_SUMS if c.endswith("_sum") and c != "weight_sum"}
+    for c in ("order_score_avg", "satisfaction_avg"):
+        out |= {c: A.mean(c), c.replace("_avg", "_std"): A.deviation(c, f"s_{c}")}
+    out |= {n: A.total(c, "long") for c, n in _SUM_NAMES.items()}
+    # A customer's month has one row, so the months with items need no set.
+    out |= {"delay_count_ct": A.within("late"), "active_months": A.within("busy"), "avg_lastday": A.mean("avg_lastday")}
+    return [F.expr(e).alias(n) for n, e in out.items()]
+
+
+def agg_window_base(monthly: DataFrame, start: str, end: str, sizes: Sequence[int], only: Sequence[tuple] | None = None) -> DataFrame:
+    """The measures of level 2 per customer and window; with ``only``, of these windows (size, end) alone."""
+    held = A.windows_of(A.customer_months(monthly, start, end), start, end, sizes, only)
+    return held.select(*WINDOW_KEY, "h", "l", *_slices(A.SPREAD)).select(*WINDOW_KEY, *base_measures())
 
 
-def agg_window_base(in_windows: DataFrame) -> DataFrame:
-    """The measures of level 2 per customer and window."""
-    return in_windows.groupBy(*WINDOW_KEY).agg(*base_measures())
+def extreme_months() -> list[Column]:
+    """Month of the greatest and least value; ties go to the newest month; a null score ranks lowest, another null value nowhere."""
+    return [c for name in A.EXTREMES for c in A.extreme(name)]
 
 
-def win_extreme_months(in_windows: DataFrame) -> DataFrame:
-    return in_windows.groupBy(*WINDOW_KEY).agg(*extreme_months())
+def win_extreme_months(monthly: DataFrame, start: str, end: str, sizes: Sequence[int]) -> DataFrame:
+    held = A.windows_of(A.customer_months(monthly, start, end, extremes=True, base=False), start, end, sizes)
+    return held.select(*WINDOW_KEY, *extreme_months())
 
 
 def slopes() -> list[Column]:
-    return [_slope("item_sum", "item_slope"), _slope("revenue_sum", "revenue_slope"), _slope("satisfaction_avg", "satisfy_slope"), _slope("complaint_sum", "complaint_slope")]
+    """Least-squares slopes; 0 where undefined."""
+    return [F.expr(A.slope(c)).alias(name) for name, c in A.SLOPES.items()]
+
+
+def window_slopes(monthly: DataFrame, start: str, end: str, sizes: Sequence[int]) -> DataFrame:
+    held = A.windows_of(A.customer_months(monthly, start, end, slopes=True, base=False), start, end, sizes)
+    return held.select(*WINDOW_KEY, "h", "l", "__day").select(*WINDOW_KEY, *slopes())
+
 
+def _series_of(metrics: Sequence[str]) -> list[tuple[str, str]]:
+    return [(m, _PIVOT_SOURCE.get(m, f"{m}_sum")) for m in metrics]
 
-def window_slopes(in_windows: DataFrame) -> DataFrame:
-    return in_windows.groupBy(*WINDOW_KEY).agg(*slopes())
+
+def _series(metrics: Sequence[str]) -> list[Column]:
+    """Months of a window, oldest first."""
+    size = F.col("window_size")
+    return [F.slice(f"series_{m}", F.col("__e") - size + 2, size).alias(f"{m}_months") for m in metrics]
 
 
 def win_pivot_months(in_windows: DataFrame, size: int, metrics: Sequence[str] = PIVOTS) -> DataFrame:
@@ -151,38 +146,97 @@ def win_pivot_months(in_windows: DataFrame, size: int, metrics: Sequence[str] =
     return in_windows.where(F.col("window_size") == size).groupBy(*WINDOW_KEY).agg(*out)
 
 
-def month_series_arrays(in_windows: DataFrame, metrics: Sequence[str] = PIVOTS) -> DataFrame:
+def month_series_arrays(monthly: DataFrame, start: str, end: str, sizes: Sequence[int], metrics: Sequence[str] = PIVOTS) -> DataFrame:
     """For all sizes: one array per metric, oldest month first, missing months 0."""
-    return in_windows.groupBy(*WINDOW_KEY).agg(*map(_months, metrics)).select(*WINDOW_KEY, *map(_series, metrics))
-
-
-def _series(m: str) -> Column:
-    """Array of a metric from its collected (months ago, value) pairs."""
-    value = lambda k: F.coalesce(F.get(F.filter(f"__{m}", lambda x: x["k"] == k), F.lit(0))["v"], F.lit(0.0))
-    return F.transform(F.sequence(F.col("window_size") - 1, F.lit(0), F.lit(-1)), value).alias(f"{m}_months")
+    held = A.windows_of(A.customer_months(monthly, start, end, series=_series_of(metrics), base=False), start, end, sizes)
+    return held.select(*WINDOW_KEY, *_series(metrics))
+
+
+def _by_month(rows: DataFrame, date: str, start: str, end: str) -> DataFrame:
+    """Rows whose month lies in the range, with ``__i`` (its number) and ``__first`` (whether the date is the first of its month)."""
+    inside = F.trunc(date, "month").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    return rows.where(inside).withColumns({"__i": A.month_number(date, start), "__first": F.dayofmonth(date) == 1})
+
+
+def customer_complaints(complaints: DataFrame, start: str, end: str) -> DataFrame:
+    """cust_id, codes, first_codes: for each month of the range the complaint codes with their counts, of the whole month and of
+    its first day alone. Counted by customer, month and code before anything is gathered."""
+    span = A.month_number(F.lit(end).cast("date"), start) + 1
+    own = _by_month(complaints.where("complaint_code IS NOT NULL"), "create_date", start, end)
+    by = own.groupBy("cust_id", "__i", "complaint_code").agg(F.count(F.lit(1)).alias("n"), F.count_if("__first").alias("n1"))
+    code = lambda n: F.struct(F.col("complaint_code").alias("c"), F.col(n).alias("n"))
+    months = by.groupBy("cust_id", "__i").agg(F.collect_list(code("n")).alias("a"), F.collect_list(F.when(F.col("n1") > 0, code("n1"))).alias("b"))
+    after = F.lead("__i").over(Window.partitionBy("cust_id").orderBy("__i"))
+    lengths = months.withColumn("len", F.coalesce(after, span) - F.col("__i"))
+    packed = lengths.groupBy("cust_id").agg(F.sort_array(F.collect_list(F.struct("__i", "len", "a", "b"))).alias("r"))
+    first = F.get("r", F.lit(0))
+    filled = lambda c: F.flatten(F.transform("r", lambda x: F.concat(F.array(x[c]), F.array_repeat(F.slice(x[c], 1, 0), x["len"] - 1))))
+    return packed.select("cust_id", *[F.concat(F.array_repeat(F.slice(first[c], 1, 0), first["__i"]), filled(c)).alias(n) for c, n in (("a", "codes"), ("b", "first_codes"))])
+
+
+def _held_codes() -> Column:
+    """Codes with counts of a window, which ends on the first day of its last month."""
+    size, end = F.col("window_size"), F.col("__e")
+    return F.concat(F.flatten(F.slice("codes", end - size + 2, size - 1)), F.get("first_codes", end)).alias("__held")
+
+
+def _complaint_columns() -> list[Column]:
+    """complaint_diversity and most_common_complaint (least on ties) of a window's codes; both null without a complaint."""
+    kinds = F.array_distinct(F.transform("__held", lambda x: x["c"]))
+    of = lambda c: F.aggregate("__held", F.lit(0).cast("long"), lambda n, x: n + F.when(x["c"] == c, x["n"]).otherwise(F.lit(0).cast("long")))
+    common = F.array_min(F.transform(kinds, lambda c: F.struct((-of(c)).alias("n"), c.alias("c"))))["c"]
+    some = F.size("__held") > 0
+    return [F.when(some, F.size(kinds).cast("long")).alias("complaint_diversity"), F.when(some, common).alias("most_common_complaint")]
+
+
+def customer_days(items: DataFrame, start: str, end: str) -> DataFrame:
+    """cust_id, days: for each month of the range (n: sending days up to its end, f: whether its first day is one, last: the last one up to its end)."""
+    span = A.month_number(F.lit(end).cast("date"), start) + 1
+    dates = _by_month(items.select("cust_id", "send_date").distinct(), "send_date", start, end)
+    by = dates.groupBy("cust_id", "__i").agg(F.count(F.lit(1)).alias("n"), F.bool_or("__first").alias("f"), F.max("send_date").alias("last"))
+    w = Window.partitionBy("cust_id").orderBy("__i")
+    upto = by.select("cust_id", "__i", F.sum("n").over(w).alias("n"), "f", "last", (F.coalesce(F.lead("__i").over(w), span) - F.col("__i")).alias("len"))
+    packed = upto.groupBy("cust_id").agg(F.sort_array(F.collect_list(F.struct("__i", "len", "n", "f", "last"))).alias("r"))
+    first = F.get("r", F.lit(0))["__i"]
+    day = lambda x, f: F.struct(x["n"].alias("n"), f.alias("f"), x["last"].alias("last"))
+    filled = F.flatten(F.transform("r", lambda x: F.concat(F.array(day(x, x["f"])), F.array_repeat(day(x, F.lit(False)), x["len"] - 1))))
+    before = F.array_repeat(F.when(F.lit(False), F.get(filled, F.lit(0))), first)
+    return packed.select("cust_id", F.concat(before, filled).alias("days"))
+
+
+def _day_columns() -> list[Column]:
+    """active_days (0 without any), window_days and recency_days (null then) of a window, which ends on the first day of its last month."""
+    size, end = F.col("window_size"), F.col("__e")
+    upto = lambda k: F.coalesce(F.get("days", k)["n"], F.lit(0))
+    on_end = F.coalesce(F.get("days", end)["f"], F.lit(False))
+    before = F.when(end > 0, upto(end - 1)).otherwise(F.lit(0)) - F.when(end >= size, upto(end - size)).otherwise(F.lit(0))
+    n = (before + on_end.cast("int")).cast("int")
+    last = F.when(on_end, F.col("window_end")).otherwise(F.get("days", end - 1)["last"])
+    first = F.add_months("window_end", 1 - size)
+    return [n.alias("active_days"), F.when(n > 0, F.datediff("window_end", first) + 1).alias("window_days"), F.when(n > 0, F.datediff("window_end", last)).alias("recency_days")]
+
+
+def _all_windows(customers: DataFrame, start: str, end: str, sizes: Sequence[int]) -> DataFrame:
+    """A row for each customer and window inside [start, end]: window_size, window_end, __e, and the customer's columns."""
+    span = A.month_number(F.lit(end).cast("date"), start) + 1
+    size = F.col("window_size")
+    out = customers.withColumn("window_size", F.explode(F.array(*map(F.lit, sizes)))).where(size <= span).withColumn("__e", F.explode(F.sequence(size - 1, span - 1)))
+    return out.withColumn("window_end", F.add_months(F.trunc(F.lit(start).cast("date"), "month"), F.col("__e")))
 
 
-def complaint_stats(complaints: DataFrame, start: str, end: str, sizes: Sequence[int], dealt: bool = True) -> DataFrame:
+def complaint_stats(complaints: DataFrame, start: str, end: str, sizes: Sequence[int]) -> DataFrame:
     """Distinct codes and the most common code (least on ties) per window.
 
     A window ends on the first day of its last month here, as months are compared by date.
     """
-    held = to_windows(complaints, F.col("create_date"), start, end, sizes, dealt).where(F.col("create_date") <= F.col("window_end"))
-    return held.groupBy(*WINDOW_KEY).agg(
-        F.countDistinct("complaint_code").alias("complaint_diversity"), F.mode("complaint_code", True).alias("most_common_complaint")
-    )
+    held = _all_windows(customer_complaints(complaints, start, end), start, end, sizes)
+    return held.select(*WINDOW_KEY, _held_codes()).where(F.size("__held") > 0).select(*WINDOW_KEY, *_complaint_columns())
 
 
-def send_day_stats(items: DataFrame, start: str, end: str, sizes: Sequence[int], dealt: bool = True) -> DataFrame:
+def send_day_stats(items: DataFrame, start: str, end: str, sizes: Sequence[int]) -> DataFrame:
     """Active days, days in the window and days since the last sending; (customer, day) pairs are made distinct first."""
-    days = items.select("cust_id", "send_date").distinct()
-    held = to_windows(days, F.col("send_date"), start, end, sizes, dealt).where(F.col("send_date") <= F.col("window_end"))
-    first = F.add_months("window_end", 1 - F.col("window_size"))
-    return (
-        held.groupBy(*WINDOW_KEY)
-        .agg(F.count(F.lit(1)).cast("int").alias("active_days"), F.max("send_date").alias("__last"))
-        .select(*WINDOW_KEY, "active_days", (F.datediff("window_end", first) + 1).alias("window_days"), F.datediff("window_end", "__last").alias("recency_days"))
-    )
+    held = _all_windows(customer_days(items, start, end), start, end, sizes)
+    return held.select(*WINDOW_KEY, *_day_columns()).where("active_days > 0")
 
 
 def service_mix(prefix: str = "ser_", suffix: str = "_sum", none: str = "E", zero: str | None = None) -> list[Column]:
@@ -236,20 +290,19 @@ def rfm() -> list[Column]:
 def window_features(monthly: DataFrame, complaints: DataFrame, items: DataFrame, start: str, end: str, sizes: Sequence[int], with_months: bool = True) -> DataFrame:
     """The full row per customer and window, for all sizes in one job.
 
-    Everything that comes from the months is one aggregation; complaints and send days are aggregated by the same key, so
-    the two joins need no exchange of their own. (Dealt out by customer, all three would move once more to be joined.)
+    Months, complaints and sending days become one row per customer each, dealt out by customer; their joins need no exchange
+    of their own, and windows are made of the joined row.
     """
-    held = to_windows(monthly, F.col("report_month"), start, end, sizes, dealt=False)
-    lists = list(map(_months, PIVOTS)) if with_months else []
-    base = held.groupBy(*WINDOW_KEY).agg(*base_measures(), *extreme_months(), *slopes(), *lists)
-    base = base.join(complaint_stats(complaints, start, end, sizes, dealt=False), list(WINDOW_KEY), "left")
-    base = base.join(send_day_stats(items, start, end, sizes, dealt=False), list(WINDOW_KEY), "left")
-    drop = {"active_days", "window_days", "recency_days", "month_count", "months_with_complaint_ct", "delay_count_ct", "item_max", "item_min", "revenue_max", "revenue_min", "complaint_max", "complaint_min"}
-    plain = [c for c in base.columns if c not in drop and c != "complaint_diversity" and not c.startswith("__")]
-    series = list(map(_series, PIVOTS)) if with_months else []
-    return base.select(
-        *plain, *series, F.coalesce("complaint_diversity", F.lit(0)).alias("complaint_diversity"), *ratios(), *volatility(), *activity(), *service_mix(), *rfm()
-    )
+    metrics = PIVOTS if with_months else ()
+    own = A.customer_months(monthly, start, end, slopes=True, extremes=True, series=_series_of(metrics))
+    own = own.join(customer_complaints(complaints, start, end), "cust_id", "left").join(customer_days(items, start, end), "cust_id", "left")
+    held = A.windows_of(own, start, end, sizes)
+    parts = held.select(*WINDOW_KEY, "__day", "h", "l", *_slices(A.SPREAD), *extreme_months(), _held_codes(), *_day_columns(), *_series(metrics))
+    extras = [f"{m}_{x}_month" for m in A.EXTREMES for x in ("max", "min")]
+    made = parts.select(*WINDOW_KEY, *base_measures(), *extras, *slopes(), *_complaint_columns(), "active_days", "window_days", "recency_days", *[f"{m}_months" for m in metrics])
+    drop = {"active_days", "window_days", "recency_days", "month_count", "months_with_complaint_ct", "delay_count_ct", "item_max", "item_min", "revenue_max", "revenue_min", "complaint_max", "complaint_min", "complaint_diversity"}
+    plain = [c for c in made.columns if c not in drop]
+    return made.select(*plain, F.coalesce("complaint_diversity", F.lit(0)).alias("complaint_diversity"), *ratios(), *volatility(), *activity(), *service_mix(), *rfm())
 
 
 def ewma(months: Column, alpha: float) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalars as S
 from tidemark.operators import features as X
 from tidemark.plans import views as V
-from tidemark.plans.registry import query, rounded, sql_round
+from tidemark.plans.registry import query, rounded, rounded_positive, sql_round
 from tidemark.plans.views import DATA_START, T_OBS
 from tidemark.sources.tables import staged
 
@@ -113,7 +113,7 @@ _BASE_DOUBLES = (
     f"WITH {MONTHLY}, {grid_sql()}, base AS (SELECT cust_id, window_size, window_end, {_BASE_COLUMNS} FROM held GROUP BY 1, 2, 3) SELECT * REPLACE ({sql_round(*_BASE_DOUBLES)}) FROM base",
 )
 def agg_window_base(spark, sf_dir):
-    return rounded(X.agg_window_base(in_windows(spark, sf_dir)))
+    return rounded_positive(X.agg_window_base(monthly(spark, sf_dir), DATA_START, T_OBS, SIZES))
 
 
 @query(
@@ -174,7 +174,7 @@ _EXTREMES = """
 
 @query("win_extreme_months", f"WITH {MONTHLY}, {grid_sql()} {_EXTREMES}")
 def win_extreme_months(spark, sf_dir):
-    return X.win_extreme_months(in_windows(spark, sf_dir))
+    return X.win_extreme_months(monthly(spark, sf_dir), DATA_START, T_OBS, SIZES)
 
 
 def _pivot_sql(size: int) -> str:
@@ -201,7 +201,7 @@ _SLOPES = (("item_sum", "item_slope"), ("revenue_sum", "revenue_slope"), ("satis
 
 @query("agg_regr_slope", f"WITH {MONTHLY}, {grid_sql()} SELECT cust_id, window_size, window_end, {', '.join(_slope_sql(*s) for s in _SLOPES)} FROM held GROUP BY 1, 2, 3")
 def agg_regr_slope(spark, sf_dir):
-    got = X.window_slopes(in_windows(spark, sf_dir))
+    got = X.window_slopes(monthly(spark, sf_dir), DATA_START, T_OBS, SIZES)
     return got.withColumns({n: F.round(F.col(n) * 1e9, 3) + F.lit(0.0) for _, n in _SLOPES})
 
 
@@ -259,10 +259,10 @@ _BASE_CTE = f"base AS (SELECT cust_id, window_size, window_end, {_BASE_COLUMNS}
 def _on_base(name: str, columns, sql: str, extra: str = "", source: str = "base") -> None:
     @query(name, f"WITH {MONTHLY}, {grid_sql()}, {_BASE_CTE}{extra} SELECT cust_id, window_size, window_end, {sql} FROM {source}")
     def run(spark, sf_dir):
-        base = X.agg_window_base(in_windows(spark, sf_dir))
+        base = X.agg_window_base(monthly(spark, sf_dir), DATA_START, T_OBS, SIZES)
         if extra:
             base = base.join(X.send_day_stats(V.items(spark, sf_dir), DATA_START, T_OBS, SIZES), list(X.WINDOW_KEY), "left")
-        return rounded(base.select(*X.WINDOW_KEY, *columns()))
+        return rounded_positive(base.select(*X.WINDOW_KEY, *columns()))
 
 
 _on_base("service_mix", X.service_mix, _MIX)
@@ -291,7 +291,9 @@ FEATURES_CTE = f"{_ALL_PARTS}, features AS ({_FEATURES_SQL})"
 @query("window_features", f"WITH {FEATURES_CTE} SELECT * FROM features")
 def window_features(spark, sf_dir):
     got = features(spark, sf_dir, SIZES, with_months=False)
-    return rounded(got.withColumns({n: F.round(F.col(n) * 1e9, 3) + F.lit(0.0) for _, n in _SLOPES}))
+    slopes = [n for _, n in _SLOPES]
+    scaled = [(F.round(F.col(n) * 1e9, 3) + F.lit(0.0)).alias(n) for n in slopes]
+    return rounded_positive(got.withColumns({n: F.struct(c.alias("v")) for n, c in zip(slopes, scaled)})).withColumns({n: F.col(f"{n}.v") for n in slopes})
 
 
 @query("join_left_star", f"WITH {FEATURES_CTE} SELECT cust_id, window_size, window_end, item_sum, recency, complaint_diversity, item_max_month, item_slope FROM features WHERE window_size = 6")
@@ -313,7 +315,7 @@ def _trend(name: str, trends: dict[str, str]) -> None:
 
     @query(name, f"WITH {MONTHLY}, {grid_sql((6,))} SELECT cust_id, window_size, window_end, {sql} FROM held GROUP BY 1, 2, 3")
     def run(spark, sf_dir):
-        series = X.month_series_arrays(in_windows(spark, sf_dir, (6,)), list(trends.values()))
+        series = X.month_series_arrays(monthly(spark, sf_dir), DATA_START, T_OBS, (6,), list(dict.fromkeys(trends.values())))
         got = series
         for n, source in trends.items():
             got = got.withColumn("__e", X.ewma(F.col(f"{source}_months"), 0.3)).withColumns({f"ewma_{n}": F.col("__e.ewma"), f"delta_ewma_{n}": F.col("__e.delta")}).drop("__e")

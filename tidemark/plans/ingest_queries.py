@@ -12,6 +12,7 @@ from tidemark.plans.registry import query, rounded
 from tidemark.plans.views import DATA_START, T_OBS
 from tidemark.sources import readers as R
 from tidemark.sources import sinks as K
+from tidemark.sources.published import published
 from tidemark.sources.tables import shared_path, staged
 
 
@@ -150,10 +151,22 @@ def win_latest_status(spark, sf_dir):
 
 @_plain(
     "content_idempotency",
-    f"WITH {_LAST} SELECT f.zip_name, f.md5_hash, CASE WHEN l.status = 'success' AND l.md5_hash = f.md5_hash THEN 'skip' ELSE 'process' END AS action, CASE WHEN l.status IS NULL THEN 'new' WHEN l.status = 'success' AND l.md5_hash = f.md5_hash THEN 'unchanged' WHEN l.md5_hash <> f.md5_hash THEN 'changed' ELSE 'retry' END AS reason FROM files f LEFT JOIN last l USING (zip_name)",
+    "SELECT o_orderpriority AS drop_name, CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'skip' ELSE 'process' END AS action, "
+    "CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'unchanged' WHEN '2' THEN 'changed' WHEN '3' THEN 'retry' WHEN '4' THEN 'changed' ELSE 'new' END AS reason FROM orders GROUP BY o_orderpriority",
 )
 def content_idempotency(spark, sf_dir):
-    return I.plan_files(*_files(spark, sf_dir))
+    """Orders come as a file for each priority. Of the second delivery 1 and 3 have the same bytes as in the first, 2 and 4
+    have others, 5 is new; the first load of 3 failed. Hashes are of the bytes on disk."""
+    path = shared_path(spark, "delivery")
+    o = V.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.col("o_orderpriority").alias("drop"))
+    digit = F.substring("drop", 1, 1)
+    R.write_drops(o.where(digit != "5"), f"{path}/first", ["drop"])
+    R.write_drops(o.where(~digit.isin("1", "3")).withColumn("o_totalprice", F.col("o_totalprice") + 1), f"{path}/second", ["drop"])
+    R.copy_drops(spark, f"{path}/first", f"{path}/second", "drop=[13]*")
+    name = F.regexp_extract("path", r"/drop=([^/]+)/", 1)
+    log = R.file_hashes(spark, f"{path}/first").select(name.alias("zip_name"), F.when(name.startswith("3"), "failed").otherwise("success").alias("status"), F.current_date().alias("finished_at"), F.col("md5").alias("md5_hash"))
+    files = R.file_hashes(spark, f"{path}/second").select(name.alias("zip_name"), F.col("md5").alias("md5_hash"))
+    return I.plan_files(files, log).select(F.col("zip_name").alias("drop_name"), "action", "reason")
 
 
 _DROPS = "SELECT concat(o_orderpriority, '_', {ym}, '.zip') AS zip_name, o_orderpriority AS base, CASE WHEN o_orderpriority = '5-LOW' THEN 'snapshot' ELSE 'monthly' END AS mode, {ym} AS period, max(CASE WHEN o_orderkey % 400 = 0 THEN 1 ELSE 0 END) AS ok FROM {t} GROUP BY 1, 2, 3, 4"
@@ -300,7 +313,7 @@ def sink_full_reload(spark, sf_dir):
     months = V.cust_month(spark, sf_dir).select("cust_id", "report_month", "item_count", F.year("report_month").alias("y"))
     K.full_reload(months, path, ["y"])
     K.full_reload(months.where("y = 2000").withColumn("item_count", F.col("item_count") * 2), path, ["y"])
-    return spark.read.parquet(path)
+    return published(spark, path)
 
 
 _OLD, _NEW = "SELECT o_custkey AS k, max(o_orderkey) AS v, count(*) AS n FROM {t} WHERE o_orderkey % 3 = 0 GROUP BY 1", "SELECT o_custkey AS k, max(o_orderkey) AS v, count(*) AS n FROM {t} WHERE o_orderkey % 3 = 1 GROUP BY 1"
@@ -313,7 +326,11 @@ def _old_new(spark, sf_dir):
 
 @_plain("sink_upsert", f"WITH a AS ({_OLD.format(t='orders')}), b AS ({_NEW.format(t='orders')}) SELECT * FROM b UNION ALL SELECT * FROM a WHERE k NOT IN (SELECT k FROM b)")
 def sink_upsert(spark, sf_dir):
-    return K.upsert(*_old_new(spark, sf_dir), ["k"])
+    """Two loads into one published table."""
+    path = shared_path(spark, "upsert")
+    old, new = _old_new(spark, sf_dir)
+    K.upsert_published(old, path, ["k"])
+    return K.upsert_published(new, path, ["k"])
 
 
 @_plain("sink_partial_upsert", f"WITH a AS ({_OLD.format(t='orders')}), b AS ({_NEW.format(t='orders')}) SELECT k, coalesce(b.v, a.v) AS v, coalesce(a.n, b.n) AS n FROM a FULL JOIN b USING (k)")

@@ -23,8 +23,12 @@ from tidemark.plans.registry import query, rounded, sql_round
 from tidemark.plans.views import DATA_START, T_OBS
 from tidemark.sources import readers as R
 from tidemark.sources import sinks as K
+from tidemark.sources.published import published
 from tidemark.sources.tables import shared_path, staged
 
+#: Month of observation of the monthly run before the last one.
+EARLIER_OBS = "2001-06-01"
+
 # A rule-based score per customer; the same text in both engines but for the difference of days.
 _SCORED = """
 SELECT cust_id, recency_days, round(recency_days / (recency_days + 120.0), 6) AS p, CASE WHEN cust_id * 7919 % 100 < floor(100.0 * recency_days / (recency_days + 120.0)) THEN 1 ELSE 0 END AS y,
@@ -367,7 +371,7 @@ def view_risk_levels(spark, sf_dir):
 def sink_risk_list(spark, sf_dir):
     path = shared_path(spark, "risk")
     K.full_reload(K.risk_list(scored(spark, sf_dir), 0.5, 3, 2), path)
-    return spark.read.parquet(path).select("cust_id", "p", "threshold", "window_size", "horizon")
+    return published(spark, path).select("cust_id", "p", "threshold", "window_size", "horizon")
 
 
 @query("sink_csv_export", f"WITH {SCORED} SELECT CAST(cust_id AS VARCHAR) AS cust_id, round(churn_rate, 2) AS churn_rate, round(revenue_last / 1e6, 2) AS revenue_last_m, reason_1 FROM risk WHERE churn_rate >= 75")
@@ -798,7 +802,7 @@ def argmax_w(spark, sf_dir):
 
 @query("win_baseline_mean", f"WITH {MONTHLY}, {grid_sql((6,))} SELECT cust_id, window_end, round(sum(CASE WHEN k BETWEEN 1 AND 3 THEN item_sum ELSE 0 END) / 3.0, 6) AS item_prev, 3 AS n_prev FROM (SELECT *, date_diff('month', report_month, window_end) AS k FROM held) GROUP BY 1, 2")
 def win_baseline_mean(spark, sf_dir):
-    series = X.month_series_arrays(in_windows(spark, sf_dir, (6,)), ["item"])
+    series = X.month_series_arrays(monthly(spark, sf_dir), DATA_START, T_OBS, (6,), ["item"])
     mean, n = W.baseline_mean(F.col("item_months"), 1, 3)
     return rounded(series.select("cust_id", "window_end", mean.alias("item_prev"), n.alias("n_prev")))
 
@@ -881,10 +885,24 @@ def window_search(spark, sf_dir):
     return table.join(F.broadcast(M.argmax_window(table)), F.lit(True))  # one row
 
 
+def monthly_runs(spark, sf_dir, path: str | None = None) -> tuple[str, list[dict]]:
+    """Two monthly runs with one store: the month before the last, and the last one. Returns the store and both results."""
+    path = path or shared_path(spark, "monthly")
+    table, months, known = staged(X.add_ewma(feature_rows(spark, sf_dir, (3,))), "run-windows"), staged(V.cust_month(spark, sf_dir), "run-months"), _confirmed_set(spark, sf_dir)
+    gates = M.ModelConfig(max_depth=4, rounds=10, learning_rate=0.1, min_f05=0.10, min_pr_auc=0.05)
+    runs = []
+    for t_obs in (EARLIER_OBS, T_OBS):
+        config = L.RunConfig(t_obs, DATA_START, model=gates, eval_months=3)
+        upto = F.lit(t_obs).cast("date")
+        runs.append(L.monthly_run(table.where(F.col("window_end") <= upto), months.where(F.col("report_month") <= upto), config, confirmed=known, store_path=path))
+    return path, runs
+
+
 @query("monthly_pipeline")
 def monthly_pipeline(spark, sf_dir):
-    run = L.monthly_run(feature_rows(spark, sf_dir, (3,)), V.cust_month(spark, sf_dir), L.RunConfig(T_OBS, DATA_START, model=_SMALL), confirmed=_confirmed_set(spark, sf_dir))
-    return run["scored"].select("cust_id", "p", "churn_flag", "churn_type", "reason_1", "reason_2", "reason_3")
+    """Customers scored by the last accepted model of the store, with reasons, in the second of two monthly runs."""
+    _, runs = monthly_runs(spark, sf_dir)
+    return runs[-1]["scored"].select("cust_id", "p", "churn_flag", "churn_type", "reason_1", "reason_2", "reason_3")
 
 
 @query("flagship_revenue_drop", f"WITH {MONTHLY}, {grid_sql((3, 6))}, w AS (SELECT cust_id, window_size, avg(revenue_sum) AS r FROM held WHERE window_end = DATE '{T_OBS}' GROUP BY 1, 2) SELECT a.cust_id, round(b.r - a.r, 6) AS revenue_drop FROM w a JOIN w b ON a.cust_id = b.cust_id AND a.window_size = 3 AND b.window_size = 6")

@@ -42,5 +42,12 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.round(c, places(c)) + F.lit(0.0) for c, t in df.dtypes if t == "double"})
 
 
+def rounded_positive(df: DataFrame) -> DataFrame:
+    """``rounded`` for tables whose doubles aren't negative, in doubles: ``round`` makes a decimal of every value."""
+    from pyspark.sql import functions as F
+
+    return df.withColumns({c: F.expr(f"floor(`{c}` * 1e{places(c)} + 0.5D) / 1e{places(c)}") for c, t in df.dtypes if t == "double"})
+
+
 def sql_round(*columns: str) -> str:
     return ", ".join(f"round({c}, {places(c)}) + 0.0::DOUBLE AS {c}" for c in columns)

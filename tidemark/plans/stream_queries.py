@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.features import window_grid
 from tidemark.plans import views as V
-from tidemark.plans.feature_queries import MONTHLY, SIZES, grid_sql, in_windows
+from tidemark.plans.feature_queries import MONTHLY, grid_sql, monthly
 from tidemark.plans.registry import query
 from tidemark.plans.views import DATA_START, T_OBS
-from tidemark.sources.tables import shared_path, staged
-from tidemark.streaming import feeds
+from tidemark.sources.published import published
+from tidemark.sources.readers import copy_drops, write_drops
+from tidemark.sources.tables import discard, shared_path, staged
+from tidemark.streaming import drops, feeds
 
 _EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 _ROLLUP = "SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n, CAST(sum(CAST(round(value * 1000) AS BIGINT)) AS BIGINT) AS total_milli FROM events GROUP BY 1, 2"
@@ -29,53 +31,89 @@ def stream_monthly_rollup(spark, sf_dir):
     return spark.read.parquet(f"{path}/out")
 
 
-def _drops(spark, sf_dir) -> str:
-    """Months of customers as three drops; the last one delivers the year 2000 again."""
-    path = shared_path(spark, "drops")
-    m = V.cust_month(spark, sf_dir).select("cust_id", "report_month", "item_count", F.year("report_month").alias("y"))
-    for i, part in enumerate((m.where("y < 1998"), m.where("y >= 1998"), m.where("y = 2000").withColumn("item_count", F.col("item_count") + 100))):
-        part.withColumn("seq", F.lit(i)).write.parquet(f"{path}/drop_{i}")
-    return path
+_PART = "cust_id bigint, report_month date, item_count bigint, seq int"
+_NAME, _MONTH = r"regexp_extract(path, '(y=[^/]+/part=[^/]+)/', 1)", r"regexp_extract(path, '/y=([^/]+)/', 1)"
 
 
-_DROP = "cust_id bigint, report_month date, item_count bigint, y int, seq int"
+def _delivered(spark, sf_dir):
+    """Customers' months as a feed of drops, two parts a year. Later deliveries bring 1998 again with the same bytes and 2000
+    with other figures. Returns the loader that took them in."""
+    path, out = shared_path(spark, "drops"), shared_path(spark, "months")
+    m = staged(V.cust_month(spark, sf_dir).select("cust_id", "report_month", "item_count", F.year("report_month").alias("y"), (F.col("cust_id") % 2).alias("part")), "parts")
+    write_drops(m.withColumn("seq", F.lit(0)), f"{path}/1", ["y", "part"])
+    loader = drops.DropLoader(f"{out}/table", f"{out}/ledger", _PART, _NAME, _MONTH, ["cust_id", "report_month"], ["seq"])
+    feeds.run_once(drops.drop_stream(spark, path, 5), f"{out}/check", loader)
+    copy_drops(spark, f"{path}/1", f"{path}/2", "y=1998")
+    write_drops(m.where("y = 2000").withColumns({"item_count": F.col("item_count") + 100, "seq": F.lit(1)}), f"{path}/3", ["y", "part"])
+    feeds.run_once(drops.drop_stream(spark, path, 5), f"{out}/check", loader)
+    discard(m)
+    return loader
 
 
 @query("stream_upsert_months", "SELECT cust_id, report_month, CASE WHEN year(report_month) = 2000 THEN item_count + 100 ELSE item_count END AS item_count FROM cust_month")
 def stream_upsert_months(spark, sf_dir):
-    path, out = _drops(spark, sf_dir), shared_path(spark, "months")
-    stream = feeds.file_stream(spark, f"{path}/*", _DROP)
-    feeds.run_once(stream, f"{out}/check", feeds.month_upserter(f"{out}/table", ["cust_id", "report_month"], ["seq"], "y"))
-    return spark.read.parquet(f"{out}/table").select("cust_id", "report_month", "item_count")
+    """A year's two parts may come in two micro-batches; the year has both."""
+    return published(spark, _delivered(spark, sf_dir).target).select("cust_id", "report_month", "item_count")
 
 
-@query("stream_file_ingest", "SELECT CAST(year(report_month) AS INT) AS y, CAST(count(*) + CASE WHEN year(report_month) = 2000 THEN count(*) ELSE 0 END AS BIGINT) AS n FROM cust_month GROUP BY year(report_month)")
-def stream_file_ingest(spark, sf_dir):
-    path, out = _drops(spark, sf_dir), shared_path(spark, "ingest")
-    feeds.run_once(feeds.file_stream(spark, f"{path}/*", _DROP), f"{out}/check", path=f"{out}/table")
-    return spark.read.schema(_DROP).parquet(f"{out}/table").groupBy("y").agg(F.count(F.lit(1)).alias("n"))
+_PARTS = "SELECT CAST(year(report_month) AS INT) AS y, count(DISTINCT cust_id % 2) AS k, count(*) AS n FROM cust_month GROUP BY 1"
 
 
-@query("stream_rejects", "SELECT event_type, count(*) AS good, CAST(0 AS BIGINT) AS bad FROM events WHERE value >= 1 GROUP BY 1 UNION ALL SELECT event_type, CAST(0 AS BIGINT), count(*) FROM events WHERE value < 1 OR value IS NULL GROUP BY 1", views=False)
+@query("stream_file_ingest", f"SELECT CAST(y AS VARCHAR) AS month, k * CASE WHEN y IN (1998, 2000) THEN 2 ELSE 1 END AS total, k * CASE WHEN y = 2000 THEN 2 ELSE 1 END AS success, k * CASE WHEN y = 1998 THEN 1 ELSE 0 END AS skipped, CAST(0 AS BIGINT) AS failed, n FROM ({_PARTS})")
+def stream_file_ingest(spark, sf_dir):
+    """Files taken in, skipped and failed, and rows loaded, by year."""
+    loader = _delivered(spark, sf_dir)
+    rows = published(spark, loader.target).groupBy(F.col("drop_month").alias("month")).agg(F.count(F.lit(1)).alias("n"))
+    return drops.counters(drops.ledger_rows(spark, loader.ledger)).join(rows, "month")
+
+
+@query(
+    "stream_rejects",
+    "SELECT CAST(event_id % 3 AS VARCHAR) AS k, CASE WHEN event_id % 3 = 1 THEN 'failed' ELSE 'success' END AS status, CAST(sum(CASE WHEN event_id % 3 <> 1 AND value >= 1 THEN 1 ELSE 0 END) AS BIGINT) AS good, "
+    "CAST(sum(CASE WHEN event_id % 3 <> 1 AND (value < 1 OR value IS NULL) THEN 1 ELSE 0 END) AS BIGINT) AS bad FROM events GROUP BY 1, 2",
+    views=False,
+)
 def stream_rejects(spark, sf_dir):
-    path = shared_path(spark, "rejects")
-    feeds.run_once(feeds.file_stream(spark, f"{sf_dir}/events.parque[t]", _EVENTS), f"{path}/check", feeds.rejecting(f"{path}/good", f"{path}/bad", "value >= 1"))
-    zero = F.lit(0).cast("long")
-    good = spark.read.schema(_EVENTS).parquet(f"{path}/good").groupBy("event_type").agg(F.count(F.lit(1)).alias("good")).withColumn("bad", zero)
-    bad = spark.read.schema(_EVENTS).parquet(f"{path}/bad").groupBy("event_type").agg(F.count(F.lit(1)).alias("bad")).withColumn("good", zero)
-    return good.unionByName(bad)
+    """Events come in three drops, of which one isn't what its name says: it is set aside, and the others are loaded. Of their
+    rows those that break a rule are set aside too."""
+    path, out = shared_path(spark, "rejects"), shared_path(spark, "loaded")
+    events = spark.read.schema(_EVENTS).parquet(f"{sf_dir}/events.parquet").select("event_id", "event_type", "value", (F.col("event_id") % 3).alias("k"))
+    write_drops(events.where("k <> 1"), f"{path}/a", ["k"])
+    events.where("k = 1").select(F.to_json(F.struct("event_id", "event_type", "value")).alias("text")).coalesce(1).write.text(f"{path}/b/k=1")
+    month = r"regexp_extract(path, '/k=([^/]+)/', 1)"
+    loader = drops.DropLoader(f"{out}/table", f"{out}/ledger", "event_id bigint, event_type string, value double", month, month, ["event_id"], ["event_id"])
+    feeds.run_once(drops.drop_stream(spark, path, pattern="part-*"), f"{out}/check", loader)
+    ok = F.coalesce(F.col("value") >= 1, F.lit(False))
+    rows = published(spark, loader.target).groupBy("drop_month").agg(F.count_if(ok).alias("good"), F.count_if(~ok).alias("bad"))
+    ledger = drops.ledger_rows(spark, loader.ledger).select(F.col("month").alias("k"), "status")
+    return ledger.join(rows.withColumnRenamed("drop_month", "k"), "k", "left").na.fill(0, ["good", "bad"])
+
+
+_SMALL_GRID = (3, 6)
+_BUILT = f"WITH {MONTHLY}, {grid_sql(_SMALL_GRID)} SELECT cust_id, window_size, window_end, count(*) AS month_count, CAST(sum(item_sum) AS BIGINT) AS item_sum, CAST(sum(revenue_sum) AS BIGINT) AS revenue_sum, max(item_sum) AS item_max FROM held GROUP BY 1, 2, 3"
 
 
-_SPECS = f"WITH {MONTHLY}, {grid_sql()}, have AS (SELECT DISTINCT window_size, window_end FROM held WHERE window_end < DATE '2001-01-01')"
+def _built(spark, path):
+    return published(spark, path).select("cust_id", "window_size", "window_end", "month_count", "item_sum", "revenue_sum", "item_max")
 
 
-@query("stream_incremental_windows", _SPECS + " SELECT window_size, window_end FROM grid WHERE NOT EXISTS (SELECT 1 FROM have h WHERE h.window_size = grid.window_size AND h.window_end = grid.window_end)")
+@query("stream_incremental_windows", _BUILT)
 def stream_incremental_windows(spark, sf_dir):
-    built = staged(in_windows(spark, sf_dir).where("window_end < DATE '2001-01-01'").select("window_size", "window_end").distinct(), "built")
-    return feeds.missing_windows(window_grid(spark, DATA_START, T_OBS, SIZES).select("window_size", "window_end"), built)
+    """Windows up to the year 2000 are built first, then those that are missing: together they are those of one run."""
+    path, months = shared_path(spark, "windows"), staged(monthly(spark, sf_dir), "monthly")
+    specs = window_grid(spark, DATA_START, T_OBS, _SMALL_GRID).select("window_size", "window_end")
+    feeds.build_windows(months, specs.where("window_end < DATE '2001-01-01'"), path)
+    feeds.build_windows(months, specs, path)
+    discard(months)
+    return _built(spark, path)
 
 
-@query("recompute_empty_windows", _SPECS + ", r AS (SELECT *, row_number() OVER (PARTITION BY window_size ORDER BY window_end DESC) AS r FROM grid) SELECT window_size, window_end FROM r WHERE r <= 8 OR NOT EXISTS (SELECT 1 FROM have h WHERE h.window_size = r.window_size AND h.window_end = r.window_end)")
+@query("recompute_empty_windows", _BUILT)
 def recompute_empty_windows(spark, sf_dir):
-    built = staged(in_windows(spark, sf_dir).where("window_end < DATE '2001-01-01'").select("window_size", "window_end").distinct(), "built")
-    return feeds.empty_windows(window_grid(spark, DATA_START, T_OBS, SIZES).select("window_size", "window_end"), built, 8)
+    """All windows are built when the months from 2001 on haven't come, and the newest eight of each size again when they have."""
+    path, months = shared_path(spark, "windows"), staged(monthly(spark, sf_dir), "monthly")
+    specs = window_grid(spark, DATA_START, T_OBS, _SMALL_GRID).select("window_size", "window_end")
+    feeds.build_windows(months.where("report_month < DATE '2001-01-01'"), specs, path)
+    feeds.build_windows(months, specs, path, again=8)
+    discard(months)
+    return _built(spark, path)

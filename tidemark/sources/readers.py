@@ -113,3 +113,23 @@ def load_snapshots(features: DataFrame, size: int, n: int) -> DataFrame:
 def detect_t_obs(df: DataFrame, month: str, override: str | None = None, today: str | None = None) -> DataFrame:
     """One row: t_obs, the override or else the latest month or else today."""
     return df.agg(F.coalesce(F.lit(override).cast("date"), F.trunc(F.max(month), "month"), F.trunc(F.lit(today).cast("date"), "month")).alias("t_obs"))
+
+
+def file_hashes(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+    """path, length, md5 (of the bytes) of every file below a folder; the bytes stay in the tasks."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
+    return files.select("path", "length", F.md5("content").alias("md5"))
+
+
+def write_drops(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """A file for each value of ``by``, in folders named after it: what a delivery of drops looks like."""
+    df.repartition(*by).sortWithinPartitions(*df.columns).write.partitionBy(*by).parquet(path)
+
+
+def copy_drops(spark: SparkSession, source: str, target: str, folders: str) -> None:
+    """Copy the folders of a delivery that match a pattern, byte for byte."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path
+    fs = at(source).getFileSystem(conf)
+    for f in fs.globStatus(at(f"{source}/{folders}")) or []:
+        jvm.org.apache.hadoop.fs.FileUtil.copy(fs, f.getPath(), fs, at(f"{target}/{f.getPath().getName()}"), False, conf)

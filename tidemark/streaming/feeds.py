@@ -1,4 +1,4 @@
-"""Structured Streaming: file feeds that upsert months and set rejects aside, and windowed sums of events."""
+"""Structured Streaming: file feeds that upsert months and set rejects aside, windowed sums of events, and windows built as months come."""
 
 from __future__ import annotations
 
@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.operators.features import agg_window_base
+from tidemark.sources.published import is_published, publish, published
+
 
 def file_stream(spark: SparkSession, path: str, schema: str, fmt: str = "parquet", per_trigger: int | None = None, **options: str) -> DataFrame:
     reader = spark.readStream.schema(schema).format(fmt).options(**options)
@@ -32,17 +35,6 @@ def run_once(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int]
     return query
 
 
-def month_upserter(target: str, keys: Sequence[str], order: Sequence[str], month: str) -> Callable[[DataFrame, int], None]:
-    """Batch function: the last row per key of a batch replaces the months it brings. Repeating a batch changes nothing."""
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
-        rows = batch.withColumn("__r", F.row_number().over(newest)).where("__r = 1").drop("__r")
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(month).parquet(target)
-
-    return each
-
-
 def rejecting(good: str, bad: str, is_good: str) -> Callable[[DataFrame, int], None]:
     """Batch function with two sinks, by batch number, so that a repeated batch replaces its own rows."""
 
@@ -64,3 +56,21 @@ def empty_windows(specs: DataFrame, existing: DataFrame, last: int = 0) -> DataF
     newest = Window.partitionBy("window_size").orderBy(F.col("window_end").desc())
     recent = specs.withColumn("__r", F.row_number().over(newest)).where(F.col("__r") <= last).drop("__r")
     return missing_windows(specs, existing).unionByName(recent).distinct()
+
+
+def build_windows(monthly: DataFrame, specs: DataFrame, path: str, again: int = 0) -> DataFrame:
+    """Bring a published table of window rows, partitioned by size and end, up to ``specs`` (window_size, window_end), and return
+    the windows that were built.
+
+    Only windows without a partition, and the newest ``again`` ends of every size, are made, from the months that they need; the
+    other partitions are neither read nor written. The windows of a grid are some hundreds, so their list is collected.
+    """
+    spark = monthly.sparkSession
+    done = published(spark, path).select("window_size", "window_end") if is_published(spark, path) else specs.where(F.lit(False))
+    todo = [(r["window_size"], r["window_end"]) for r in empty_windows(specs, done, again).orderBy("window_size", "window_end").collect()]
+    wanted = spark.createDataFrame(todo, specs.select("window_size", "window_end").schema)
+    if todo:
+        bounds = wanted.agg(F.min(F.add_months("window_end", 1 - F.col("window_size"))).cast("string"), F.max("window_end").cast("string")).first()
+        rows = agg_window_base(monthly, bounds[0], bounds[1], sorted({w for w, _ in todo}), todo)
+        publish(rows, path, ["window_size", "window_end"])
+    return wanted
