@@ -81,6 +81,12 @@ def test_sharding(spark, docs, empty):
     assert sharding.shard_documents(empty, 7).count() == 0
 
 
+def test_kept_columns_called_like_results_are_refused(docs):
+    for call in (lambda: sharding.shard_documents(docs, 7, keep=["size"]), lambda: sharding.shard_documents(docs, 7, keep=["k", "shard"]), lambda: mixing.plan_mix(docs, keep=["size"])):
+        with pytest.raises(ValueError, match="called like results"):
+            call()
+
+
 def test_sharding_follows_weights(spark):
     many = spark.range(20_000).selectExpr("id AS doc_id")
     from pyspark.sql import functions as F

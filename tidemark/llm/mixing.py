@@ -66,7 +66,12 @@ def plan_mix(
     seed: str = SEED,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken (words, repeats counted), and ``keep``."""
+    """One row per document: doc_id, source, size, source_size, target, taken (words, repeats counted), and ``keep``.
+
+    ``keep`` refuses columns called like results. Rows that repeat doc_id and text are cut in any order among themselves.
+    """
+    if clash := {"doc_id", "source", "size", "source_size", "target", "taken"} & set(keep):
+        raise ValueError(f"columns called like results: {sorted(clash)}")
     key = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce(F.col("text"), F.lit("")))))
     light = staged(
         docs.select("doc_id", "source", *keep, count_words(F.col("text")).alias("size"), key.alias("__key")).withColumn(

@@ -9,7 +9,8 @@ Slots number the records of a shard from 0 without gaps. They come from two leve
 
 Defined results: a null key is a key of its own (all its rows go to one shard); a null text has size 16 and crc 0;
 repeated rows each get a slot of their own; an empty table gives an empty result; other columns pass through
-``assign_shards`` untouched, and its own columns are named by parameters so that they cannot clash.
+``assign_shards`` untouched, and its own columns are named by parameters so that they cannot clash; ``keep`` refuses columns
+called like results.
 """
 
 from __future__ import annotations
@@ -84,6 +85,8 @@ def shard_documents(docs: DataFrame, n_shards: int = 40, weights: Sequence[float
     """One row per document: doc_id, size, text_crc32, law ('key'), shard, slot, grown_shard, and the columns in ``keep``."""
     if weights is not None and len(weights) != n_shards:
         raise ValueError("one weight per shard")
+    if clash := {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"} & set(keep):
+        raise ValueError(f"columns called like results: {sorted(clash)}")
     light = docs.select(
         "doc_id",
         *keep,
