@@ -7,10 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import eda, features, ingest, model, monitor, month_arrays, pipeline, prep, reasons, windows
-from tidemark.sources import readers, sinks
+from tidemark.sources import readers, sinks, tables
 from tidemark.sources.published import is_published, publish, published, vacuum
 from tidemark.sources.readers import copy_drops
-from tidemark.sources.tables import shared_path, staged
+from tidemark.sources.tables import discard, shared_path, staged, tables_end
 from tidemark.streaming import drops, feeds
 
 D = datetime.date
@@ -341,6 +341,22 @@ def test_drops_are_gathered_skipped_and_set_aside(spark):
     assert drops.ledger_rows(spark, f"{path}/ledger").count() == 6 and len(rows()) == 4
 
 
+def test_staged_tables_end(spark):
+    """Whatever queries and operators stage inside a block is gone after it; a kept table stays."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    exists = lambda p: jvm.org.apache.hadoop.fs.Path(p).getFileSystem(conf).exists(jvm.org.apache.hadoop.fs.Path(p))
+    df = spark.createDataFrame([(float(i),) for i in range(50)], "x double")
+    with tables_end(spark) as keep:
+        inside = staged(df, "inside"), staged(df, "bucketed", "x", 2)
+        outlier = eda.outlier_stats(df, ["x"]).collect()
+        keep.append(staged(df, "kept"))
+        made = [x.staged_at for x in tables._live]
+    assert outlier and len(made) > 3 and [p for p in made if exists(p)] == [p for p in made if p in {x.staged_at for x in tables._live}]
+    assert keep[0].count() == 50 and not any(exists(x.staged_at) for x in inside) and not spark.catalog.tableExists(inside[1].staged_name)
+    discard(*keep)
+    assert not exists(keep[0].staged_at)
+
+
 def test_published_tables_change_at_once(spark):
     path = shared_path(spark, "table")
     one = spark.createDataFrame([(1, "a", 1), (2, "b", 1), (3, "c", 2)], "k long, v string, p int")

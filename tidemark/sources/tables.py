@@ -1,7 +1,12 @@
-"""Intermediate tables in the folder that the whole cluster shares: written once, read again, dropped when done with."""
+"""Intermediate tables in the folder that the whole cluster shares: written once, read again, dropped when done with.
+
+A table ends by ``discard``, at the end of a ``tables_end`` block, or with the application, whose own folder goes when the
+driver's Python ends.
+"""
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import tempfile
 import uuid
@@ -12,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 _SETTING = "spark.checkpoint.dir"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _own: list[str] = []
+_live: list[DataFrame] = []
+_folders: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,8 +34,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    """A new path in the application's part of the shared folder."""
+    context = spark.sparkContext
+    folder = f"{shared_dir(spark)}/tidemark/{context.applicationId}"
+    if folder not in _folders:
+        _folders.add(folder)
+        atexit.register(_delete, context._jvm, context._jsc.hadoopConfiguration(), folder, True)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+def _delete(jvm, conf, path: str, at_exit: bool = False) -> None:
+    try:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)
+    except Exception:
+        if not at_exit:  # the JVM may have gone before
+            raise
 
 
 @contextlib.contextmanager
@@ -55,19 +76,35 @@ def staged(df: DataFrame, label: str, by: str | None = None, parts: int = 0) ->
             out = spark.read.schema(df.schema).parquet(path)
         else:
             name = f"tidemark_{uuid.uuid4().hex}"
-            df.write.bucketBy(parts, by).format("parquet").option("compression", "zstd").option("path", path).saveAsTable(name)
+            try:
+                df.write.bucketBy(parts, by).format("parquet").option("compression", "zstd").option("path", path).saveAsTable(name)
+            except Exception:
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
+                raise
             out = spark.table(name)
             out.staged_name = name
     out.staged_at = path
+    _live.append(out)
     return out
 
 
+@contextlib.contextmanager
+def tables_end(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Tables that are staged inside end with the block, but for those put into the list that it gives. What was made of them
+    must have been written by then: run an operator and write its result inside."""
+    before, keep = len(_live), []
+    try:
+        yield keep
+    finally:
+        kept = {df.staged_at for df in keep}
+        discard(*[df for df in _live[before:] if df.staged_at not in kept])
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete staged tables; whatever was made of them must have been written."""
     for df in frames:
         spark = df.sparkSession
         if hasattr(df, "staged_name"):
             spark.sql(f"DROP TABLE IF EXISTS {df.staged_name}")
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(df.staged_at)
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), df.staged_at)
+        _live[:] = [x for x in _live if x.staged_at != df.staged_at]
