@@ -158,9 +158,16 @@ def _by_month(rows: DataFrame, date: str, start: str, end: str) -> DataFrame:
     return rows.where(inside).withColumns({"__i": A.month_number(date, start), "__first": F.dayofmonth(date) == 1})
 
 
+def _upto(first: Column) -> Column:
+    """For each month of the range the number of entries of ``r`` up to it; ``len`` says how many months an entry lasts."""
+    each = F.flatten(F.transform("r", lambda x, i: F.array_repeat(i + 1, x["len"])))
+    return F.concat(F.array_repeat(F.lit(0), first), each)
+
+
 def customer_complaints(complaints: DataFrame, start: str, end: str) -> DataFrame:
-    """cust_id, codes, first_codes: for each month of the range the complaint codes with their counts, of the whole month and of
-    its first day alone. Counted by customer, month and code before anything is gathered."""
+    """cust_id, codes, first_codes (for each month with complaints the codes with their counts: of the whole month and of its first
+    day alone), codes_upto (for each month of the range the number of those months up to it). Counted by customer, month and
+    code before anything is gathered."""
     span = A.month_number(F.lit(end).cast("date"), start) + 1
     own = _by_month(complaints.where("complaint_code IS NOT NULL"), "create_date", start, end)
     by = own.groupBy("cust_id", "__i", "complaint_code").agg(F.count(F.lit(1)).alias("n"), F.count_if("__first").alias("n1"))
@@ -169,51 +176,48 @@ def customer_complaints(complaints: DataFrame, start: str, end: str) -> DataFram
     after = F.lead("__i").over(Window.partitionBy("cust_id").orderBy("__i"))
     lengths = months.withColumn("len", F.coalesce(after, span) - F.col("__i"))
     packed = lengths.groupBy("cust_id").agg(F.sort_array(F.collect_list(F.struct("__i", "len", "a", "b"))).alias("r"))
-    first = F.get("r", F.lit(0))
-    filled = lambda c: F.flatten(F.transform("r", lambda x: F.concat(F.array(x[c]), F.array_repeat(F.slice(x[c], 1, 0), x["len"] - 1))))
-    return packed.select("cust_id", *[F.concat(F.array_repeat(F.slice(first[c], 1, 0), first["__i"]), filled(c)).alias(n) for c, n in (("a", "codes"), ("b", "first_codes"))])
+    return packed.select("cust_id", F.expr("transform(r, x -> x.a)").alias("codes"), F.expr("transform(r, x -> x.b)").alias("first_codes"), _upto(F.get("r", F.lit(0))["__i"]).alias("codes_upto"))
 
 
 def _held_codes() -> Column:
-    """Codes with counts of a window, which ends on the first day of its last month."""
-    size, end = F.col("window_size"), F.col("__e")
-    return F.concat(F.flatten(F.slice("codes", end - size + 2, size - 1)), F.get("first_codes", end)).alias("__held")
+    """Codes with counts of a window, which ends on the first day of its last month; null without a complaint."""
+    at = lambda k: f"coalesce(get(codes_upto, {k}), 0)"
+    lo, hi, now = at("__e - window_size"), at("__e - 1"), at("__e")
+    last = f"if({now} > {hi}, get(first_codes, {now} - 1), slice(get(first_codes, 0), 1, 0))"
+    return F.expr(f"if({now} > {lo}, concat(flatten(slice(codes, {lo} + 1, {hi} - {lo})), {last}), null)").alias("__held")
 
 
 def _complaint_columns() -> list[Column]:
     """complaint_diversity and most_common_complaint (least on ties) of a window's codes; both null without a complaint."""
-    kinds = F.array_distinct(F.transform("__held", lambda x: x["c"]))
-    of = lambda c: F.aggregate("__held", F.lit(0).cast("long"), lambda n, x: n + F.when(x["c"] == c, x["n"]).otherwise(F.lit(0).cast("long")))
-    common = F.array_min(F.transform(kinds, lambda c: F.struct((-of(c)).alias("n"), c.alias("c"))))["c"]
-    some = F.size("__held") > 0
-    return [F.when(some, F.size(kinds).cast("long")).alias("complaint_diversity"), F.when(some, common).alias("most_common_complaint")]
+    kinds = "array_distinct(transform(__held, x -> x.c))"
+    of = "aggregate(__held, 0L, (n, x) -> n + if(x.c = c, x.n, 0L))"
+    some = "size(__held) > 0"
+    return [F.expr(f"if({some}, cast(size({kinds}) AS long), null)").alias("complaint_diversity"), F.expr(f"if({some}, array_min(transform({kinds}, c -> struct(-{of} AS n, c AS c))).c, null)").alias("most_common_complaint")]
 
 
 def customer_days(items: DataFrame, start: str, end: str) -> DataFrame:
-    """cust_id, days: for each month of the range (n: sending days up to its end, f: whether its first day is one, last: the last one up to its end)."""
+    """cust_id, days (for each month with sending days: n of them up to its end, f: whether its first day is one, last: the last
+    one), days_upto (for each month of the range the number of those months up to it)."""
     span = A.month_number(F.lit(end).cast("date"), start) + 1
     dates = _by_month(items.select("cust_id", "send_date").distinct(), "send_date", start, end)
     by = dates.groupBy("cust_id", "__i").agg(F.count(F.lit(1)).alias("n"), F.bool_or("__first").alias("f"), F.max("send_date").alias("last"))
     w = Window.partitionBy("cust_id").orderBy("__i")
     upto = by.select("cust_id", "__i", F.sum("n").over(w).alias("n"), "f", "last", (F.coalesce(F.lead("__i").over(w), span) - F.col("__i")).alias("len"))
     packed = upto.groupBy("cust_id").agg(F.sort_array(F.collect_list(F.struct("__i", "len", "n", "f", "last"))).alias("r"))
-    first = F.get("r", F.lit(0))["__i"]
-    day = lambda x, f: F.struct(x["n"].alias("n"), f.alias("f"), x["last"].alias("last"))
-    filled = F.flatten(F.transform("r", lambda x: F.concat(F.array(day(x, x["f"])), F.array_repeat(day(x, F.lit(False)), x["len"] - 1))))
-    before = F.array_repeat(F.when(F.lit(False), F.get(filled, F.lit(0))), first)
-    return packed.select("cust_id", F.concat(before, filled).alias("days"))
+    return packed.select("cust_id", F.expr("transform(r, x -> struct(x.n AS n, x.f AS f, x.last AS last))").alias("days"), _upto(F.get("r", F.lit(0))["__i"]).alias("days_upto"))
 
 
 def _day_columns() -> list[Column]:
     """active_days (0 without any), window_days and recency_days (null then) of a window, which ends on the first day of its last month."""
-    size, end = F.col("window_size"), F.col("__e")
-    upto = lambda k: F.coalesce(F.get("days", k)["n"], F.lit(0))
-    on_end = F.coalesce(F.get("days", end)["f"], F.lit(False))
-    before = F.when(end > 0, upto(end - 1)).otherwise(F.lit(0)) - F.when(end >= size, upto(end - size)).otherwise(F.lit(0))
-    n = (before + on_end.cast("int")).cast("int")
-    last = F.when(on_end, F.col("window_end")).otherwise(F.get("days", end - 1)["last"])
-    first = F.add_months("window_end", 1 - size)
-    return [n.alias("active_days"), F.when(n > 0, F.datediff("window_end", first) + 1).alias("window_days"), F.when(n > 0, F.datediff("window_end", last)).alias("recency_days")]
+    at = lambda k: f"coalesce(get(days_upto, {k}), 0)"
+    lo, hi, now = at("__e - window_size"), at("__e - 1"), at("__e")
+    on_end = f"({now} > {hi} AND get(days, {now} - 1).f)"
+    n = f"cast(coalesce(get(days, {hi} - 1).n, 0) - coalesce(get(days, {lo} - 1).n, 0) + if({on_end}, 1, 0) AS int)"
+    first = "add_months(window_end, 1 - window_size)"
+    return [
+        F.expr(n).alias("active_days"), F.expr(f"if({n} > 0, datediff(window_end, {first}) + 1, null)").alias("window_days"),
+        F.expr(f"if({n} > 0, datediff(window_end, if({on_end}, window_end, get(days, {hi} - 1).last)), null)").alias("recency_days"),
+    ]
 
 
 def _all_windows(customers: DataFrame, start: str, end: str, sizes: Sequence[int]) -> DataFrame:
