@@ -391,7 +391,9 @@ def test_windows_are_built_incrementally(spark):
     assert len(old) == 11 and len(second) == 6 and not old & second
     assert feeds.build_windows(months, specs, path).count() == 0
     feeds.build_windows(months, specs, once)
-    whole = lambda p: sorted(map(str, published(spark, p).collect()))
+    # Running sums begin with the months of a build, so doubles may differ in their last bits.
+    close = lambda v: round(v, 9) + 0.0 if isinstance(v, float) else v
+    whole = lambda p: sorted(str([close(v) for v in r]) for r in published(spark, p).collect())
     assert whole(path) == whole(once) and len(whole(path)) > 50
     versions = {(r.window_size, r.window_end): r.v for r in published(spark, path).select("window_size", "window_end", F.regexp_extract(F.input_file_name(), r"__v=(\d+)", 1).alias("v")).distinct().collect()}
     assert {versions[w] for w in old if w in versions} == {"1"} and {versions[w] for w in second if w in versions} == {"2"}

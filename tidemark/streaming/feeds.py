@@ -63,7 +63,8 @@ def build_windows(monthly: DataFrame, specs: DataFrame, path: str, again: int =
     the windows that were built.
 
     Only windows without a partition, and the newest ``again`` ends of every size, are made, from the months that they need; the
-    other partitions are neither read nor written. The windows of a grid are some hundreds, so their list is collected.
+    other partitions are neither read nor written. Running sums begin with those months, so doubles may differ in their last bits
+    from those of another build. The windows of a grid are some hundreds, so their list is collected.
     """
     spark = monthly.sparkSession
     done = published(spark, path).select("window_size", "window_end") if is_published(spark, path) else specs.where(F.lit(False))
