@@ -1,4 +1,4 @@
-"""Structured Streaming: file feeds that upsert months and set rejects aside, windowed sums of events, and windows built as months come."""
+"""Structured Streaming: file feeds, windowed sums of events, and windows built as months come."""
 
 from __future__ import annotations
 
@@ -35,17 +35,6 @@ def run_once(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int]
     return query
 
 
-def rejecting(good: str, bad: str, is_good: str) -> Callable[[DataFrame, int], None]:
-    """Batch function with two sinks, by batch number, so that a repeated batch replaces its own rows."""
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        ok = F.coalesce(F.expr(is_good), F.lit(False))
-        batch.where(ok).write.mode("overwrite").parquet(f"{good}/batch={batch_id}")
-        batch.where(~ok).write.mode("overwrite").parquet(f"{bad}/batch={batch_id}")
-
-    return each
-
-
 def missing_windows(specs: DataFrame, existing: DataFrame) -> DataFrame:
     """Windows of the grid that have no partition yet."""
     return specs.join(existing.select("window_size", "window_end").distinct(), ["window_size", "window_end"], "left_anti")
