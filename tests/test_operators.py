@@ -419,3 +419,39 @@ def test_ranks_over_ranges(spark):
     counts = df.where("v IS NOT NULL").groupBy("g", "v").count().withColumnRenamed("count", "n")
     for r in ranks.running_totals(counts, "v", ["n"], ["g"], descending=True).collect():
         assert r.n_upto == sum(1 for g, v in rows if g == r.g and v is not None and v >= r.v)
+
+
+def test_percentiles_from_narrow_brackets(spark):
+    """Most values lie outside the brackets: ties of a third of all rows, far outliers, one value only, few rows."""
+    import numpy as np
+
+    from tidemark.operators import ranks
+
+    rng = np.random.default_rng(5)
+    groups = {"ties": np.where(rng.random(9000) < 1 / 3, 7.0, rng.normal(size=9000)), "far": rng.pareto(0.3, 9000), "sorted": np.arange(9000.0), "flat": np.full(500, 2.0), "two": np.array([1.0, 4.0])}
+    df = spark.createDataFrame([(g, float(x)) for g, v in groups.items() for x in v], "g string, v double").repartition(7)
+    at = [0.0, 0.001, 0.1, 0.5, 0.5, 0.77, 0.999, 1.0]
+    for accuracy in (50, 1000):
+        got = {r.g: r.q for r in ranks.percentiles(df, "v", at, ["g"], "q", accuracy).collect()}
+        for g, v in groups.items():
+            assert np.allclose(got[g], np.percentile(v, [100 * p for p in at]), rtol=1e-12)
+
+
+def test_spearman_ranks_once(spark):
+    """Mean ranks of several columns against pandas, with nulls and ties; more columns take no more shuffles."""
+    import numpy as np
+    import pandas as pd
+
+    from tidemark.operators import eda
+
+    rng = np.random.default_rng(6)
+    own = pd.DataFrame({c: np.where(rng.random(400) < 0.1, np.nan, rng.integers(0, 30, 400) * (1.0 + k)) for k, c in enumerate("abcd")})
+    df = spark.createDataFrame([tuple(None if x != x else float(x) for x in r) for r in own.itertuples(index=False)], "a double, b double, c double, d double")
+    ranks = own.rank()
+    got = {(r.feature_a, r.feature_b): r.r for r in eda.correlation_pairs(df, list("abcd"), "spearman").collect()}
+    assert len(got) == 6
+    for (x, y), r in got.items():
+        assert abs(r - ranks[x].corr(ranks[y])) < 1e-9
+    plan = lambda names: eda.mean_ranks(df, names)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert plan(["a", "b"]) == plan(list("abcd"))
+    assert eda.correlation_pairs(df.where("a < -1"), ["a", "b"], "spearman").first().r is None

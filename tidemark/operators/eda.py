@@ -11,6 +11,7 @@ from tidemark.functions.scalars import finite
 from tidemark.functions.special import t_pvalue
 from tidemark.operators.ranks import percentiles, running_totals
 from tidemark.sources.sinks import audit_append
+from tidemark.sources.tables import staged
 
 PERCENTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 
@@ -75,20 +76,27 @@ def outlier_stats(df: DataFrame, columns: Sequence[str], factor: float = 1.5, z:
     )
 
 
-def correlation_pairs(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:
-    """feature_a < feature_b, r over rows where both are known; one aggregation. ``spearman`` ranks first (ties: mean rank).
+def mean_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``columns`` only, every known value replaced by its rank in its column (ties: mean rank). Rows come in any order.
 
-    Ranks come from distinct values with their counts, in ranges of values.
+    All columns are ranked together as (feature, value) and turned back into rows once, so there are as many shuffles for
+    many features as for one. Ranks come from distinct values with their counts, in ranges of values; a frequent value is
+    one row of the ranks, and the join with them can be split. Rows are named when they are written.
     """
+    own = staged(df.select(*[F.col(c).try_cast("double").alias(c) for c in columns], F.monotonically_increasing_id().alias("__row")), "ranked")
+    cells = long_form(own, columns, ["__row"]).where("value IS NOT NULL")
+    counts = cells.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("__n"))
+    ranks = running_totals(counts, "value", ["__n"], ["feature"]).select("feature", "value", (F.col("__n_upto") - (F.col("__n") - 1) / 2).alias("__r"))
+    ranked = cells.join(ranks, ["feature", "value"])
+    return ranked.groupBy("__row").agg(*[F.max(F.when(F.col("feature") == c, F.col("__r"))).alias(c) for c in columns]).drop("__row")
+
+
+def correlation_pairs(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:
+    """feature_a < feature_b, r over rows where both are known; one aggregation. ``spearman`` ranks first (ties: mean rank)."""
     names = sorted(columns)
     if method == "spearman":
-        for c in names:
-            per = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("__n"))
-            ranks = running_totals(per, c, ["__n"]).select(F.col(c).alias("__v"), (F.col("__n_upto") - (F.col("__n") - 1) / 2).alias(f"__r_{c}"))
-            df = df.join(ranks, df[c] == ranks["__v"], "left").drop("__v")
-        value = lambda c: F.col(f"__r_{c}").cast("double")
-    else:
-        value = lambda c: finite(F.col(c))
+        df = mean_ranks(df, names)
+    value = lambda c: finite(F.col(c))
     pairs = [F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), _corr(value(a), value(b)).alias("r")) for i, a in enumerate(names) for b in names[i + 1 :]]
     return df.agg(F.array(*pairs).alias("p")).select(F.explode("p").alias("p")).select("p.*")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.eda import long_form, quantile_edges
 from tidemark.operators.ranks import percentiles
 from tidemark.operators.windows import robust_anomaly
+from tidemark.sources.tables import staged
 
 EPS = 1e-8
 
@@ -24,13 +25,14 @@ def profile_edges(v: DataFrame, bins: int = 10) -> DataFrame:
 def counts_on_edges(v: DataFrame, edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """by..., feature, bin (from 1), n: histogram on the edges, closed on the left, the last bin on both sides; outside values are left out; every bin has a row."""
     x = F.col("value")
-    # One row of edges per feature: small by its nature.
-    held = v.where("value IS NOT NULL").join(F.broadcast(edges), "feature").where((x >= F.get("edges", F.lit(0))) & (x <= F.element_at("edges", -1)))
-    bin_ = F.least(F.size(F.filter("edges", lambda e: e <= x)), F.size("edges") - 1)
-    counts = held.groupBy(*by, "feature", bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    bins = edges.select("feature", F.explode(F.sequence(F.lit(1), F.size("edges") - 1)).alias("bin"))
-    groups = v.select(*by, "feature").distinct() if by else v.select("feature").distinct()
-    return groups.join(bins, "feature").join(counts, [*by, "feature", "bin"], "left").na.fill({"n": 0})
+    inside = (x >= F.get("edges", F.lit(0))) & (x <= F.element_at("edges", -1))
+    bin_ = F.when(inside, F.least(F.size(F.filter("edges", lambda e: e <= x)), F.size("edges") - 1))
+    # One row of edges per feature: small by its nature. A group's counts are as many as its bins, and one row from here on.
+    cells = v.join(F.broadcast(edges), "feature").groupBy(*by, "feature", bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    packed = cells.groupBy(*by, "feature").agg(F.map_from_entries(F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("bin", "n")))).alias("__n"))
+    bins = packed.join(F.broadcast(edges.select("feature", F.size("edges").alias("__k"))), "feature")
+    each = bins.select(*by, "feature", "__n", F.explode(F.sequence(F.lit(1), F.col("__k") - 1)).alias("bin"))
+    return each.select(*by, "feature", "bin", F.coalesce(F.try_element_at("__n", F.col("bin")), F.lit(0)).cast("long").alias("n"))
 
 
 def _probability(n: str, by: Sequence[str]) -> Column:
@@ -59,13 +61,10 @@ def severity(psi: Column) -> Column:
 def monthly_drift(df: DataFrame, columns: Sequence[str], month: str, bins: int = 10) -> DataFrame:
     """month, feature, psi, ks, severity of every later month against the earliest one."""
     v = long_form(df, columns, [month])
-    first = df.agg(F.min(month).alias("__m"))
-    own = v.join(F.broadcast(first), F.lit(True))  # one row
-    ref = own.where(F.col(month) == F.col("__m"))
-    edges = profile_edges(ref.select("feature", "value"), bins)
-    train = counts_on_edges(ref.select("feature", "value"), edges)
-    later = own.where(F.col(month) > F.col("__m")).select(month, "feature", "value")
-    return psi_ks(train, counts_on_edges(later, edges, [month]), [month])
+    first = F.lit(df.agg(F.min(month)).first()[0])
+    edges = staged(profile_edges(v.where(F.col(month) == first).select("feature", "value"), bins), "edges")  # a row per feature
+    counts = staged(counts_on_edges(v, edges, [month]), "counts")  # months x features x bins
+    return psi_ks(counts.where(F.col(month) == first).drop(month), counts.where(F.col(month) > first), [month])
 
 
 def category_profile(df: DataFrame, columns: Sequence[str], top: int = 30) -> DataFrame:
@@ -79,7 +78,7 @@ def category_profile(df: DataFrame, columns: Sequence[str], top: int = 30) -> Da
 def feature_drift(current: DataFrame, reference: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
     """feature, psi, ks, severity, is_anomaly of current rows against reference rows; a column that is gone is an alert."""
     ref = long_form(reference, columns)
-    edges = profile_edges(ref, bins)
+    edges = staged(profile_edges(ref, bins), "edges")
     have = [c for c in columns if c in current.columns]
     found = psi_ks(counts_on_edges(ref, edges), counts_on_edges(long_form(current, have), edges))
     out = edges.select("feature").join(found, "feature", "left").withColumn("severity", severity(F.col("psi")))

@@ -554,6 +554,11 @@ def facts(spark, sf_dir):
     return spark.sql(_FACTS.format(t="{m}"), m=V.cust_month(spark, sf_dir))
 
 
+def stored_facts(spark, sf_dir):
+    """The facts as a stored table, for profiles that read them several times."""
+    return staged(facts(spark, sf_dir), "facts")
+
+
 @query("describe_features", f"WITH {LONG} SELECT feature, count(value) AS count, round(avg(value), 5) AS mean, round(stddev_samp(value), 5) AS std, round(skewness(value), 5) AS skewness, round(kurtosis(value), 5) AS kurtosis, min(value) AS min, max(value) AS max, round(quantile_cont(value, 0.05), 5) AS p05, round(quantile_cont(value, 0.25), 5) AS p25, round(quantile_cont(value, 0.5), 5) AS median, round(quantile_cont(value, 0.75), 5) AS p75, round(quantile_cont(value, 0.95), 5) AS p95 FROM v GROUP BY 1")
 def describe_features(spark, sf_dir):
     got = E.describe_features(facts(spark, sf_dir), COLUMNS)
@@ -632,7 +637,7 @@ _WOE = (
 
 @query("woe_iv", _WOE + " SELECT feature, bin, event, non_event, round(woe, 6) + 0.0::DOUBLE AS woe, round(iv_bin, 6) AS iv_bin FROM woe")
 def woe_iv(spark, sf_dir):
-    return rounded(E.woe_iv(facts(spark, sf_dir), COLUMNS, "y"))
+    return rounded(E.woe_iv(stored_facts(spark, sf_dir), COLUMNS, "y"))
 
 
 _IV = _WOE + ", iv AS (SELECT feature, round(sum(iv_bin), 6) AS iv FROM woe GROUP BY 1), ranked AS (SELECT feature, iv, CASE WHEN iv < 0.02 THEN 'useless' WHEN iv < 0.1 THEN 'weak' WHEN iv < 0.3 THEN 'medium' WHEN iv < 0.5 THEN 'strong' ELSE 'suspicious' END AS strength FROM iv)"
@@ -640,12 +645,12 @@ _IV = _WOE + ", iv AS (SELECT feature, round(sum(iv_bin), 6) AS iv FROM woe GROU
 
 @query("iv_ranking", _IV + " SELECT * FROM ranked")
 def iv_ranking(spark, sf_dir):
-    return E.iv_ranking(E.woe_iv(facts(spark, sf_dir), COLUMNS, "y"), COLUMNS)
+    return E.iv_ranking(E.woe_iv(stored_facts(spark, sf_dir), COLUMNS, "y"), COLUMNS)
 
 
 @query("topk_features", _IV + " SELECT feature, iv FROM ranked ORDER BY iv DESC, feature LIMIT 3")
 def topk_features(spark, sf_dir):
-    return E.iv_ranking(E.woe_iv(facts(spark, sf_dir), COLUMNS, "y"), COLUMNS).orderBy(F.col("iv").desc(), "feature").limit(3).select("feature", "iv")
+    return E.iv_ranking(E.woe_iv(stored_facts(spark, sf_dir), COLUMNS, "y"), COLUMNS).orderBy(F.col("iv").desc(), "feature").limit(3).select("feature", "iv")
 
 
 _TRENDS = f"WITH {LONG}, m AS (SELECT feature, yr, quantile_cont(value, 0.5) AS med FROM v GROUP BY 1, 2), x AS (SELECT *, CAST(dense_rank() OVER (PARTITION BY feature ORDER BY yr) - 1 AS DOUBLE) AS x FROM m WHERE med IS NOT NULL)"
@@ -727,17 +732,17 @@ _SEVERITY = "CASE WHEN psi > 0.2 THEN 'ALERT' WHEN psi > 0.1 THEN 'WARN' ELSE 'O
 
 @query("monthly_drift", _PSI + f" SELECT yr, feature, round(psi, 6) AS psi, round(ks, 6) AS ks, {_SEVERITY} FROM drift")
 def monthly_drift(spark, sf_dir):
-    return rounded(N.monthly_drift(facts(spark, sf_dir), COLUMNS, "yr"))
+    return rounded(N.monthly_drift(stored_facts(spark, sf_dir), COLUMNS, "yr"))
 
 
 @query("psi", _PSI + " SELECT yr, feature, round(psi, 6) AS psi FROM drift")
 def psi(spark, sf_dir):
-    return rounded(N.monthly_drift(facts(spark, sf_dir), COLUMNS, "yr").select("yr", "feature", "psi"))
+    return rounded(N.monthly_drift(stored_facts(spark, sf_dir), COLUMNS, "yr").select("yr", "feature", "psi"))
 
 
 @query("ks_discrete", _PSI + " SELECT yr, feature, round(ks, 6) AS ks FROM drift")
 def ks_discrete(spark, sf_dir):
-    return rounded(N.monthly_drift(facts(spark, sf_dir), COLUMNS, "yr").select("yr", "feature", "ks"))
+    return rounded(N.monthly_drift(stored_facts(spark, sf_dir), COLUMNS, "yr").select("yr", "feature", "ks"))
 
 
 @query("win_cum_dist", _TRAIN + " SELECT feature, CAST(bin AS INT) AS bin, round(CAST(sum(n) OVER (PARTITION BY feature ORDER BY bin) AS DOUBLE) / sum(n) OVER (PARTITION BY feature), 6) AS cdf FROM tr")
