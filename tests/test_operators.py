@@ -455,3 +455,41 @@ def test_spearman_ranks_once(spark):
     plan = lambda names: eda.mean_ranks(df, names)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
     assert plan(["a", "b"]) == plan(list("abcd"))
     assert eda.correlation_pairs(df.where("a < -1"), ["a", "b"], "spearman").first().r is None
+
+
+def test_folds_fitted_together(spark):
+    """Every fold's AUC against a model fitted for it alone: unequal sizes, nulls, a flat column, a fold of one class."""
+    import numpy as np
+
+    from tidemark.operators import walkforward
+
+    rng = np.random.default_rng(8)
+    rows = []
+    for size, months in ((3, 9), (4, 8), (9, 3)):
+        for month in range(months):
+            for _ in range(60):
+                x = rng.normal(size=2)
+                y = int(rng.random() < 1 / (1 + np.exp(-(x[0] - 0.5 * x[1] + 0.1 * month - 1)))) if (size, month) != (4, 6) else 0
+                rows.append((size, f"2001-{month + 1:02d}-01", y, float(50 + 10 * x[0]), None if rng.random() < 0.05 else float(x[1]), 3.0))
+    df = spark.createDataFrame(rows, "window_size int, window_end string, y int, a double, b double, flat double").repartition(5)
+    got = {(r.window_size, r.fold): r.auc for r in walkforward.fold_aucs(df, ["a", "b", "flat"], "y", 5).collect()}
+    wanted = {}
+    for size, months in ((3, 9), (4, 8)):
+        for fold in range(months - 5):
+            part = lambda ends: np.array([[v or 0.0 for v in r[2:]] for r in rows if r[0] == size and int(r[1][5:7]) - 1 in ends])
+            train, valid = part(range(5 + fold)), part([5 + fold])
+            if valid[:, 0].min() == valid[:, 0].max():
+                continue
+            centre, scale = train[:, 1:].mean(axis=0), np.where(train[:, 1:].std(axis=0) > 0, train[:, 1:].std(axis=0), 1.0)
+            x, y, beta = np.column_stack([np.ones(len(train)), (train[:, 1:] - centre) / scale]), train[:, 0], np.zeros(4)
+            w = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
+            for _ in range(20000):
+                beta -= 2.0 / w.sum() * (x.T @ (w * (1 / (1 + np.exp(-x @ beta)) - y)) + np.array([0.0, 1.0, 1.0, 1.0]) * beta)
+            p = beta[0] + (valid[:, 1:] - centre) / scale @ beta[1:]
+            pairs = p[valid[:, 0] == 1][:, None] - p[valid[:, 0] == 0][None, :]
+            wanted[size, fold] = float((pairs > 0).mean() + (pairs == 0).mean() / 2)
+    assert set(got) == set(wanted) and (4, 1) not in got
+    assert all(abs(got[k] - wanted[k]) < 1e-9 for k in wanted)
+    by_size = {r.window_size: (r.auc, r.n_folds) for r in walkforward.size_aucs(walkforward.fold_aucs(df, ["a"], "y", 5), [3, 4, 9]).collect()}
+    assert by_size[9] == (None, 0) and by_size[3][1] == 4 and by_size[4][1] == 2
+    assert walkforward.fold_aucs(df.where("a < -1e9"), ["a"], "y", 5).collect() == []

@@ -51,11 +51,12 @@ def build_label(features: DataFrame, cust_month: DataFrame, horizon: int) -> Dat
     return features.join(seen, ["cust_id", "window_end"], "left").withColumn("y_raw", F.when(F.col("__seen") == 1, 0).otherwise(1)).drop("__seen")
 
 
-def training_windows(features: DataFrame, cust_month: DataFrame, size: int, first: str, last: str, horizon: int, min_orders: int = 1) -> DataFrame:
-    """Labelled rows of one window size whose end leaves room for the horizon before ``last``."""
+def training_windows(features: DataFrame, cust_month: DataFrame, size: int | None, first: str, last: str, horizon: int, min_orders: int = 1) -> DataFrame:
+    """Labelled rows of one window size (None: all) whose end leaves room for the horizon before ``last``."""
     newest = F.add_months(F.lit(last).cast("date"), -(horizon + 1))
-    oldest = F.add_months(F.lit(first).cast("date"), size - 1)
-    own = features.where((F.col("window_size") == size) & F.col("window_end").between(oldest, newest) & (F.col("item_sum") >= min_orders))
+    oldest = F.add_months(F.lit(first).cast("date"), F.col("window_size") - 1)
+    wanted = F.lit(True) if size is None else F.col("window_size") == size
+    own = features.where(wanted & F.col("window_end").between(oldest, newest) & (F.col("item_sum") >= min_orders))
     return build_label(own, cust_month, horizon)
 
 
@@ -230,16 +231,6 @@ def require(checks: DataFrame) -> bool:
     return not failed
 
 
-def folds(df: DataFrame, ends: Sequence[str], min_train: int = 5) -> DataFrame:
-    """fold, part ('train' or 'valid') of every row: fold f trains on the first min_train + f window ends and validates on the next."""
-    rank = F.dense_rank().over(Window.orderBy("window_end")) - 1
-    order = df.select("window_end").distinct().withColumn("i", rank)
-    n = len(ends)
-    plan = order.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(max(n - min_train - 1, 0)))))
-    part = F.when(F.col("i") < F.col("fold") + min_train, "train").when(F.col("i") == F.col("fold") + min_train, "valid")
-    return df.join(F.broadcast(plan.withColumn("part", part).where("part IS NOT NULL").drop("i")), "window_end")  # ends times folds
-
-
 def max_window(n_months: int, horizon: int, min_train: int, w_min: int = 3) -> int:
     """Largest window size worth a search."""
     return max(w_min, n_months - horizon - min_train + 1)

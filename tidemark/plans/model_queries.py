@@ -14,6 +14,7 @@ from tidemark.operators import pipeline as L
 from tidemark.operators import prep as P
 from tidemark.operators import reasons as Y
 from tidemark.operators import report as T
+from tidemark.operators import walkforward as C
 from tidemark.operators import windows as W
 from tidemark.operators.ranks import percentiles
 from tidemark.plans import views as V
@@ -867,26 +868,35 @@ def score_all(spark, sf_dir):
     return got.select("cust_id", "yr", "p", "churn_flag")
 
 
+_FOLD_MIN = 5
+_SEARCH_COLUMNS = ("item_sum", "recency", "revenue_avg")
+
+
+def _fold_rows(spark, sf_dir, sizes):
+    rows = feature_rows(spark, sf_dir, sizes, with_months=False).select(*X.WINDOW_KEY, *_SEARCH_COLUMNS)
+    return P.training_windows(rows, V.cust_month(spark, sf_dir), None, DATA_START, T_OBS, 2)
+
+
+@query("walkforward_folds", _LABELS + f", own AS (SELECT window_size, window_end, dense_rank() OVER (ORDER BY window_end) - 1 AS k FROM labelled WHERE window_end BETWEEN DATE '1995-03-01' AND DATE '2001-04-01' AND item_sum >= 1), m AS (SELECT max(k) AS last FROM own), f AS (SELECT CAST(unnest(range(0, last - {_FOLD_MIN} + 1)) AS INT) AS fold FROM m) SELECT window_size, window_end, fold, CASE WHEN k < fold + {_FOLD_MIN} THEN 'train' ELSE 'valid' END AS part, count(*) AS n FROM own JOIN f ON k <= fold + {_FOLD_MIN} GROUP BY ALL")
+def walkforward_folds(spark, sf_dir):
+    """Rows of every part of every monthly fold."""
+    rows = P.training_windows(_windows3(spark, sf_dir), V.cust_month(spark, sf_dir), 3, DATA_START, T_OBS, 2)
+    n = rows.groupBy("window_size", "window_end").agg(F.count(F.lit(1)).alias("n"))
+    return C.fold_plan(rows, _FOLD_MIN).join(n, ["window_size", "window_end"])
+
+
 @query("walkforward_auc")
 def walkforward_auc(spark, sf_dir):
-    """Mean AUC over yearly folds."""
-    table = staged(facts(spark, sf_dir).withColumn("window_end", F.col("yr")).na.fill(0.0), "folds")
-    ends = [r["yr"] for r in table.select("yr").distinct().orderBy("yr").collect()]
-    auc = M.walkforward_auc(table, ["items", "fee", "late"], ends, "y", 4)
-    return spark.range(1).select(F.lit(auc).cast("double").alias("auc"))
+    """AUC of every monthly fold of the windows of three months."""
+    return C.fold_aucs(_fold_rows(spark, sf_dir, (3,)), _SEARCH_COLUMNS, "y_raw", _FOLD_MIN)
 
 
 @query("window_search")
 def window_search(spark, sf_dir):
-    """Mean AUC of each window size from 3 to 4, and the best one."""
-    months = V.cust_month(spark, sf_dir)
-    aucs = []
-    for size in (3, 4):
-        rows = staged(P.training_windows(feature_rows(spark, sf_dir, (size,), with_months=False), months, size, DATA_START, T_OBS, 2), "search")
-        yearly = rows.withColumn("window_end", F.year("window_end"))
-        ends = [r[0] for r in yearly.select("window_end").distinct().orderBy("window_end").collect()]
-        aucs.append((size, M.walkforward_auc(yearly, ["item_sum", "recency", "revenue_avg"], ends, "y_raw", 5)))
-    table = spark.createDataFrame(aucs, "window_size int, auc double")
+    """Mean AUC over monthly folds of each size from 3 to the largest worth a search, and the best one."""
+    months = (int(T_OBS[:4]) - int(DATA_START[:4])) * 12 + int(T_OBS[5:7]) - int(DATA_START[5:7]) + 1
+    sizes = tuple(range(3, P.max_window(months, 2, _FOLD_MIN) + 1))
+    table = staged(C.size_aucs(C.fold_aucs(_fold_rows(spark, sf_dir, sizes), _SEARCH_COLUMNS, "y_raw", _FOLD_MIN), sizes), "search")
     return table.join(F.broadcast(M.argmax_window(table)), F.lit(True))  # one row
 
 
