@@ -528,19 +528,30 @@ def fit_prototype(spark, sf_dir):
     return P.mean_and_covariance(table, _PROTO).withColumn("sigma2", F.lit(proto["sigma2"] if proto else None))
 
 
-@query("similarity")
+#: A prototype as one is kept between runs: its mean and inverse covariance.
+_KEPT = {
+    "features": list(_PROTO), "mu": [9.0, 200000.0, 0.15, 3.0], "sigma2": 2.5,
+    "inverse": [[0.04, -1e-7, 0.02, 0.0], [-1e-7, 4e-11, 0.0, 1e-7], [0.02, 0.0, 6.0, -0.1], [0.0, 1e-7, -0.1, 0.5]],
+}
+_KEPT_SQL = (
+    f"WITH {FEATURES_CTE}, x AS (SELECT cust_id, window_end, " + ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0) - {m!r}::DOUBLE AS x{i}" for i, (c, m) in enumerate(zip(_PROTO, _KEPT["mu"]))) + " FROM features WHERE window_size = 3), "
+    "d AS (SELECT cust_id, window_end, greatest(" + " + ".join(f"x{i} * x{j} * {w!r}::DOUBLE" for i, row in enumerate(_KEPT["inverse"]) for j, w in enumerate(row) if w) + ", 0) AS d2 FROM x)"
+)
+
+
+@query("similarity", _KEPT_SQL + f" SELECT cust_id, window_end, round(d2, 6) AS d2, round(exp(greatest(least(-d2 / {2 * _KEPT['sigma2']!r}, 0), -700)), 6) AS sim FROM d")
 def similarity(spark, sf_dir):
-    table, proto = _proto_rows(spark, sf_dir)
-    d2 = P.distance2(proto) if proto else F.lit(None).cast("double")
-    out = table.select("cust_id", "window_end", d2.alias("d2"))
-    return out.withColumn("sim", P.similarity(F.col("d2"), proto["sigma2"]) if proto else F.lit(0.0))
+    """Distance and similarity of every window of three months to a kept prototype."""
+    table = rounded(feature_rows(spark, sf_dir, (3,), with_months=False))  # as in the oracle
+    out = table.select("cust_id", "window_end", P.distance2(_KEPT).alias("d2"))
+    return rounded(out.withColumn("sim", P.similarity(F.col("d2"), _KEPT["sigma2"])))
 
 
-@query("udf_mahalanobis")
+@query("udf_mahalanobis", _KEPT_SQL + " SELECT cust_id, window_end, round(d2, 6) AS d2, round(d2, 6) AS d2_expression FROM d")
 def udf_mahalanobis(spark, sf_dir):
-    """The vectorised distance and the same as an expression, side by side."""
-    table, proto = _proto_rows(spark, sf_dir)
-    return table.select("cust_id", "window_end", P.distance2(proto).alias("d2"), P.distance2_sql(proto).alias("d2_expression"))
+    """The vectorised distance to a kept prototype and the same as an expression, side by side."""
+    table = rounded(feature_rows(spark, sf_dir, (3,), with_months=False))  # as in the oracle
+    return rounded(table.select("cust_id", "window_end", P.distance2(_KEPT).alias("d2"), P.distance2_sql(_KEPT).alias("d2_expression")))
 
 
 # Profiles
@@ -688,11 +699,18 @@ def eda_summary(spark, sf_dir):
     return E.eda_summary(E.eda_report(facts(spark, sf_dir), COLUMNS, "y"))
 
 
-@query("eda_report")
+_REPORT = {
+    "descriptive": "count(DISTINCT feature) FROM v", "missing": "count(DISTINCT feature) FROM v", "patterns": "least(count(*), 10) FROM q WHERE columns <> ''", "outliers": "count(DISTINCT feature) FROM v",
+    "correlations": "count(*) FROM c WHERE abs(r) >= 0.8", "classes": "1", "point_biserial": "count(DISTINCT feature) FROM v WHERE value IS NOT NULL", "woe": "count(*) FROM woe", "iv": "count(DISTINCT feature) FROM v",
+    "trends": "count(DISTINCT feature) FROM v WHERE value IS NOT NULL",
+}
+
+
+@query("eda_report", f"{_WOE}, {_PATTERNS[_PATTERNS.index('p AS (SELECT concat_ws'):]}, c AS ({_PAIRS}) " + " UNION ALL ".join(f"SELECT '{t}' AS \"table\", CAST({n.split(' FROM')[0]} AS BIGINT) AS n{n[len(n.split(' FROM')[0]):]}" for t, n in _REPORT.items()))
 def eda_report(spark, sf_dir):
     """The full report written table by table with its run log, and the log read back."""
     path = shared_path(spark, "report")
-    E.persist_report(E.eda_report(facts(spark, sf_dir), COLUMNS, "y", "yr"), path, "run-1")
+    E.persist_report(E.eda_report(stored_facts(spark, sf_dir), COLUMNS, "y", "yr"), path, "run-1")
     return spark.read.parquet(f"{path}/log").select("table", "n")
 
 
