@@ -528,10 +528,11 @@ def fit_prototype(spark, sf_dir):
     return P.mean_and_covariance(table, _PROTO).withColumn("sigma2", F.lit(proto["sigma2"] if proto else None))
 
 
-#: A prototype as one is kept between runs: its mean and inverse covariance.
+#: A prototype as one is kept between runs: its mean and inverse covariance. Like a fitted one it has no short decimals, with
+#: which distances would lie halfway between two rounded values.
 _KEPT = {
-    "features": list(_PROTO), "mu": [9.0, 200000.0, 0.15, 3.0], "sigma2": 2.5,
-    "inverse": [[0.04, -1e-7, 0.02, 0.0], [-1e-7, 4e-11, 0.0, 1e-7], [0.02, 0.0, 6.0, -0.1], [0.0, 1e-7, -0.1, 0.5]],
+    "features": list(_PROTO), "mu": [9.1373719, 203411.7353, 0.153371937, 3.07193313], "sigma2": 2.5173391,
+    "inverse": [[0.0413717931, -1.0371e-7, 0.021739313, 0.0], [-1.0371e-7, 4.1739e-11, 0.0, 1.1937e-7], [0.021739313, 0.0, 6.13793197, -0.10379313], [0.0, 1.1937e-7, -0.10379313, 0.51793713]],
 }
 _KEPT_SQL = (
     f"WITH {FEATURES_CTE}, x AS (SELECT cust_id, window_end, " + ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0) - {m!r}::DOUBLE AS x{i}" for i, (c, m) in enumerate(zip(_PROTO, _KEPT["mu"]))) + " FROM features WHERE window_size = 3), "
