@@ -493,3 +493,13 @@ def test_folds_fitted_together(spark):
     by_size = {r.window_size: (r.auc, r.n_folds) for r in walkforward.size_aucs(walkforward.fold_aucs(df, ["a"], "y", 5), [3, 4, 9]).collect()}
     assert by_size[9] == (None, 0) and by_size[3][1] == 4 and by_size[4][1] == 2
     assert walkforward.fold_aucs(df.where("a < -1e9"), ["a"], "y", 5).collect() == []
+
+
+def test_windows_carry_no_array_of_their_customer(spark):
+    """A window holds its two entries; its customer's arrays end where windows become rows."""
+    df, _ = months(spark, 2)
+    args = ("2024-01-01", "2025-06-01")
+    customers = month_arrays.customer_months(features.agg_monthly(df), *args)
+    held = month_arrays.windows_of(customers, *args, [3])
+    assert not {"entries", "upto", *[c for c in customers.columns if c.startswith("values_")]} & set(held.columns)
+    assert held.where("h.rows <= coalesce(l.rows, 0)").count() == 0 < held.count()
