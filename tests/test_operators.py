@@ -503,3 +503,16 @@ def test_windows_carry_no_array_of_their_customer(spark):
     held = month_arrays.windows_of(customers, *args, [3])
     assert not {"entries", "upto", *[c for c in customers.columns if c.startswith("values_")]} & set(held.columns)
     assert held.where("h.rows <= coalesce(l.rows, 0)").count() == 0 < held.count()
+
+
+def test_window_totals_copy_no_customer_row(spark):
+    """Totals equal those of copied rows; only sums by month and gap meet the windows."""
+    df, _ = months(spark, 6)
+    args = ("2024-01-01", "2025-06-01", [1, 3, 12])
+    monthly = features.agg_monthly(df)
+    copies = features.to_windows(monthly, F.col("report_month"), *args).groupBy("window_size", "window_end")
+    want = copies.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("cust_id").alias("n_customers"), F.sum("item_sum").alias("items"), F.sum("revenue_sum").alias("revenue"))
+    got = features.window_totals(monthly, *args)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "cust_id" not in plan[: plan.index("Generate")] and plan.count("Window ") == 1
