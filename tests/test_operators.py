@@ -516,3 +516,17 @@ def test_window_totals_copy_no_customer_row(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "cust_id" not in plan[: plan.index("Generate")] and plan.count("Window ") == 1
+
+
+def test_trees_are_fitted_on_partitions_of_bounded_size(spark, monkeypatch):
+    data = spark.range(1000).coalesce(1).withColumns({"x": F.col("id") % 7 * 1.0, "y_smooth": F.when(F.col("id") % 7 > 3, 0.9).otherwise(0.1), "sample_weight": F.lit(1.0)})
+    fitted = []
+    real = model.GBTClassifier.fit
+    monkeypatch.setattr(model.GBTClassifier, "fit", lambda self, df: fitted.append(df) or real(self, df))
+    config = model.ModelConfig(max_depth=2, rounds=2)
+    plain = model.train_model(data, ["x"], config)
+    monkeypatch.setattr(model, "PART_ROWS", 300)
+    model.train_model(data, ["x"], config)
+    assert plain.numFeatures == 1 and fitted[0].rdd.getNumPartitions() == 1
+    sizes = fitted[1].rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert sum(sizes) == 2000 and max(sizes) <= 300
