@@ -399,6 +399,18 @@ def test_windows_are_built_incrementally(spark):
     assert {versions[w] for w in old if w in versions} == {"1"} and {versions[w] for w in second if w in versions} == {"2"}
 
 
+def test_built_windows_hold_the_measures_asked_for(spark):
+    df, _ = months(spark, 9)
+    monthly, path = features.agg_monthly(df), shared_path(spark, "windows")
+    specs = features.window_grid(spark, "2024-01-01", "2024-06-01", [3]).select("window_size", "window_end")
+    feeds.build_windows(monthly.select("cust_id", "report_month", "item_sum"), specs.where("window_end < DATE '2024-05-01'"), path, measures=["item_sum"])
+    feeds.build_windows(monthly.select("cust_id", "report_month", "item_sum"), specs, path, measures=["item_sum"])
+    want = features.agg_window_base(monthly, "2024-01-01", "2024-06-01", [3])
+    got = published(spark, path)
+    assert sorted(got.columns) == sorted([*features.WINDOW_KEY, "item_sum"])
+    assert sorted(map(tuple, got.select(*features.WINDOW_KEY, "item_sum").collect())) == sorted(map(tuple, want.select(*features.WINDOW_KEY, "item_sum").collect()))
+
+
 def test_ranks_over_ranges(spark):
     """Running totals and percentiles against numpy: ties, nulls, groups of one value, a null group, no rows."""
     import numpy as np
@@ -530,3 +542,48 @@ def test_trees_are_fitted_on_partitions_of_bounded_size(spark, monkeypatch):
     assert plain.numFeatures == 1 and fitted[0].rdd.getNumPartitions() == 1
     sizes = fitted[1].rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
     assert sum(sizes) == 2000 and max(sizes) <= 300
+
+
+def test_only_named_measures_are_made_and_runs_share_them(spark):
+    """Measures asked for alone equal those of the full row; nothing else is summed, and windows with the same months are measured once."""
+    df, _ = months(spark, 3)
+    monthly, args = features.agg_monthly(df), ("2024-01-01", "2025-06-01", [3, 12])
+    names = ["item_sum", "revenue_avg", "item_median"]
+    some = features.agg_window_base(monthly, *args, measures=names)
+    assert some.columns == [*features.WINDOW_KEY, *names]
+    plain = lambda t: sorted(map(tuple, t.select(*some.columns).collect()))
+    assert plain(some) == plain(features.agg_window_base(monthly, *args))
+    plan = some._jdf.queryExecution().optimizedPlan().toString()
+    assert "weight_sum" not in plan and "order_score_avg" not in plan
+    assert plan.count("Generate inline") == 2 and "sort_array" not in plan[: plan.index("Generate inline")]
+
+
+def test_columns_of_feature_rows_equal_the_full_row(spark):
+    df, _ = months(spark, 5)
+    monthly = features.agg_monthly(df)
+    items = df.select("cust_id", F.date_add("report_month", 4).alias("send_date"))
+    complaints = df.where("total_complaint > 0").select("cust_id", F.col("report_month").alias("create_date"), (F.col("cust_id") % 3).alias("complaint_code"))
+    args = (monthly, complaints, items, "2024-01-01", "2025-06-01", [3, 6])
+    names = ["cv_item", "recency", "complaint_diversity", "item_months", "item_slope", "item_max_month", "dominant_service_ratio"]
+    some, full = features.window_features(*args, columns=names), features.window_features(*args)
+    assert some.columns == [*features.WINDOW_KEY, *names]
+    plain = lambda t: sorted(map(str, t.select(*some.columns).collect()))
+    assert plain(some) == plain(full) and some.count() > 100
+    light = features.window_features(*args, columns=["pct_delay"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "complaint_code" not in light and "send_date" not in light
+
+
+def test_steps_written_out_give_the_same_trend(spark):
+    df = spark.createDataFrame([([1.0, None, 2.5, 7.0],), ([0.1, 0.2, 0.3, 0.7],)], "x array<double>")
+    r = df.select(features.ewma(F.col("x"), 0.3).alias("a"), features.ewma(F.col("x"), 0.3, 4).alias("b")).collect()
+    assert all(tuple(x.a) == tuple(x.b) for x in r)
+    assert "lambda" not in df.select(features.ewma(F.col("x"), 0.3, 4))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_customers_are_dealt_to_a_named_number_of_partitions(spark):
+    """Spark puts no partitions together by the size that rows have before their windows are made."""
+    df, _ = months(spark, 7)
+    monthly, args = features.agg_monthly(df), ("2024-01-01", "2025-06-01", [3])
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for out in (features.agg_window_base(monthly, *args, measures=["item_sum"]), features.to_windows(monthly, F.col("report_month"), *args)):
+        assert out.rdd.getNumPartitions() == n

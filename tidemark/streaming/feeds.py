@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -47,9 +47,9 @@ def empty_windows(specs: DataFrame, existing: DataFrame, last: int = 0) -> DataF
     return missing_windows(specs, existing).unionByName(recent).distinct()
 
 
-def build_windows(monthly: DataFrame, specs: DataFrame, path: str, again: int = 0) -> DataFrame:
+def build_windows(monthly: DataFrame, specs: DataFrame, path: str, again: int = 0, measures: Sequence[str] | None = None) -> DataFrame:
     """Bring a published table of window rows, partitioned by size and end, up to ``specs`` (window_size, window_end), and return
-    the windows that were built.
+    the windows that were built. ``measures`` are those of the table (None: all of level 2); a table has the same in every build.
 
     Only windows without a partition, and the newest ``again`` ends of every size, are made, from the months that they need; the
     other partitions are neither read nor written. Running sums begin with those months, so doubles may differ in their last bits
@@ -61,6 +61,6 @@ def build_windows(monthly: DataFrame, specs: DataFrame, path: str, again: int =
     wanted = spark.createDataFrame(todo, specs.select("window_size", "window_end").schema)
     if todo:
         bounds = wanted.agg(F.min(F.add_months("window_end", 1 - F.col("window_size"))).cast("string"), F.max("window_end").cast("string")).first()
-        rows = agg_window_base(monthly, bounds[0], bounds[1], sorted({w for w, _ in todo}), todo)
+        rows = agg_window_base(monthly, bounds[0], bounds[1], sorted({w for w, _ in todo}), todo, measures)
         publish(rows, path, ["window_size", "window_end"])
     return wanted
