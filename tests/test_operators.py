@@ -587,3 +587,12 @@ def test_customers_are_dealt_to_a_named_number_of_partitions(spark):
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for out in (features.agg_window_base(monthly, *args, measures=["item_sum"]), features.to_windows(monthly, F.col("report_month"), *args)):
         assert out.rdd.getNumPartitions() == n
+
+
+def test_a_pair_and_its_mirror_image_are_one_covariance(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 9.0), (2.0, 1.0, None), (4.0, 7.0, 3.0)], "a double, b double, c double")
+    got = prep.mean_and_covariance(df, ["a", "b", "c"])
+    cov = {(r.feature_a, r.feature_b): r.cov for r in got.collect()}
+    assert len(cov) == 9 and all(cov[a, b] == cov[b, a] for a, b in cov) and cov["a", "b"] == pytest.approx(4.333333333)
+    plan = prep.mean_and_covariance(df, ["a", "b", "c"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_covar_samp") == 6
