@@ -596,3 +596,39 @@ def test_a_pair_and_its_mirror_image_are_one_covariance(spark):
     assert len(cov) == 9 and all(cov[a, b] == cov[b, a] for a, b in cov) and cov["a", "b"] == pytest.approx(4.333333333)
     plan = prep.mean_and_covariance(df, ["a", "b", "c"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("partial_covar_samp") == 6
+
+
+def test_folds_read_their_rows_once(spark):
+    """The rows are made once, whatever the number of steps, and fill several blocks; equal rows tie."""
+    import numpy as np
+
+    from tidemark.operators import walkforward
+
+    made = spark.sparkContext.accumulator(0)
+    count = F.udf(lambda x: made.add(1) or x, "double").asNondeterministic()
+    u = lambda seed: F.rand(seed)
+    rows = spark.range(9000).select(F.lit(3).alias("window_size"), F.add_months(F.lit("2001-01-01").cast("date"), (F.col("id") % 7).cast("int")).alias("window_end"), F.floor(u(1) * 50).alias("a"), (u(2) < 0.3).cast("int").alias("y"))
+    rows = staged(rows.coalesce(1), "rows")
+    got = {r.fold: r.auc for r in walkforward.fold_aucs(rows.withColumn("a", count(F.col("a").cast("double"))), ["a"], "y", 5).collect()}
+    assert made.value == 9000 and set(got) == {0, 1}
+    p = rows.toPandas()
+    for fold, auc in got.items():
+        train, valid = p[p.window_end < D(2001, 6 + fold, 1)], p[p.window_end == D(2001, 6 + fold, 1)]
+        sign = np.sign(train[train.y == 1].a.mean() - train[train.y == 0].a.mean())
+        pairs = sign * (valid[valid.y == 1].a.to_numpy()[:, None] - valid[valid.y == 0].a.to_numpy()[None, :])
+        assert abs(auc - ((pairs > 0).mean() + (pairs == 0).mean() / 2)) < 1e-12
+
+
+def test_labels_move_no_window(spark):
+    """Windows dealt out by customer are labelled where they are, and the windows are not made again to find their ends."""
+    from tidemark.operators.month_arrays import dealt_by_customer
+
+    rows = [(c, D(2024, m, 1), float(m)) for c in (1, 2, 3, None) for m in (1, 2, 3)]
+    past = spark.createDataFrame([(1, D(2024, 2, 1), 1, 10), (2, D(2024, 4, 1), 0, 0), (3, D(2024, 5, 1), 0, 5), (None, D(2024, 2, 1), 1, 1)], "cust_id int, report_month date, item_count long, total_fee long")
+    df = dealt_by_customer(spark.createDataFrame(rows, "cust_id int, window_end date, item_sum double"))
+    got = prep.build_label(df, past, 2)
+    plan = got._jdf.queryExecution().optimizedPlan().toString(), got._jdf.queryExecution().executedPlan().toString()
+    assert plan[0].count("item_sum") and plan[1].count("Exchange") == 2 and "window_end" not in " ".join(x for x in plan[1].splitlines() if "Exchange" in x)
+    assert got.columns == ["cust_id", "window_end", "item_sum", "y_raw"]
+    active = {(r.cust_id, r.window_end.month) for r in got.collect() if r.y_raw == 0}
+    assert active == {(1, 1), (3, 3)} and got.count() == 12
