@@ -632,3 +632,27 @@ def test_labels_move_no_window(spark):
     assert got.columns == ["cust_id", "window_end", "item_sum", "y_raw"]
     active = {(r.cust_id, r.window_end.month) for r in got.collect() if r.y_raw == 0}
     assert active == {(1, 1), (3, 3)} and got.count() == 12
+
+
+def test_training_rows_are_made_once(spark):
+    """The rows that trees are fitted on are assembled once after they were counted, and go when the model is there."""
+    made = spark.sparkContext.accumulator(0)
+    count = F.udf(lambda x: made.add(1) or x, "double").asNondeterministic()
+    rows = staged(spark.range(400).select(F.rand(1).alias("a"), (F.col("id") % 2).cast("double").alias("y_smooth"), F.lit(1.0).alias("sample_weight")), "rows")
+    settings = model.ModelConfig(max_depth=2, rounds=2)
+    fitted = model.train_model(rows.withColumn("a", count("a")), ["a"], settings)
+    assert fitted.getNumTrees >= 1 and made.value == 2 * 400
+    assert not spark._jsc.getPersistentRDDs()
+
+
+def test_labels_that_are_there_are_kept(spark):
+    """A table that was labelled for several runs gives each of them the rows and labels that it would have made itself."""
+    cells = [(c, 3, D(2024, m, 1), float(c)) for c in range(1, 5) for m in range(3, 13)]
+    table = spark.createDataFrame(cells, "cust_id int, window_size int, window_end date, item_sum double")
+    past = spark.createDataFrame([(c, D(2024, m, 1), 1, 10) for c in range(1, 5) for m in range(1, 13) if m % (c + 2) == 0], "cust_id int, report_month date, item_count long, total_fee long")
+    labelled = prep.build_label(table, past, 2)
+    for last in ("2024-11-01", "2024-12-01"):
+        upto = past.where(F.col("report_month") <= F.lit(last).cast("date"))
+        own = prep.training_windows(table, upto, 3, "2024-01-01", last, 2).collect()
+        kept = prep.training_windows(labelled, upto, 3, "2024-01-01", last, 2).collect()
+        assert sorted(own) == sorted(kept) and {r.y_raw for r in own} == {0, 1}
