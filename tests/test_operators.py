@@ -656,3 +656,27 @@ def test_labels_that_are_there_are_kept(spark):
         own = prep.training_windows(table, upto, 3, "2024-01-01", last, 2).collect()
         kept = prep.training_windows(labelled, upto, 3, "2024-01-01", last, 2).collect()
         assert sorted(own) == sorted(kept) and {r.y_raw for r in own} == {0, 1}
+
+
+def test_a_row_for_each_range_of_sizes(spark):
+    """Ranges of sizes give the windows of all sizes, with the same values, each once; folds are the same of either."""
+    from tidemark.operators import walkforward
+
+    sent = [(c, D(2024, m, d)) for c in range(1, 25) for m in range(1, 13) for d in (1, 9, 20) if (c * m + d) % (c % 5 + 2) == 0]
+    items = spark.createDataFrame([*sent, (30, D(2024, 5, 9)), (31, D(2024, 1, 1))], "cust_id int, send_date date")
+    monthly = items.groupBy("cust_id", F.trunc("send_date", "month").alias("report_month")).agg(F.count(F.lit(1)).alias("item_sum"), F.sum(F.dayofmonth("send_date") + F.col("cust_id")).alias("revenue_sum"))
+    columns, sizes = ("item_sum", "recency", "revenue_avg"), tuple(range(2, 10))
+    more = monthly.withColumns({c: F.lit(0.0) for c in ("delay_sum", "complaint_sum")})
+    complaints = spark.createDataFrame([], "cust_id int, create_date date, complaint_code int")
+    wanted = features.window_features(more, complaints, items, "2024-01-01", "2024-12-01", sizes, with_months=False, columns=columns)
+    ranges = staged(features.size_range_features(monthly, items, "2024-01-01", "2024-12-01", 2, 9, columns), "ranges")
+    each = ranges.select("cust_id", F.explode(F.sequence("size_from", "size_to")).alias("window_size"), "window_end", *columns)
+    assert sorted(each.collect()) == sorted(wanted.collect()) and ranges.count() < 0.8 * each.count()
+    with pytest.raises(ValueError, match="ranges of sizes"):
+        features.size_range_features(monthly, items, "2024-01-01", "2024-12-01", 2, 9, ("item_median",))
+    y = ((F.col("cust_id") * 7 + F.month("window_end")) % 3 == 0).cast("int").alias("y")
+    of_rows, of_ranges, dealt = (
+        {(r.window_size, r.fold): r.auc for r in walkforward.fold_aucs(df.select("*", y), columns, "y", 2, rows).collect()} for df, rows in ((each, 10**6), (ranges, 10**6), (ranges, 20))
+    )
+    assert of_rows.keys() == of_ranges.keys() == dealt.keys() and len(of_rows) > 30
+    assert all(abs(of_ranges[k] - v) < 1e-12 and abs(dealt[k] - v) < 1e-12 for k, v in of_rows.items())
