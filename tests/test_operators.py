@@ -680,3 +680,24 @@ def test_a_row_for_each_range_of_sizes(spark):
     )
     assert of_rows.keys() == of_ranges.keys() == dealt.keys() and len(of_rows) > 30
     assert all(abs(of_ranges[k] - v) < 1e-12 and abs(dealt[k] - v) < 1e-12 for k, v in of_rows.items())
+
+
+def test_confirmed_rows_are_made_once(spark):
+    """A prototype takes several readings of its rows, but they are made once and go with it."""
+    made = spark.sparkContext.accumulator(0)
+    count = F.udf(lambda x: made.add(1) or x, "double").asNondeterministic()
+    rows = staged(spark.range(200).select(F.rand(1).alias("a"), F.rand(2).alias("b")), "rows")
+    before = len(tables._live)
+    proto = prep.fit_prototype(rows.withColumn("a", count("a")), ["a", "b"])
+    assert made.value == 200 and len(tables._live) == before
+    assert proto["mu"] == pytest.approx(list(rows.agg(F.avg("a"), F.avg("b")).first()))
+
+
+def test_rules_call_no_function_of_arrays(spark):
+    """Rules look at single months, which Spark compiles; the reasons are those of texts with and without codes."""
+    df = spark.createDataFrame([([9.0, 8.0, 10.0, 2.0], [9.0, None, 10.0, 2.0], -1.0), ([None, None, None, None], [1.0, 1.0, 1.0, 1.0], 1.0), ([], [], None)], "item_months array<double>, revenue_months array<double>, item_slope double")
+    got = reasons.rule_reasons(df)
+    assert "lambda" not in got._jdf.queryExecution().optimizedPlan().toString()
+    rows = [(r.churn_type, r.reactive_reasons, r.proactive_reasons, r.reason_1, r.reason_2, r.reason_3, r.avg_prev_item, r.n_prev_revenue) for r in got.collect()]
+    assert rows[0] == ("proactive", None, "P_ITEM_DROP|P_REVENUE_DROP|P_ITEM_TREND_DOWN", "P_ITEM_DROP", "P_REVENUE_DROP", "P_ITEM_TREND_DOWN", 9.0, 2)
+    assert rows[1] == (None, None, None, None, None, None, None, 3) and rows[2] == (None, None, None, None, None, None, None, 0)
