@@ -693,6 +693,21 @@ def test_confirmed_rows_are_made_once(spark):
     assert proto["mu"] == pytest.approx(list(rows.agg(F.avg("a"), F.avg("b")).first()))
 
 
+def test_features_name_what_they_read(spark):
+    """Features can be made of the columns of the items that they are said to read, and few columns are read for few features."""
+    from tidemark.plans import views
+
+    items = spark.createDataFrame([], "cust_id int, send_date date, end_date date, total_fee long, weight_kg long, delay_day long, refunded int, noaccepted int, nodone int, lost int, complaint int, intra int, international int, service string, score_pct long, satisfy_pct long, complaint_code int")
+    for column in ("item_median", "delay_sum", "avg_delayday", "satisfaction_max_month", "satisfy_slope", "most_common_complaint", "active_days", "dominant_service", "nodone_months"):
+        months, codes, days = features.levels_read((column,))
+        own = items.select(*views.month_reads(months), *(["end_date", "complaint_code"] if codes else []), *(["complaint"] if codes and "total_complaint" not in months else []))
+        got = features.window_features(features.agg_monthly(views.months_of(own)), views.complaints_of(own) if codes else None, own, "2024-01-01", "2024-12-01", (3,), columns=(column,))
+        assert got.columns == ["cust_id", "window_size", "window_end", column]
+    months, codes, days = features.levels_read(("recency", "frequency", "monetary"), False)
+    assert views.month_reads(months) == ["cust_id", "send_date", "total_fee"] and days and not codes
+    assert features.levels_read(("item_sum", "revenue_avg", "pct_delay", "order_score_avg"), False)[1:] == (False, False)
+
+
 def test_rules_call_no_function_of_arrays(spark):
     """Rules look at single months, which Spark compiles; the reasons are those of texts with and without codes."""
     df = spark.createDataFrame([([9.0, 8.0, 10.0, 2.0], [9.0, None, 10.0, 2.0], -1.0), ([None, None, None, None], [1.0, 1.0, 1.0, 1.0], 1.0), ([], [], None)], "item_months array<double>, revenue_months array<double>, item_slope double")
