@@ -716,3 +716,25 @@ def test_rules_call_no_function_of_arrays(spark):
     rows = [(r.churn_type, r.reactive_reasons, r.proactive_reasons, r.reason_1, r.reason_2, r.reason_3, r.avg_prev_item, r.n_prev_revenue) for r in got.collect()]
     assert rows[0] == ("proactive", None, "P_ITEM_DROP|P_REVENUE_DROP|P_ITEM_TREND_DOWN", "P_ITEM_DROP", "P_REVENUE_DROP", "P_ITEM_TREND_DOWN", 9.0, 2)
     assert rows[1] == (None, None, None, None, None, None, None, 3) and rows[2] == (None, None, None, None, None, None, None, 0)
+
+
+def test_boosting_outlasts_a_poor_round(spark):
+    """Small steps that lower the error go on to the last round; where none of some rounds does, those up to the best are kept."""
+    rows = spark.range(3000).select(F.rand(1).alias("a"), F.rand(2).alias("b"), F.lit(1.0).alias("sample_weight"))
+    falling = staged(rows.withColumn("y_smooth", F.when(F.col("a") + F.col("b") > 1, 0.95).otherwise(0.05)), "rows")
+    assert model.train_model(falling, ["a", "b"], model.ModelConfig(max_depth=2, rounds=12)).getNumTrees == 12
+    noise = staged(rows.withColumns({"y_smooth": (F.rand(3) < 0.5).cast("double"), "c": F.lit(0.0)}), "rows")
+    names = ["a", "b", "c"]
+    fitted = model.train_model(noise, names, model.ModelConfig(max_depth=4, rounds=40, learning_rate=0.5, patience=3))
+    assert 1 <= fitted.getNumTrees < 30 and [c for c, _ in model.feature_importance(fitted, names)][2] == "c"
+    assert model.score(fitted, noise, names).where("p BETWEEN 0 AND 1").count() == 3000
+    assert model.best_round([5.0, 4.0, 4.5, 4.1, 3.9, 4.2, 4.0, 4.1], 3) == (5, True) and model.best_round([5.0, 4.0, 4.5], 3) == (2, False)
+
+
+def test_model_queries_fit_by_the_defaults(spark, monkeypatch):
+    from tidemark.plans import model_queries
+
+    fitted, real = [], model.train_model
+    monkeypatch.setattr(model, "train_model", lambda df, columns, config=model.ModelConfig(): fitted.append(config) or real(df, columns, model.ModelConfig(max_depth=2, rounds=2)))
+    assert model_queries.train_model(spark, "/root/testdata/sf0.001").count() == len(model_queries.COLUMNS)
+    assert fitted == [model.ModelConfig()]
