@@ -738,3 +738,12 @@ def test_model_queries_fit_by_the_defaults(spark, monkeypatch):
     monkeypatch.setattr(model, "train_model", lambda df, columns, config=model.ModelConfig(): fitted.append(config) or real(df, columns, model.ModelConfig(max_depth=2, rounds=2)))
     assert model_queries.train_model(spark, "/root/testdata/sf0.001").count() == len(model_queries.COLUMNS)
     assert fitted == [model.ModelConfig()]
+
+
+def test_every_feature_has_its_importance(spark, monkeypatch):
+    """None is dropped, and equal gains are in the order of their names."""
+    from tidemark.plans import model_queries
+
+    gains = [("a", 0.1), ("e", 0.0), ("c", 0.6), ("d", 0.0), ("b", 0.3)]
+    monkeypatch.setattr(model_queries, "train_model", lambda spark, sf_dir: spark.createDataFrame(gains, "feature string, gain double"))
+    assert [r.feature for r in model_queries.feature_importance(spark, "").collect()] == ["c", "b", "a", "d", "e"]
