@@ -747,3 +747,22 @@ def test_every_feature_has_its_importance(spark, monkeypatch):
     gains = [("a", 0.1), ("e", 0.0), ("c", 0.6), ("d", 0.0), ("b", 0.3)]
     monkeypatch.setattr(model_queries, "train_model", lambda spark, sf_dir: spark.createDataFrame(gains, "feature string, gain double"))
     assert [r.feature for r in model_queries.feature_importance(spark, "").collect()] == ["c", "b", "a", "d", "e"]
+
+
+def test_tasks_hold_few_blocks(spark):
+    """Rows of megabytes are written in groups of a few, which Spark reads one after another; they go when the folds are judged."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tidemark.operators import walkforward
+
+    blocks = spark.range(0, 23, 1, 1).select(F.expr("cast(repeat('x', 100000) AS binary)").alias("block"))
+    table = staged(blocks, "blocks", group_rows=walkforward._GROUP_BLOCKS)
+    (file,) = glob.glob(table.staged_at.removeprefix("file://") + "/*.parquet")
+    meta = pq.ParquetFile(file).metadata
+    assert [meta.row_group(i).num_rows for i in range(meta.num_row_groups)] == [4, 4, 4, 4, 4, 3] and table.where("length(block) = 100000").count() == 23
+    batch, before = spark.conf.get(walkforward._BATCH), len(tables._live)
+    rows = spark.range(700).select(F.lit(3).alias("window_size"), F.add_months(F.lit("2001-01-01").cast("date"), (F.col("id") % 7).cast("int")).alias("window_end"), F.rand(1).alias("a"), (F.rand(2) < 0.3).cast("int").alias("y"))
+    assert walkforward.fold_aucs(rows, ["a"], "y", 5).count() == 2
+    assert spark.conf.get(walkforward._BATCH) == batch and [x.staged_at.split("/")[-1].split("-")[0] for x in tables._live[before:]] == ["aucs"]
