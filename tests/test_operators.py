@@ -762,7 +762,30 @@ def test_tasks_hold_few_blocks(spark):
     (file,) = glob.glob(table.staged_at.removeprefix("file://") + "/*.parquet")
     meta = pq.ParquetFile(file).metadata
     assert [meta.row_group(i).num_rows for i in range(meta.num_row_groups)] == [4, 4, 4, 4, 4, 3] and table.where("length(block) = 100000").count() == 23
-    batch, before = spark.conf.get(walkforward._BATCH), len(tables._live)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    batch, before = spark.conf.get(name), len(tables._live)
     rows = spark.range(700).select(F.lit(3).alias("window_size"), F.add_months(F.lit("2001-01-01").cast("date"), (F.col("id") % 7).cast("int")).alias("window_end"), F.rand(1).alias("a"), (F.rand(2) < 0.3).cast("int").alias("y"))
     assert walkforward.fold_aucs(rows, ["a"], "y", 5).count() == 2
-    assert spark.conf.get(walkforward._BATCH) == batch and [x.staged_at.split("/")[-1].split("-")[0] for x in tables._live[before:]] == ["aucs"]
+    assert spark.conf.get(name) == batch and [x.staged_at.split("/")[-1].split("-")[0] for x in tables._live[before:]] == ["aucs"]
+
+
+def test_stored_windows_are_not_written_again(spark, monkeypatch):
+    """A table with trends and labels is read by a run, which writes no copy of its training rows, and they are the same."""
+    rows = [(c, 3, D(2024, m, 1), float(c % 5 + m % 3), c / 7) for c in range(40) for m in range(3, 13)]
+    series = {f"{x}_months": F.array(*[F.lit(1.0)] * 3) for x in reasons.METRICS}
+    others = [c for c in (*pipeline.FEATURES, "complaint_diversity") if c not in ("item_sum", "recency") and "ewma" not in c]
+    table = spark.createDataFrame(rows, "cust_id long, window_size int, window_end date, item_sum double, recency double").withColumns(series).withColumns({c: F.lit(1.0) for c in others})
+    assert {*pipeline.WINDOW_COLUMNS} <= {*table.columns}
+    past = spark.createDataFrame([(c, D(2024, m, 1), 3, 100) for c in range(40) for m in range(1, 13) if c % 3], "cust_id long, report_month date, item_count long, total_fee long")
+    known = spark.createDataFrame([(c,) for c in range(0, 40, 3)], "cust_id long")
+    labelled = staged(prep.build_label(features.add_ewma(table), past, 2), "windows", group_rows=50)
+    written, fitted, real = [], [], model.train_model
+    monkeypatch.setattr(pipeline, "staged", lambda df, label, *a, **k: written.append(label) or staged(df, label, *a, **k))
+    monkeypatch.setattr(model, "train_model", lambda df, *a: fitted.append(sorted(map(str, df.drop("window_size").collect()))) or real(df, *a))
+    config = pipeline.RunConfig("2024-12-01", "2024-01-01", model=model.ModelConfig(max_depth=2, rounds=2), eval_months=2)
+    for source in (labelled, table):
+        pipeline.monthly_run(source, past, config, confirmed=known)
+    assert written.count("run-split") == 1 and fitted[0] == fitted[1] and len(fitted[0]) > 100
+    # One read of the stored rows in small splits serves the fit without a shuffle.
+    with tables.small_splits(spark, "8k"):
+        assert labelled.rdd.getNumPartitions() > 2 and model.in_parts(labelled, 100) is labelled
