@@ -789,3 +789,23 @@ def test_stored_windows_are_not_written_again(spark, monkeypatch):
     # One read of the stored rows in small splits serves the fit without a shuffle.
     with tables.small_splits(spark, "8k"):
         assert labelled.rdd.getNumPartitions() > 2 and model.in_parts(labelled, 100) is labelled
+
+
+def test_folds_are_judged_without_moving_scores(spark, monkeypatch):
+    """Rows of an end are dealt out to folds of some sizes together, up to a number of rows; scores are moved for larger folds alone."""
+    import numpy as np
+
+    from tidemark.operators import walkforward
+
+    days = np.arange(8.0)
+    models = {size: {"days": days, "folds": np.array([0, 2]), "valid": np.array([50, n])} for size, n in ((3, 40), (4, 60), (7, 100), (9, 170))}
+    assert walkforward._groups(models, 5, 100) == [(5.0, [3, 4]), (5.0, [7, 9]), (7.0, [3, 4]), (7.0, [7]), (7.0, [9])]
+    rows = spark.range(5000).select(
+        F.lit(3).alias("size_from"), (F.col("id") % 3 + 3).cast("int").alias("size_to"), F.add_months(F.lit("2001-01-01").cast("date"), (F.col("id") % 7).cast("int")).alias("window_end"),
+        F.floor(F.rand(1) * 50).alias("a"), F.rand(5).alias("b"), (F.rand(2) < 0.3).cast("int").alias("y"),
+    )
+    rows = staged(rows, "rows")
+    by_scores = {(r.window_size, r.fold): r.auc for r in walkforward.fold_aucs(rows, ["a", "b"], "y", 5, 1).collect()}
+    monkeypatch.setattr(walkforward, "_scores", None)
+    got = {(r.window_size, r.fold): r.auc for r in walkforward.fold_aucs(rows, ["a", "b"], "y", 5).collect()}
+    assert got.keys() == by_scores.keys() and len(got) == 6 and all(abs(got[k] - v) < 1e-12 for k, v in by_scores.items())
